@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sorrel.functions import columns as C, fixed
 from sorrel.functions.special import chi2_sf, kolmogorov_sf
@@ -22,8 +22,8 @@ def shared_columns(ref: DataFrame, cur: DataFrame, not_features: Sequence[str])
     return [c for c in ref.columns if c in cur.columns and c not in not_features]
 
 
-def value_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str], min_values: int = fixed.MIN_VALUES) -> DataFrame:
-    """(feature, value, n_ref, n_cur) over both sides; features with too few values on a side are left out.
+def value_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, value, n_ref, n_cur) over both sides, staged because every statistic reads it.
 
     A row becomes (position, value) pairs, so the shuffle moves numbers and no names. Missing values drop out.
     """
@@ -46,17 +46,7 @@ def value_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str], min_values
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
     names = F.array(*[F.lit(c) for c in cols])
-    named = stage(counts.select(F.get(names, F.col("position")).alias("feature"), "value", "n_ref", "n_cur"), "counts")
-    if min_values <= 0:
-        return named
-    enough = (
-        named.groupBy("feature")
-        .agg(F.sum("n_ref").alias("a"), F.sum("n_cur").alias("b"))
-        .where((F.col("a") >= min_values) & (F.col("b") >= min_values))
-        .select("feature")
-    )
-    # one row per feature
-    return named.join(F.broadcast(enough), "feature", "left_semi")
+    return stage(counts.select(F.get(names, F.col("position")).alias("feature"), "value", "n_ref", "n_cur"), "counts")
 
 
 def category_counts(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
@@ -91,35 +81,71 @@ def share(n: Column, total: Column) -> Column:
     return F.when(n == 0, F.lit(fixed.EMPTY_SHARE)).otherwise(n / total)
 
 
-def ranges(counts: DataFrame) -> DataFrame:
-    """Joint range and sizes per feature: one row each."""
-    return counts.groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n_ref").alias("ref_n"), F.sum("n_cur").alias("cur_n")
+def profile(counts: DataFrame, binary: Sequence[str] = (), min_values: int = 0) -> DataFrame:
+    """One row per feature: joint range, sizes, and whether its reference values are all 0 or 1.
+
+    Features with fewer than `min_values` values on a side are left out.
+    """
+    zero_one = F.bool_and(F.when(F.col("n_ref") > 0, F.col("value").isin(0.0, 1.0)))
+    named = F.col("feature").isin(list(binary)) if binary else F.lit(False)
+    rows = counts.groupBy("feature").agg(
+        F.min("value").alias("lo"),
+        F.max("value").alias("hi"),
+        F.sum("n_ref").alias("ref_n"),
+        F.sum("n_cur").alias("cur_n"),
+        F.coalesce(zero_one, F.lit(False)).alias("zero_one"),
     )
+    enough = (F.col("ref_n") >= min_values) & (F.col("cur_n") >= min_values)
+    return rows.where(enough).withColumn("is_binary", F.col("zero_one") | named).drop("zero_one")
 
 
-def bin_counts(counts: DataFrame, n_bins: int = BINS) -> DataFrame:
-    """Counts of both sides in the bins of the joint range, empty bins included."""
-    spans = ranges(counts)
+def bin_sums(counts: DataFrame, spans: DataFrame, n_bins: int = BINS) -> DataFrame:
+    """Counts and centred power sums of both sides in the bins of the joint range, empty bins included."""
+    x = F.col("value") - F.col("lo")
+    sums = {f"n_{s}": F.col(f"n_{s}") for s in ("ref", "cur")}
+    sums |= {f"{s}_1": x * F.col(f"n_{s}") for s in ("ref", "cur")}
+    sums |= {f"{s}_2": x * x * F.col(f"n_{s}") for s in ("ref", "cur")}
+    # one row per feature is broadcast
     binned = counts.join(F.broadcast(spans.select("feature", "lo", "hi")), "feature").withColumn(
         "bin", bin_of(F.col("value"), F.col("lo"), F.col("hi"), n_bins)
     )
-    filled = binned.groupBy("feature", "bin").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    filled = binned.groupBy("feature", "bin").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     every = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))))
-    return every.join(filled, ["feature", "bin"], "left").na.fill(0, ["n_ref", "n_cur"])
+    return every.join(filled, ["feature", "bin"], "left").na.fill(0, list(sums))
+
+
+def psi_and_moments(bins: DataFrame) -> DataFrame:
+    """Per feature the stability index (0 for a constant) and both sides' means and population deviations."""
+    total = psi_sum(share(F.col("n_ref"), F.col("ref_n")), share(F.col("n_cur"), F.col("cur_n")))
+    got = bins.groupBy("feature", "lo", "hi", "ref_n", "cur_n", "is_binary").agg(
+        total.alias("psi"), *[F.sum(c).alias(c) for c in ("ref_1", "ref_2", "cur_1", "cur_2")]
+    )
+
+    def mean(s):
+        return F.col(f"{s}_1") / F.col(f"{s}_n")
+
+    def std(s):
+        return F.sqrt(F.greatest(F.lit(0.0), F.col(f"{s}_2") / F.col(f"{s}_n") - mean(s) * mean(s)))
+
+    return got.select(
+        "feature",
+        "is_binary",
+        F.when(F.col("lo") == F.col("hi"), 0.0).otherwise(F.round(F.abs("psi"), 6)).alias("psi"),
+        (F.col("lo") + mean("ref")).alias("ref_mean"),
+        (F.col("lo") + mean("cur")).alias("cur_mean"),
+        std("ref").alias("ref_std"),
+        std("cur").alias("cur_std"),
+        F.abs(mean("cur") - mean("ref")).alias("mean_shift"),
+    )
 
 
 def psi_of_counts(counts: DataFrame, n_bins: int = BINS) -> DataFrame:
     """Population stability index per feature; a constant feature has 0."""
-    bins = bin_counts(counts, n_bins)
-    total = psi_sum(share(F.col("n_ref"), F.col("ref_n")), share(F.col("n_cur"), F.col("cur_n")))
-    got = bins.groupBy("feature").agg(total.alias("psi"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-    value = F.when(F.col("lo") == F.col("hi"), 0.0).otherwise(F.round(F.abs("psi"), 6))
-    return got.select("feature", value.alias("psi"))
+    return psi_and_moments(bin_sums(counts, profile(counts), n_bins)).select("feature", "psi")
 
 
 def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], n_bins: int = BINS) -> DataFrame:
-    return psi_of_counts(value_counts(ref, cur, cols, 0), n_bins)
+    return psi_of_counts(value_counts(ref, cur, cols), n_bins)
 
 
 def ks_of_counts(counts: DataFrame) -> DataFrame:
@@ -137,12 +163,12 @@ def ks_of_counts(counts: DataFrame) -> DataFrame:
 
 
 def ks_test(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
-    got = ks_of_counts(value_counts(ref, cur, cols, 0))
+    got = ks_of_counts(value_counts(ref, cur, cols))
     return got.select("feature", F.col("ks").alias("statistic"), "p_value", (F.col("p_value") < fixed.P_LIMIT).alias("drifted"))
 
 
 def wasserstein(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return ks_of_counts(value_counts(ref, cur, cols, 0)).select("feature", "wasserstein")
+    return ks_of_counts(value_counts(ref, cur, cols)).select("feature", "wasserstein")
 
 
 def chi2_of_counts(counts: DataFrame, group: str = "feature") -> DataFrame:
@@ -178,37 +204,6 @@ def chi2_test(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     return chi2_of_counts(parts).withColumn("drifted", F.col("p_value") < fixed.P_LIMIT)
 
 
-def moments(counts: DataFrame) -> DataFrame:
-    """Means and population deviations of both sides per feature, centred on the joint minimum."""
-    lows = counts.groupBy("feature").agg(F.min("value").alias("lo"))
-    x = F.col("value") - F.col("lo")
-    sums = (
-        counts.join(F.broadcast(lows), "feature")
-        .groupBy("feature")
-        .agg(
-            F.first("lo").alias("lo"),
-            *[F.sum(f"n_{s}").alias(f"{s}_n") for s in ("ref", "cur")],
-            *[F.sum(x * F.col(f"n_{s}")).alias(f"{s}_1") for s in ("ref", "cur")],
-            *[F.sum(x * x * F.col(f"n_{s}")).alias(f"{s}_2") for s in ("ref", "cur")],
-        )
-    )
-
-    def mean(s):
-        return F.col(f"{s}_1") / F.col(f"{s}_n")
-
-    def std(s):
-        return F.sqrt(F.greatest(F.lit(0.0), F.col(f"{s}_2") / F.col(f"{s}_n") - mean(s) * mean(s)))
-
-    return sums.select(
-        "feature",
-        (F.col("lo") + mean("ref")).alias("ref_mean"),
-        (F.col("lo") + mean("cur")).alias("cur_mean"),
-        std("ref").alias("ref_std"),
-        std("cur").alias("cur_std"),
-        F.abs(mean("cur") - mean("ref")).alias("mean_shift"),
-    )
-
-
 def feature_drift(
     ref: DataFrame,
     cur: DataFrame,
@@ -221,14 +216,9 @@ def feature_drift(
     Features named binary, or with reference values in {0, 1}, take the chi-squared test on whole
     numbers; the others KS and Wasserstein. Drifted means the test says so or PSI is above the limit.
     """
-    counts = value_counts(ref, cur, cols, min_values)
-    # whether a feature is binary: one row per feature
-    kinds = counts.where(F.col("n_ref") > 0).groupBy("feature").agg(
-        F.bool_and(F.col("value").isin(0.0, 1.0)).alias("zero_one")
-    )
-    named = F.col("feature").isin(list(binary)) if binary else F.lit(False)
-    kinds = kinds.select("feature", (F.col("zero_one") | named).alias("is_binary"))
-    marked = counts.join(F.broadcast(kinds), "feature")
+    counts = value_counts(ref, cur, cols)
+    spans = profile(counts, binary, min_values)
+    marked = counts.join(F.broadcast(spans.select("feature", "is_binary")), "feature")
     binary_counts = (
         marked.where("is_binary")
         .groupBy("feature", F.col("value").cast("bigint").alias("value"))
@@ -238,13 +228,7 @@ def feature_drift(
     ks = ks_of_counts(marked.where(~F.col("is_binary")).select("feature", "value", "n_ref", "n_cur")).select(
         "feature", F.col("ks").alias("ks_s"), F.col("p_value").alias("ks_p"), "wasserstein"
     )
-    wide = (
-        psi_of_counts(counts)
-        .join(moments(counts), "feature")
-        .join(kinds, "feature")
-        .join(chi, "feature", "left")
-        .join(ks, "feature", "left")
-    )
+    wide = psi_and_moments(bin_sums(counts, spans)).join(chi, "feature", "left").join(ks, "feature", "left")
     p = F.coalesce("chi_p", "ks_p")
     return wide.select(
         "feature",

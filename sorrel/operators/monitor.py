@@ -63,13 +63,14 @@ def psi_per_batch(scores: DataFrame, ref: DataFrame, by: str, score: str = "scor
     """
     ref_counts = ref.groupBy(F.col(score).cast("double").alias("value")).agg(F.count(score).alias("n")).where("value IS NOT NULL")
     ref_counts = stage(ref_counts, "ref")
-    span = ref_counts.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("n"))).scalar()
+    # three numbers
+    span = ref_counts.agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("n")).first()
     cur_counts = stage(
         scores.where(F.col(score).isNotNull()).groupBy(by, F.col(score).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")),
         "batches",
     )
     spans = cur_counts.groupBy(by).agg(F.min("value").alias("a"), F.max("value").alias("b"), F.sum("n").alias("cur_n"))
-    spans = spans.select(by, F.least("a", span["lo"]).alias("lo"), F.greatest("b", span["hi"]).alias("hi"), "cur_n")
+    spans = spans.select(by, F.least("a", F.lit(span.lo)).alias("lo"), F.greatest("b", F.lit(span.hi)).alias("hi"), "cur_n")
 
     cur_bins = (
         cur_counts.join(spans, by)
@@ -94,14 +95,14 @@ def psi_per_batch(scores: DataFrame, ref: DataFrame, by: str, score: str = "scor
     )
     # one row per batch and bin
     upper = F.lead("below").over(W.partitionBy(by).orderBy("bin"))
-    ref_bins = below.withColumn("n_ref", F.coalesce(upper, span["n"]) - F.col("below"))
+    ref_bins = below.withColumn("n_ref", F.coalesce(upper, F.lit(span.n)) - F.col("below"))
     both = (
         edges.select(by, "bin", "lo", "hi", "cur_n")
         .join(ref_bins.select(by, "bin", "n_ref"), [by, "bin"])
         .join(cur_bins, [by, "bin"], "left")
         .na.fill(0, ["n_cur"])
     )
-    total = drift.psi_sum(drift.share(F.col("n_ref"), span["n"]), drift.share(F.col("n_cur"), F.col("cur_n")))
+    total = drift.psi_sum(drift.share(F.col("n_ref"), F.lit(span.n)), drift.share(F.col("n_cur"), F.col("cur_n")))
     got = both.groupBy(by).agg(total.alias("psi"), F.bool_and(F.col("lo") == F.col("hi")).alias("constant"))
     return got.select(by, F.when(F.col("constant"), 0.0).otherwise(F.round(F.abs("psi"), 6)).alias("psi"))
 

@@ -42,12 +42,12 @@ def class_summaries(
     df: DataFrame, continuous: Sequence[str], binary: Sequence[str], label: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per class (and `by`): count, and per column what the fit needs."""
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = ["count(1) AS n"]
     for i, c in enumerate(continuous):
-        x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.avg(x).alias(f"mean{i}"), F.var_pop(x).alias(f"var{i}")]
-    aggs += [F.sum((F.col(c) > 0).cast("bigint")).alias(f"ones{j}") for j, c in enumerate(binary)]
-    return df.groupBy(*by, F.col(label).cast("int").alias("label")).agg(*aggs)
+        x = f"CAST({_name(c)} AS DOUBLE)"
+        aggs += [f"min({x}) AS lo{i}", f"max({x}) AS hi{i}", f"avg({x}) AS mean{i}", f"var_pop({x}) AS var{i}"]
+    aggs += [f"count_if({_name(c)} > 0) AS ones{j}" for j, c in enumerate(binary)]
+    return df.groupBy(*by, F.col(label).cast("int").alias("label")).agg(*[F.expr(a) for a in aggs])
 
 
 def merged(parts: Sequence[Mapping], n_cont: int, n_bin: int) -> dict:
@@ -123,29 +123,46 @@ def fit_bernoulli_nb(df: DataFrame, cols: Sequence[str], label: str, alpha: floa
     return fit_hybrid(df, [], cols, label, Params(alpha=alpha))
 
 
+def _num(x: float) -> str:
+    """A double literal in SQL."""
+    return f"({float(x)!r}D)"
+
+
+def _name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _sum(terms: Sequence[str]) -> Column:
+    """One parsed expression instead of a call per operator: a model has hundreds of them."""
+    return F.expr(" + ".join(terms)) if terms else F.lit(0.0)
+
+
 def gaussian_terms(model: Model, cols: Sequence[str] | None = None) -> Column:
     """Log-odds contribution of continuous columns, without the priors."""
-    total = F.lit(0.0)
+    terms = []
     for i, c in enumerate(model.continuous):
         if cols is not None and c not in cols:
             continue
-        s = C.scaled(c, model.lo[i], model.hi[i])
+        lo, width = model.lo[i], (model.hi[i] - model.lo[i]) or 1.0
         (m0, m1), (v0, v1) = model.mean[i], model.var[i]
-        d0, d1 = s - F.lit(m0), s - F.lit(m1)
-        total = total + d0 * d0 * F.lit(0.5 / v0) - d1 * d1 * F.lit(0.5 / v1) + F.lit(0.5 * math.log(v0 / v1))
-    return total
+        s = f"(CAST({_name(c)} AS DOUBLE) - {_num(lo)}) / {_num(width)}"
+        d0, d1 = f"({s} - {_num(m0)})", f"({s} - {_num(m1)})"
+        terms.append(
+            f"({d0} * {d0} * {_num(0.5 / v0)} - {d1} * {d1} * {_num(0.5 / v1)} + {_num(0.5 * math.log(v0 / v1))})"
+        )
+    return _sum(terms)
 
 
 def bernoulli_terms(model: Model, cols: Sequence[str] | None = None) -> Column:
     """Log-odds contribution of binary columns, without the priors."""
-    total = F.lit(0.0)
+    terms = []
     for j, c in enumerate(model.binary):
         if cols is not None and c not in cols:
             continue
         p0, p1 = model.prob[j]
         on, off = math.log(p1 / p0), math.log((1 - p1) / (1 - p0))
-        total = total + F.when(F.col(c) > 0, F.lit(on)).otherwise(F.lit(off))
-    return total
+        terms.append(f"IF({_name(c)} > 0, {_num(on)}, {_num(off)})")
+    return _sum(terms)
 
 
 def prior_term(model: Model) -> float:
@@ -237,34 +254,32 @@ def load_model(spark: SparkSession, path: str, preference: Sequence[str]) -> Mod
     return model_from_table(rows)
 
 
-def indexed_proba(models: Sequence[Model], index: Column) -> Column:
-    """P(label = 1) under the model numbered `index`, all models over the same columns.
+def indexed_proba(models: Sequence[Model], index: str) -> Column:
+    """P(label = 1) under the model numbered by column `index`, all models over the same columns.
 
     Used for folds: the constants become short arrays looked up by fold, so all folds are scored in
     one pass over the rows.
     """
     first = models[0]
 
-    def pick(fn) -> Column:
-        return F.get(F.array(*[F.lit(float(fn(m))) for m in models]), index)
+    def pick(fn) -> str:
+        return f"array({', '.join(_num(fn(m)) for m in models)})[{_name(index)}]"
 
-    prior = pick(prior_term)
-    gauss, bern = prior, prior
+    gauss, bern = [pick(prior_term)], [pick(prior_term)]
     for i, c in enumerate(first.continuous):
         width = pick(lambda m: (m.hi[i] - m.lo[i]) or 1.0)
-        s = (F.col(c).cast("double") - pick(lambda m: m.lo[i])) / width
-        d0, d1 = s - pick(lambda m: m.mean[i][0]), s - pick(lambda m: m.mean[i][1])
-        gauss = (
-            gauss
-            + d0 * d0 * pick(lambda m: 0.5 / m.var[i][0])
-            - d1 * d1 * pick(lambda m: 0.5 / m.var[i][1])
-            + pick(lambda m: 0.5 * math.log(m.var[i][0] / m.var[i][1]))
+        s = f"(CAST({_name(c)} AS DOUBLE) - {pick(lambda m: m.lo[i])}) / {width}"
+        d0 = f"({s} - {pick(lambda m: m.mean[i][0])})"
+        d1 = f"({s} - {pick(lambda m: m.mean[i][1])})"
+        gauss.append(
+            f"({d0} * {d0} * {pick(lambda m: 0.5 / m.var[i][0])} - {d1} * {d1} * {pick(lambda m: 0.5 / m.var[i][1])}"
+            f" + {pick(lambda m: 0.5 * math.log(m.var[i][0] / m.var[i][1]))})"
         )
     for j, c in enumerate(first.binary):
         on = pick(lambda m: math.log(m.prob[j][1] / m.prob[j][0]))
         off = pick(lambda m: math.log((1 - m.prob[j][1]) / (1 - m.prob[j][0])))
-        bern = bern + F.when(F.col(c) > 0, on).otherwise(off)
-    return mix(first, gauss, bern)
+        bern.append(f"IF({_name(c)} > 0, {on}, {off})")
+    return mix(first, _sum(gauss), _sum(bern))
 
 
 def fold_summaries(
@@ -303,7 +318,7 @@ def cross_validate(
     hits = []
     for name, params in settings.items():
         models = fold_models(sums, fold, k, continuous, binary, params)
-        right = predict(indexed_proba(models, F.col(fold))) == F.col(label)
+        right = predict(indexed_proba(models, fold)) == F.col(label)
         hits.append(F.avg(right.cast("double")).alias(name))
     wide = df.groupBy(fold).agg(*hits)
     return wide.unpivot([fold], list(settings), "run", "accuracy").select("run", fold, "accuracy")

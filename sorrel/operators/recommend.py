@@ -157,26 +157,28 @@ def recommend(
         item_cols = [*item_cols, *left]
     placed, blocks = item_blocks(stage(item_parts(items, model, item, item_cols), "parts"), item)
     people = user_parts(users, model, user, user_cols)
+    # scoring is CPU work on short rows, so users are spread by count and not by bytes
+    n = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if excluded is None:
-        people = people.withColumn("need", F.lit(k).cast("bigint"))
+        people = people.repartition(n, user).withColumn("need", F.lit(k).cast("bigint"))
         wanted = candidate_blocks(people, placed, blocks, user).withColumn("here", F.lit(k).cast("bigint"))
     else:
         # of one block, a user can lose at most as many items as they excluded there
         out = excluded.select(user, item).distinct().join(placed.select(item, "block"), item)
         per_block = out.groupBy(user, "block").agg(F.count(F.lit(1)).alias("lost"))
         per_user = per_block.groupBy(user).agg(F.sum("lost").alias("lost"))
-        people = people.join(per_user, user, "left").withColumn("need", F.lit(k) + F.coalesce("lost", F.lit(0))).drop("lost")
+        people = people.repartition(n, user).join(per_user, user, "left").withColumn("need", F.lit(k) + F.coalesce("lost", F.lit(0))).drop("lost")
         wanted = candidate_blocks(people, placed, blocks, user)
         wanted = wanted.join(per_block, [user, "block"], "left").withColumn("here", F.lit(k) + F.coalesce("lost", F.lit(0)))
 
     def scored(x) -> Column:
         p = nb.mix(model, F.col("a") + x["b"], F.col("c") + x["d"])
-        # array_sort is ascending: negate what has to be largest first
+        # the sort is ascending: negate what has to be largest first
         return F.struct(
             (-F.round(p, ORDER_DIGITS)).alias("s"), (-x["b"]).alias("nb"), x["item"].alias("item"), p.alias("score")
         )
 
-    best = F.slice(F.array_sort(F.transform("items", scored)), F.lit(1), F.col("here").cast("int"))
+    best = F.slice(F.sort_array(F.transform("items", scored)), F.lit(1), F.col("here").cast("int"))
     pairs = wanted.select(user, F.inline(best)).withColumnRenamed("item", item)
     if excluded is not None:
         pairs = exclude_pairs(pairs, excluded.select(user, item), [user, item])

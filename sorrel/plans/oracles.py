@@ -404,16 +404,15 @@ ORACLES: dict[str, str] = {
       CAST(ceil(l_quantity / 10) >= 4 AS INT) AS liked FROM lineitem""",
     "map_labels": f"""WITH {USERS} SELECT user_id, age, CASE age WHEN 1 THEN '<18' WHEN 18 THEN '18-24' WHEN 25 THEN '25-34'
       WHEN 45 THEN '45-49' WHEN 50 THEN '50-55' ELSE CAST(age AS VARCHAR) END AS age_label FROM people""",
-    "profile_defaults": f"""WITH {INTER}, few AS (SELECT * FROM inter WHERE year(ts) = 1997 AND item_id % 4 = 0),
-      s AS (SELECT user_id, avg(rating) AS a, count(*) AS n, stddev_samp(rating) AS d FROM few GROUP BY 1)
-      SELECT c_custkey AS user_id, round(coalesce(nullif(a, 0), 3.5), 6) AS user_avg_rating,
-             CAST(coalesce(nullif(n, 0), 20) AS DOUBLE) AS user_n_ratings, round(coalesce(nullif(coalesce(d, 0), 0), 1.0), 6) AS user_std_rating
-      FROM customer LEFT JOIN s ON user_id = c_custkey""",
+    "profile_defaults": f"""WITH {INTER}, {USER_STATS}
+      SELECT c_custkey AS user_id, round(coalesce(nullif(user_avg_rating, 0), 3.5), 6) AS user_avg_rating,
+             CAST(coalesce(nullif(user_n_ratings, 0), 20) AS DOUBLE) AS user_n_ratings, round(coalesce(nullif(user_std_rating, 0), 1.0), 6) AS user_std_rating
+      FROM customer LEFT JOIN ustats ON user_id * 2 = c_custkey""",
     "minmax_scale": """SELECT p_partkey, round((p_size - min(p_size) OVER ()) / CAST(max(p_size) OVER () - min(p_size) OVER () AS DOUBLE), 6) AS p_size,
       round((p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()), 6) AS p_retailprice FROM part""",
     "align_columns": f"""WITH {ITEMS} SELECT item_id, year, CAST(red AS DOUBLE) AS red, CAST(0 AS DOUBLE) AS no_such_column, CAST(blue AS DOUBLE) AS blue FROM things""",
     "fill_missing": f"""WITH {ITEMS}, {ITEM_STATS} SELECT item_id, title, round(coalesce(item_avg_rating, 0), 6) AS item_avg_rating,
-      coalesce(item_n_ratings, 0) AS item_n_ratings FROM things LEFT JOIN (SELECT * FROM istats WHERE item_id % 3 = 0) USING (item_id)""",
+      coalesce(item_n_ratings, 0) AS item_n_ratings FROM things LEFT JOIN (SELECT * REPLACE (item_id * 2 AS item_id) FROM istats) USING (item_id)""",
     "normalise_names": "SELECT c_custkey AS user_id, c_nationkey AS film_noir, c_mktsegment AS childrens FROM customer",
     "epoch_to_ts": f"SELECT o_orderkey, {stamp('o_orderdate')} AS at FROM orders",
     "validate_items": f"WITH {ITEMS} SELECT item_id, {errors(ERRORS_ITEMS)} FROM things",
@@ -438,26 +437,25 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'fallback', event_id, value FROM events""",
     "exclude_ids": f"""WITH {INTER} SELECT user_id, item_id, order_id FROM inter i WHERE NOT EXISTS
       (SELECT 1 FROM inter x WHERE x.user_id = i.user_id AND x.item_id = i.item_id AND x.rating < 5)""",
-    "file_stats": f"WITH {INTER} SELECT count(*) AS n_lines, count(*) FILTER (order_id % 7 = 0) AS n_bad_fields FROM inter",
+    "file_stats": f"WITH {INTER} SELECT count(*) AS n_lines, count(*) FILTER (rating = 5) AS n_bad_fields FROM inter",
     "validate_file": f"""WITH {INTER} SELECT count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid
       FROM (SELECT user_id > 0 AND item_id > 0 AND rating <> 5 AND epoch(ts) > 0 AS ok FROM inter)""",
     "feature_matrix": f"""WITH {MATRIX} SELECT * REPLACE ({rnd("user_avg_rating", "user_std_rating", "item_avg_rating")}) FROM matrix""",
     "historical_features": f"""WITH {INTER}, {USERS}, {USER_STATS}, v AS (SELECT * FROM people JOIN ustats USING (user_id))
       SELECT o_orderkey, o_custkey * 2 AS user_id, coalesce(age, 0) AS age, round(coalesce(user_avg_rating, 0), 6) AS user_avg_rating
       FROM orders LEFT JOIN v ON v.user_id = o_custkey * 2""",
-    "point_in_time": f"""WITH {DAILY}, asked AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
+    "point_in_time": f"""WITH {DAILY}, asked AS (SELECT event_id, user_id, ts FROM events)
       SELECT event_id, a.user_id, round(CASE WHEN ts - known <= INTERVAL 2 DAY THEN mean_value ELSE 0 END, 6) AS mean_value,
              CASE WHEN ts - known <= INTERVAL 2 DAY THEN n_events ELSE 0 END AS n_events
       FROM asked a ASOF LEFT JOIN daily d ON a.user_id = d.user_id AND a.ts >= d.known""",
-    "offline_views": f"""WITH {INTER}, {USERS}, s AS (SELECT user_id, avg(rating) AS user_avg_rating, count(*) AS user_n_ratings,
-      coalesce(stddev_samp(rating), 0) AS user_std_rating FROM inter WHERE year(ts) = 1997 GROUP BY 1)
-      SELECT user_id, gender_enc, age, occupation, {rnd("user_avg_rating")}, user_n_ratings, {rnd("user_std_rating")},
-             '2024-01-01 00:00:00' AS event_timestamp, '2024-01-01 00:00:00' AS created FROM people JOIN s USING (user_id)""",
+    "offline_views": f"""WITH {INTER}, {USERS}, {USER_STATS}
+      SELECT p.user_id, gender_enc, age, occupation, {rnd("user_avg_rating")}, user_n_ratings, {rnd("user_std_rating")},
+             '2024-01-01 00:00:00' AS event_timestamp, '2024-01-01 00:00:00' AS created FROM people p JOIN ustats s ON p.user_id = s.user_id * 2""",
     "top_rated": f"""WITH {ITEMS}, {ITEM_STATS} SELECT item_id, item_n_ratings AS n, round(item_avg_rating, 6) AS mean, title
       FROM istats JOIN things USING (item_id) ORDER BY n DESC, item_id LIMIT 10""",
     "mean_by_attr": f"WITH {INTER}, {USERS} SELECT age, round(avg(rating), 6) AS mean, count(*) AS n FROM inter JOIN people USING (user_id) GROUP BY age",
     "lookup_default": f"""WITH {ITEM_STATS} SELECT p_partkey AS item_id, round(coalesce(item_avg_rating, 3.5), 6) AS item_avg_rating,
-      CAST(coalesce(item_n_ratings, 10) AS DOUBLE) AS item_n_ratings FROM part LEFT JOIN (SELECT * FROM istats WHERE item_id % 2 = 0) ON item_id = p_partkey""",
+      CAST(coalesce(item_n_ratings, 10) AS DOUBLE) AS item_n_ratings FROM part LEFT JOIN istats ON item_id * 2 = p_partkey""",
     "online_features": f"""WITH {INTER}, {ITEMS}, {USER_STATS}, {ITEM_STATS}
       SELECT l_orderkey, l_linenumber, l_suppkey AS user_id, l_partkey * 2 AS item_id,
              CAST(coalesce(user_n_ratings, 0) AS DOUBLE) AS user_n_ratings, coalesce(year, 0) AS year,
@@ -472,7 +470,7 @@ ORACLES: dict[str, str] = {
       round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percent FROM lineitem GROUP BY 1""",
     "describe": "SELECT round(avg(l_extendedprice), 6) AS mean, round(median(l_extendedprice), 6) AS median, round(stddev_samp(l_extendedprice), 6) AS std FROM lineitem",
     "token_counts": "SELECT token, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS token FROM part) GROUP BY token",
-    "coverage": """WITH y AS (SELECT l_partkey, count(*) AS n FROM lineitem WHERE year(l_shipdate) = 1997 AND l_partkey % 5 <> 0 GROUP BY 1),
+    "coverage": """WITH y AS (SELECT l_partkey // 2 AS item_id, count(*) AS n FROM lineitem GROUP BY 1),
       t AS (SELECT (SELECT count(*) FROM part) AS n_items, (SELECT count(*) FROM customer) AS n_users, CAST(sum(n) AS BIGINT) AS n_ratings,
                    count(*) AS rated, count(*) FILTER (n >= 10) AS n_often FROM y)
       SELECT n_items, n_users, n_ratings, round(n_ratings * 100.0 / (n_items * n_users), 6) AS density, n_items - rated AS n_never_rated, n_often FROM t""",
@@ -484,11 +482,11 @@ ORACLES: dict[str, str] = {
       SELECT feature, abs(corr(x, liked)) AS r FROM (SELECT feature, x, liked FROM cont UNION ALL SELECT feature, CAST(x AS DOUBLE), liked FROM bin) GROUP BY feature)
       SELECT feature, round(r, 6) AS correlation FROM c WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY r DESC, feature LIMIT 10""",
     "positive_rate": "SELECT round(avg(CAST(ceil(l_quantity / 10) >= 4 AS INT)), 6) AS positive_rate FROM lineitem",
-    "cold_start": f"""WITH {INTER}, s AS (SELECT user_id, avg(rating) AS a, CAST(count(*) AS DOUBLE) AS n, coalesce(stddev_samp(rating), 0) AS d
-      FROM inter WHERE year(ts) = 1997 AND item_id % 4 = 0 GROUP BY 1)
-      SELECT c_custkey AS user_id, round(coalesce(a, (SELECT avg(a) FROM s)), 6) AS user_avg_rating,
-             round(coalesce(n, (SELECT avg(n) FROM s)), 6) AS user_n_ratings, round(coalesce(d, (SELECT avg(d) FROM s)), 6) AS user_std_rating
-      FROM customer LEFT JOIN s ON user_id = c_custkey""",
+    "cold_start": f"""WITH {INTER}, {USER_STATS}
+      SELECT c_custkey AS user_id, round(coalesce(user_avg_rating, (SELECT avg(user_avg_rating) FROM ustats)), 6) AS user_avg_rating,
+             round(coalesce(user_n_ratings, (SELECT avg(user_n_ratings) FROM ustats)), 6) AS user_n_ratings,
+             round(coalesce(user_std_rating, (SELECT avg(user_std_rating) FROM ustats)), 6) AS user_std_rating
+      FROM customer LEFT JOIN ustats ON user_id * 2 = c_custkey""",
     "roc_auc": f"""WITH t AS (SELECT l_extendedprice AS score, CAST(l_quantity > 30 AS INT) AS label FROM lineitem), a AS ({auc("t")})
       SELECT round(roc_auc, 6) AS roc_auc FROM a""",
     "latest_per_key": "SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",

@@ -75,12 +75,15 @@ def map_labels(spark, d):
     return R.users(spark, d).select("user_id", "age", C.map_labels("age", known).alias("age_label"))
 
 
+def respaced(stats: DataFrame, key: str) -> DataFrame:
+    """Statistics under doubled ids, so that every other entity has none."""
+    return stats.withColumn(key, F.col(key) * 2)
+
+
 @query
 def profile_defaults(spark, d):
-    # statistics of one year: customers without an order then lack them, and a single rating has deviation 0
-    year = R.interactions(spark, d).where(F.year("ts") == 1997).where(F.col("item_id") % 4 == 0)
-    people = R.users(spark, d).select("user_id").join(ft.user_stats(year), "user_id", "left")
-    return R.rounded(C.profile_defaults(people))
+    stats = respaced(ft.user_stats(R.interactions(spark, d)), "user_id")
+    return R.rounded(C.profile_defaults(R.users(spark, d).select("user_id").join(stats, "user_id", "left")))
 
 
 @query
@@ -97,7 +100,7 @@ def align_columns(spark, d):
 
 @query
 def fill_missing(spark, d):
-    stats = ft.item_stats(R.item_ratings(spark, d).where("item_id % 3 = 0"))
+    stats = respaced(ft.item_stats(R.item_ratings(spark, d)), "item_id")
     return R.rounded(C.fill_missing(R.raw_items(spark, d).select("item_id", "title").join(stats, "item_id", "left")))
 
 
@@ -197,8 +200,8 @@ def file_stats(spark, d):
 
     path = new_folder(spark, "lines")
     rows = R.interactions(spark, d)
-    # one line in seven loses its last field
-    line = F.concat_ws("::", "user_id", "item_id", "rating", F.when(F.col("order_id") % 7 != 0, F.lit("9")))
+    # lines with the top rating lose their last field
+    line = F.concat_ws("::", "user_id", "item_id", "rating", F.when(F.col("rating") < 5, F.lit("9")))
     rows.select(line.alias("value")).write.text(path)
     got = D.raw_file_stats(spark, path, 4)
     return got.agg(F.sum("n_lines").alias("n_lines"), F.sum("n_bad_fields").alias("n_bad_fields"))
@@ -237,7 +240,7 @@ def historical_features(spark, d):
 
 @query
 def point_in_time(spark, d):
-    asked = R.events(spark, d).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    asked = R.events(spark, d).select("event_id", "user_id", "ts")
     views = {"daily": (R.DAILY, R.daily_view(spark, d))}
     got = st.get_historical_features(asked, views, ["daily:mean_value", "daily:n_events"], True, "ts", bucket=timedelta(days=1))
     return R.rounded(got.select("event_id", "user_id", "mean_value", "n_events"))
@@ -245,7 +248,7 @@ def point_in_time(spark, d):
 
 @query
 def offline_views(spark, d):
-    stats = ft.user_stats(R.interactions(spark, d).where(F.year("ts") == 1997))
+    stats = respaced(ft.user_stats(R.interactions(spark, d)), "user_id")
     at = F.lit("2024-01-01 00:00:00").cast("timestamp")
     view = st.build_offline_view(R.users(spark, d).drop("gender"), stats, "user_id", at)
     return R.rounded(view.withColumns({"event_timestamp": stamp("event_timestamp"), "created": stamp("created")}))
@@ -263,7 +266,7 @@ def mean_by_attr(spark, d):
 
 @query
 def lookup_default(spark, d):
-    stats = ft.item_stats(R.item_ratings(spark, d).where("item_id % 2 = 0"))
+    stats = respaced(ft.item_stats(R.item_ratings(spark, d)), "item_id")
     return R.rounded(ft.lookup_default(R.raw_items(spark, d).select("item_id"), stats, "item_id", R.ITEM_DEFAULTS))
 
 
@@ -313,8 +316,9 @@ def token_counts(spark, d):
 
 @query
 def coverage(spark, d):
-    year = R.table(spark, d, "lineitem").where(F.year("l_shipdate") == 1997).where("l_partkey % 5 <> 0")
-    return R.rounded(ex.coverage(year.select(F.col("l_partkey").alias("item_id")), R.users(spark, d), R.raw_items(spark, d)))
+    # ratings go to the lower half of the catalogue
+    rated = R.table(spark, d, "lineitem").select(F.floor(F.col("l_partkey") / 2).alias("item_id"))
+    return R.rounded(ex.coverage(rated, R.users(spark, d), R.raw_items(spark, d)))
 
 
 @query
@@ -340,7 +344,7 @@ def positive_rate(spark, d):
 
 @query
 def cold_start(spark, d):
-    stats = ft.user_stats(R.interactions(spark, d).where(F.year("ts") == 1997).where("item_id % 4 = 0"))
+    stats = respaced(ft.user_stats(R.interactions(spark, d)), "user_id")
     people = R.users(spark, d).select("user_id").join(stats, "user_id", "left")
     return R.rounded(ft.cold_start_means(people, stats, R.STATS[:3]))
 
@@ -421,8 +425,8 @@ def fitted(spark, d) -> tuple[DataFrame, nb.Model]:
 
 def scored_test(spark, d) -> DataFrame:
     parts, model = fitted(spark, d)
-    rows = nb.score(parts.where("split = 'test'"), model)
-    return rows.select(*R.ROW_KEY, "user_id", F.col("liked").alias("label"), "score", nb.predict(nb.predict_proba(model)).alias("pred"), *R.TAGS)
+    rows = nb.score(parts.where("split = 'test'"), model).withColumn("pred", nb.predict("score"))
+    return rows.select(*R.ROW_KEY, "user_id", F.col("liked").alias("label"), "score", "pred", *R.TAGS)
 
 
 @query
@@ -465,7 +469,7 @@ def score_by_class(spark, d):
 @query
 def gate(spark, d):
     parts, model = fitted(spark, d)
-    scored = nb.score(parts, model).select("split", F.col("liked").alias("label"), "score", nb.predict(nb.predict_proba(model)).alias("pred"))
+    scored = nb.score(parts, model).select("split", F.col("liked").alias("label"), "score", nb.predict("score").alias("pred"))
     by_split = scored.groupBy("split").agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"))
     test = me.confusion_matrix(scored.where("split = 'test'")).select(*[me.ratios()[c].alias(c) for c in ("accuracy", "f1_score")])
     found = me.long_metrics(test).unionByName(me.long_metrics(me.train_test_gap(by_split)))

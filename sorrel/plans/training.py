@@ -58,7 +58,7 @@ def train_and_evaluate(
     folded = sp.stratified_folds(train, key, folds, seed + 1)
     cv = nb.cv_summary(nb.cross_validate(folded, continuous, binary, label, "fold", folds, {"run": params})).drop("run")
     scored = nb.score(parts, model).select(
-        "split", F.col(label).alias("label"), "score", nb.predict(nb.predict_proba(model)).alias("pred")
+        "split", F.col(label).alias("label"), "score", nb.predict("score").alias("pred")
     )
     held = scored.where("split = 'test'")
     gap = metrics.train_test_gap(
