@@ -92,8 +92,14 @@ def label_correlation(df: DataFrame, cols: Sequence[str], label: str, top: int =
 
     A constant feature has no correlation and is left out.
     """
-    label_d = F.col(label).cast("double")
-    wide = df.agg(*[F.abs(F.corr(F.col(c).cast("double"), label_d)).alias(c) for c in cols])
+    y = F.col(label).cast("double")
+
+    def corr(c: str):
+        x = F.col(c).cast("double")
+        # as a ratio of its parts: the built-in one divides by zero for a constant column
+        return F.abs(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))).alias(c)
+
+    wide = df.agg(*[corr(c) for c in cols])
     long = wide.unpivot([], list(cols), "feature", "correlation")
     return long.where(C.present("correlation")).orderBy(F.col("correlation").desc(), "feature").limit(top)
 
