@@ -82,9 +82,10 @@ def share(n: Column, total: Column) -> Column:
 
 
 def profile(counts: DataFrame, binary: Sequence[str] = (), min_values: int = 0) -> DataFrame:
-    """One row per feature: joint range, sizes, and whether its reference values are all 0 or 1.
+    """One row per feature: joint range, sizes, and whether it is binary (named so, or only 0 and 1 in the reference).
 
-    Features with fewer than `min_values` values on a side are left out.
+    Features with fewer than `min_values` values on a side are left out. The few rows, one per input
+    column, are fetched once and handed on as a literal table, so that no statistic aggregates them again.
     """
     zero_one = F.bool_and(F.when(F.col("n_ref") > 0, F.col("value").isin(0.0, 1.0)))
     named = F.col("feature").isin(list(binary)) if binary else F.lit(False)
@@ -96,7 +97,8 @@ def profile(counts: DataFrame, binary: Sequence[str] = (), min_values: int = 0)
         F.coalesce(zero_one, F.lit(False)).alias("zero_one"),
     )
     enough = (F.col("ref_n") >= min_values) & (F.col("cur_n") >= min_values)
-    return rows.where(enough).withColumn("is_binary", F.col("zero_one") | named).drop("zero_one")
+    rows = rows.where(enough).withColumn("is_binary", F.col("zero_one") | named).drop("zero_one")
+    return counts.sparkSession.createDataFrame(rows.collect(), rows.schema)
 
 
 def bin_sums(counts: DataFrame, spans: DataFrame, n_bins: int = BINS) -> DataFrame:

@@ -190,5 +190,5 @@ def compare_runs(
         ]
     )
     long = test.select(F.col(label).alias("label"), F.inline(scores)).withColumn("pred", nb.predict("score"))
-    cv = nb.cv_summary(nb.cross_validate(folds, continuous, binary, label, "fold", k, settings))
+    cv = nb.cv_summary(nb.cross_validate(folds, continuous, binary, label, "fold", k, settings, sums))
     return binary_metrics(long, group=["run_order", "run"]).join(cv, "run")

@@ -311,10 +311,11 @@ def cross_validate(
     fold: str = "fold",
     k: int = 5,
     settings: Mapping[str, Params] | None = None,
+    summaries: Sequence[Mapping] | None = None,
 ) -> DataFrame:
     """Accuracy per (run, fold): one pass for the summaries, one pass that scores all runs and folds."""
     settings = settings or {"baseline": Params()}
-    sums = fold_summaries(df, continuous, binary, label, fold)
+    sums = summaries or fold_summaries(df, continuous, binary, label, fold)
     hits = []
     for name, params in settings.items():
         models = fold_models(sums, fold, k, continuous, binary, params)
