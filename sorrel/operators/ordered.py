@@ -25,9 +25,11 @@ def distinct_sums(
 
 
 def range_stage(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """`df` in range order with a fixed partition number `part`."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in (*group, *order)])
+    """`df` in range order with a fixed partition number `part`.
+
+    The number of ranges is left to adaptive execution, which merges neighbouring small ones.
+    """
+    ranged = df.repartitionByRange(*[F.col(c) for c in (*group, *order)])
     return stage(ranged.withColumn("part", F.spark_partition_id()), "ranged")
 
 

@@ -12,6 +12,8 @@ from sorrel.session import local_session  # noqa: E402
 def spark():
     s = local_session("4", 4)
     s.sparkContext.setLogLevel("OFF")
+    # small data would be merged into one partition, and running sums over several never be tried
+    s.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield s
     s.stop()
 
