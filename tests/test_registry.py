@@ -15,6 +15,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="sample tables
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import TABLES, key, ok_type, same  # noqa: E402
 
+from sorrel.plans.oracles import ORACLES  # noqa: E402
+from sorrel.plans.queries import QUERIES  # noqa: E402
+
 QUICK = [
     "one_hot_tags", "quality_checks", "validate_users", "feature_matrix", "point_in_time", "user_stats", "coverage",
     "roc_auc", "exact_split", "top_k", "nb_params", "nb_scores", "recommend_unseen", "materialize_incremental",
@@ -31,7 +34,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_is_lazy_and_has_rows(spark):
