@@ -1,26 +1,30 @@
 """N-gram Jaccard self-join by vertical partitioning.
 
 All n-grams have one global order: rare ones first, by a table of counts with a fixed number of cells, then by hash. In
-that order two sets that are alike enough share one of their first few n-grams, which gives the candidate pairs; a parity
-bitmap then bounds how much two sets can differ. What is left is counted: the global hash order is cut into FRAGMENTS,
-each set is split along them, the overlaps of a pair are counted fragment by fragment and summed.
-Documents with equal sets are one node throughout.
+that order two sets that are alike enough share one of their first few n-grams. Nodes that share one meet there, in
+groups cut into blocks of bounded size; a parity bitmap bounds how much two sets can differ, and only nodes with a
+possible partner send their sets. These are then cut along the global order into fragments of FRAGMENT n-grams, the
+overlaps of pairs are counted fragment by fragment and summed.
+Documents with equal sets are one node throughout, and pairs stay inside their block: what comes out is one row per node
+and block, with the number of linked documents and one node of those it is linked with.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sorrel.llm.arrays import SPACED, U, map_batches, shingles, slices, text_bytes, word_hashes
 from sorrel.llm.graph import components
-from sorrel.session import stage
+from sorrel.llm.rows import written
 
-CELLS_BITS, BLOCKS, BITMAP_WORDS, FRAGMENTS = 20, 64, 8, 8
+CELLS_BITS, BLOCKS, BITMAP_BITS, FRAGMENT = 20, 64, 512, 1024
+#: Nodes, and n-grams of all their sets, that one block of a group may hold; a pair of blocks meets in one task.
+BLOCK_NODES, BLOCK_GRAMS = 1024, 2_000_000
 #: Contexts without a rule of their own take five words and 80 %.
 SIZE, PERCENT = 5, 80
 
@@ -75,135 +79,225 @@ def least_overlap(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
+def set_hash(grams: np.ndarray) -> list[int]:
+    """Two 64-bit hashes of a set."""
+    return np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), np.int64).tolist()
+
+
+def rank(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return counts[(grams >> U(64 - CELLS_BITS)).astype(np.int64)]
+
+
 def described(docs: DataFrame, text: str, size: int, percent: int, counts: np.ndarray, keep: list[str]) -> DataFrame:
     """`keep` columns with n, two hashes of the set, its parity bitmap and its first n-grams in the global order.
 
     Sets of n and m >= n share o >= percent * m / 100 n-grams when linked, so the first n - o + 1 of each must meet.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    maps = [f"b{k}" for k in range(BITMAP_WORDS)]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches):
         table = shared.value
         for batch in batches:
-            rows, firsts = [], []
+            rows = []
             for grams in _sets(batch, len(keep), size):
                 n = len(grams)
-                digest = np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), np.int64)
-                bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
-                first = b""
-                if n:
-                    bits = (np.bincount((grams & U(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1).astype(np.uint8)
-                    length = n - int(least_overlap(n, percent)) + 1
-                    rank = table[(grams >> U(64 - CELLS_BITS)).astype(np.int64)]
-                    if length < n:
-                        near = np.flatnonzero(rank <= np.partition(rank, length - 1)[length - 1])
-                        near = near[np.lexsort((grams[near], rank[near]))[:length]]
-                    else:
-                        near = np.lexsort((grams, rank))
-                    first = grams[near].view(np.int64).tolist()
-                rows.append((n, *digest.tolist(), *np.packbits(bits).view(np.int64).tolist()))
-                firsts.append(first or [])
-            cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3 + BITMAP_WORDS)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *cols, pa.array(firsts, pa.list_(pa.int64()))], [*batch.schema.names[: len(keep)], "n", "h1", "h2", *maps, "first"])
-
-    longs = ", ".join(f"{c} long" for c in ("n", "h1", "h2", *maps))
-    return map_batches(docs.select(*keep, text), run, f"{schema}, {longs}, first array<bigint>")
-
-
-def candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of nodes that share one of their first n-grams and may be alike enough.
-
-    N-grams of a single node go first. A pair is given out where it shares an n-gram but not the one before, and only if
-    its sizes and bitmaps allow a link; groups of one n-gram are joined, never gathered, and a large one is split by the
-    skew join of adaptive execution.
+                odd = np.bincount((grams & U(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS) & 1
+                length = n - int(least_overlap(n, percent)) + 1 if n else 0
+                near, ranks = np.arange(n), rank(grams, table)
+                if length < n:
+                    near = np.flatnonzero(ranks <= np.partition(ranks, length - 1)[length - 1])
+                near = near[np.lexsort((grams[near], ranks[near]))[:length]]
+                rows.append((n, *set_hash(grams), np.packbits(odd.astype(np.uint8)).tobytes(), grams[near].view(np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *cols], [*batch.schema.names[: len(keep)], "n", "h1", "h2", "bits", "first"])
+
+    return map_batches(docs.select(*keep, text), run, f"{schema}, n long, h1 long, h2 long, bits binary, first array<bigint>")
+
+
+def by_cell(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(cell, rows) of rows that are sorted by their first `width` columns."""
+    cell, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:width] != cell:
+                if rows:
+                    yield cell, rows
+                cell, rows = row[:width], []
+            rows.append(row[width:])
+    if rows:
+        yield cell, rows
+
+
+def meetings(nodes: DataFrame) -> DataFrame:
+    """(gram, low, high, block, node, previous, n, bits): nodes that share one of their first n-grams, by cell.
+
+    N-grams of a single node go first. A group beyond a block is dealt to blocks by hash, and block i and block j meet in
+    the cell (i, j), so a group of any size is spread. `previous` is the shared n-gram before this one.
+    """
+    grams = nodes.select("node", "n", F.posexplode("first").alias("place", "gram"))
+    group = W.partitionBy("gram")
+    shared = grams.withColumns({"many": F.count(F.lit(1)).over(group), "weight": F.sum("n").over(group)}).where("many > 1")
+    blocks = F.expr(f"cast(greatest(ceil(many / {BLOCK_NODES}), ceil(weight / {BLOCK_GRAMS})) as int)")
+    shared = shared.withColumn("blocks", F.least(blocks, F.col("many").cast("int")))
+    previous = F.lag("gram").over(W.partitionBy("node").orderBy("place"))
+    shared = shared.select("node", "gram", previous.alias("previous"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    full = shared.join(nodes.select("node", "n", "bits"), "node")
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return full.select("gram", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "previous", "n", "bits")
+
+
+CELL = ["gram", "low", "high"]
+
+
+def may_link(meeting: DataFrame, percent: int) -> DataFrame:
+    """(gram, low, high, block, node) of the nodes that have a possible partner in the cell.
+
+    Two nodes may be linked if their sizes allow it and their bitmaps, which differ in no more places than their sets do.
+    Where they share the n-gram before as well, they have met there.
     """
-    maps = [f"b{k}" for k in range(BITMAP_WORDS)]
-    grams = nodes.select("node", F.posexplode("first").alias("place", "gram"))
-    shared = grams.withColumn("many", F.count(F.lit(1)).over(W.partitionBy("gram"))).where("many > 1").drop("many")
-    by_node = W.partitionBy("node").orderBy("place")
-    shared = shared.withColumn("previous", F.lag("gram").over(by_node)).drop("place")
-    full = stage(shared.join(nodes.select("node", "n", *maps), "node"), "grams")
-    a, b = full.alias("a"), full.alias("b")
-    apart: Column = F.lit(0)
-    for m in maps:
-        apart = apart + F.bit_count(F.col(f"a.{m}").bitwiseXOR(F.col(f"b.{m}")))
-    both = F.col("a.n") + F.col("b.n")
-    fits = (
-        (F.col("a.gram") == F.col("b.gram"))
-        & (F.col("a.node") < F.col("b.node"))
-        & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
-        & ((100 + percent) * apart <= (100 - percent) * both)
-        & ~F.coalesce(F.col("a.previous") == F.col("b.previous"), F.lit(False))
-    )
-    return a.join(b, fits).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).distinct()
 
+    def run(batches):
+        for cell, rows in by_cell(batches, 3):
+            m = len(rows)
+            n = np.array([r[3] for r in rows], np.int64)
+            # rows without an n-gram before have not met anyone
+            seen: dict = {}
+            met = np.array([seen.setdefault(r[2] if r[2] is not None else (k,), len(seen)) for k, r in enumerate(rows)])
+            block = np.array([r[0] for r in rows])
+            bits = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(m, -1)
+            hit = np.zeros(m, bool)
+            step = max(1, (1 << 18) // m)
+            for at in range(0, m, step):
+                part = slice(at, at + step)
+                apart = np.bitwise_count(bits[part, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+                small, large = np.minimum(n[part, None], n[None, :]), np.maximum(n[part, None], n[None, :])
+                fits = (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large)) & (met[part, None] != met[None, :])
+                fits &= np.arange(m)[part, None] != np.arange(m)[None, :]
+                if cell[1] != cell[2]:
+                    fits &= block[part, None] != block[None, :]
+                hit[part] |= fits.any(axis=1)
+            if hit.any():
+                found = np.flatnonzero(hit)
+                same = [pa.array([x] * len(found), t) for x, t in zip(cell, (pa.int64(), pa.int32(), pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(block[found], pa.int32()), pa.array([rows[k][1] for k in found], pa.int64())], [*CELL, "block", "node"])
+
+    dealt = meeting.repartition(*CELL).sortWithinPartitions(*CELL)
+    return map_batches(dealt, run, "gram long, low int, high int, block int, node long")
+
+
+def overlaps(sets: list[np.ndarray], gram: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shared n-grams of every two sets, those of them before `gram` in the global order), fragment by fragment."""
+    m = len(sets)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
+    values, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(times > 1)
+    several = several[np.lexsort((values[several], rank(values[several], counts)))]
+    place = np.full(len(values), -1)
+    place[several] = np.arange(len(several))
+    start = int(place[np.searchsorted(values, U(gram & (1 << 64) - 1))])
+    kept = place[column] >= 0
+    owner, place = owner[kept], place[column][kept]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total, before = np.zeros((m, m), np.float32), np.zeros((m, m), np.float32)
+    cuts = sorted({0, start, len(several), *range(0, len(several), FRAGMENT)})
+    for first, last in zip(cuts, cuts[1:]):
+        i, j = np.searchsorted(place, (first, last))
+        fragment = np.zeros((m, last - first), np.float32)
+        fragment[owner[i:j], place[i:j] - first] = 1
+        partial = fragment @ fragment.T
+        total += partial
+        if last <= start:
+            before += partial
+    return total, before
+
+
+def linked(members: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
+    """(node, least, near) per node with links in a cell: the least node it can reach there, and how many documents the
+    nodes have to which it is linked there. A pair counts in the cell of the first n-gram that it shares."""
+    shared = members.sparkSession.sparkContext.broadcast(counts)
 
-def linked(pairs: DataFrame, texts: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union, counted fragment by fragment; `texts` has (node, text)."""
+    def run(batches):
+        table = shared.value
+        made: list[tuple] = []
+        for cell, rows in by_cell(batches, 3):
+            rows.sort(key=lambda r: r[1])
+            m = len(rows)
+            if m > 1:
+                sets = [np.frombuffer(r[3], U) for r in rows]
+                n = np.array([len(s) for s in sets], np.float64)
+                total, before = overlaps(sets, cell[0], table)
+                link = ((100 + percent) * total.astype(np.float64) >= percent * (n[:, None] + n[None, :])) & (before == 0)
+                np.fill_diagonal(link, False)
+                if cell[1] != cell[2]:
+                    block = np.array([r[0] for r in rows])
+                    link &= block[:, None] != block[None, :]
+                label = np.arange(m)
+                while True:
+                    low = np.minimum(label, np.where(link, label[None, :], m).min(axis=1))
+                    low = low[low]
+                    if (low == label).all():
+                        break
+                    label = low
+                near = link @ np.array([r[2] for r in rows], np.int64)
+                made += [(rows[k][1], rows[label[k]][1], int(near[k])) for k in np.flatnonzero(near)]
+            if len(made) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], ["node", "least", "near"])
+                made = []
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], ["node", "least", "near"])
+
+    dealt = members.select(*CELL, "block", "node", "copies", "grams").repartition(*CELL).sortWithinPartitions(*CELL)
+    return map_batches(dealt, run, "node long, least long, near long")
+
+
+def own_sets(found: DataFrame, size: int) -> DataFrame:
+    """(node, grams) of the texts whose set is the node's; equal rows of the input give it once."""
 
-    def split(batches):
+    def run(batches):
         for batch in batches:
-            nodes, parts, grams, at = batch.column(0).to_pylist(), [], [], 0
-            for node, g in zip(nodes, _sets(batch, 1, size)):
-                cuts = np.searchsorted(g, np.arange(FRAGMENTS, dtype=U) << U(64 - int(math.log2(FRAGMENTS))))
-                for k, piece in enumerate(np.split(g, cuts[1:])):
-                    if len(piece):
-                        parts.append((node, k))
-                        grams.append(piece.view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int64()), pa.array([p[1] for p in parts], pa.int32()), pa.array(grams, pa.list_(pa.int64()))], ["node", "fragment", "grams"])
-
-    pieces = stage(map_batches(texts.select("node", text), split, "node long, fragment int, grams array<bigint>"), "fragments")
-    left = pairs.join(pieces.withColumnsRenamed({"node": "a", "grams": "ga"}), "a")
-    right = pieces.withColumnsRenamed({"node": "b", "grams": "gb"})
-    partial = left.join(right, ["b", "fragment"]).select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ga", "gb")).alias("common"))
-    # a node has its text twice if a row of the input stands there twice
-    partial = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("common").alias("common"))
-    summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-    return summed.where((100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "common", "na", "nb")
+            rows = [(node, g.tobytes()) for node, g, a, b in zip(batch.column(0).to_pylist(), _sets(batch, 1, size), batch.column(2).to_pylist(), batch.column(3).to_pylist()) if set_hash(g) == [a, b]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "grams"])
+
+    return map_batches(found, run, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, nodes, links): which documents have which shingle set, and which sets are linked.
+    """(documents, nodes, ends): which documents have which shingle set, and with what the sets are linked.
 
     documents: one row per row of `docs` with its key, `n_shingles`, h1, h2 (the set's hash). nodes: one row per distinct
-    set that is not empty: node, h1, h2, n, `least` (its least key, null only if all are null), `copies`. links: a, b,
-    common, na, nb for every two nodes with 100 * intersection >= percent * union.
+    set that is not empty: node, h1, h2, n, `least` (its least key, null only if all are null), `copies`. ends: node,
+    least, near (see `linked`) by the rule 100 * intersection >= percent * union; their edges (node, least) join exactly
+    the nodes that links join, and the sum of near is the number of linked documents with another set.
     Null and empty texts have an empty set, which is linked to nothing. Rows with a repeated or null key are rows like any.
     """
     counts = gram_counts(docs, text, size)
     keyed = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    sets = stage(described(keyed, "text", size, percent, counts, ["key"]), "sets")
-    maps = [f"b{k}" for k in range(BITMAP_WORDS)]
+    sets = written(described(keyed, "text", size, percent, counts, ["key"]), "sets")
     grouped = sets.where("n > 0").groupBy("h1", "h2").agg(
-        F.first("n").alias("n"), F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"), *[F.first(m).alias(m) for m in maps], F.first("first").alias("first")
+        F.first("n").alias("n"), F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("bits").alias("bits"), F.first("first").alias("first")
     )
-    nodes = stage(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    pairs = stage(candidates(nodes, percent), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    # one document stands for its set: equal keys have several texts at worst, and the set's hash tells them apart
-    wanted = wanted.join(nodes.select("node", "least", "h1", "h2"), "node")
+    nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    members = written(may_link(meetings(nodes), percent), "members")
+    wanted = members.select("node").distinct().join(nodes.select("node", "least", "h1", "h2"), "node")
+    # a key may have several texts, of which the set's hash finds the right one
     named = wanted.where("least IS NOT NULL")
     found = keyed.where("key IS NOT NULL").join(named, F.col("key") == F.col("least")).select("node", "text", "h1", "h2")
     nameless = wanted.where("least IS NULL").select("node", F.col("h1").alias("w1"), F.col("h2").alias("w2"))
     blank = described(keyed.where("key IS NULL").withColumn("t", F.col("text")), "t", size, percent, counts, ["key", "text"])
     blank = blank.join(nameless, (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2"))).select("node", "text", "h1", "h2")
-    links = stage(linked(pairs, own_texts(found.unionByName(blank), size), "text", size, percent), "links")
+    full = members.join(own_sets(found.unionByName(blank), size), "node").join(nodes.select("node", "copies"), "node")
+    ends = written(linked(full, percent, counts), "ends")
     documents = sets.select("key", F.col("n").alias("n_shingles"), "h1", "h2")
-    return documents, nodes.select("node", "h1", "h2", "n", "least", "copies"), links
-
-
-def own_texts(found: DataFrame, size: int) -> DataFrame:
-    """(node, text) of the texts whose set is the node's."""
+    return documents, nodes.select("node", "h1", "h2", "n", "least", "copies"), ends
 
-    def run(batches):
-        for batch in batches:
-            h = [np.frombuffer(hashlib.blake2b(g.tobytes(), digest_size=16).digest(), np.int64).tolist() for g in _sets(batch, 1, size)]
-            same = [x == [a, b] for x, a, b in zip(h, batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["node", "text"]).filter(pa.array(same, pa.bool_()))
 
-    return map_batches(found, run, "node long, text string")
+def groups(nodes: DataFrame, ends: DataFrame) -> DataFrame:
+    """`nodes` with `component`, the least node that links reach."""
+    found = components(ends.select("node", F.col("least").alias("to")).distinct(), "node", "to")
+    return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -212,12 +306,9 @@ def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     `n_links` counts linked documents, those with an equal set among them. A document with an empty set is alone. If all
     keys of a component are null, so is its id.
     """
-    documents, nodes, links = jaccard_join(docs, key, text, size, percent)
-    groups = components(links, "a", "b")
-    sizes = nodes.select(F.col("node").alias("other"), F.col("copies").alias("there"))
-    ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    degree = ends.join(sizes, "other").groupBy("node").agg(F.sum("there").alias("near"))
-    named = nodes.join(groups, "node", "left").join(degree, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    documents, nodes, ends = jaccard_join(docs, key, text, size, percent)
+    degree = ends.groupBy("node").agg(F.sum("near").alias("near"))
+    named = groups(nodes, ends).join(degree, "node", "left")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     per_set = named.join(least, "component").select(F.col("h1").alias("s1"), F.col("h2").alias("s2"), "component_id", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = documents.join(per_set, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")) & (F.col("n_shingles") > 0), "left")
@@ -232,10 +323,8 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", size
     row_id = [F.xxhash64(*names).alias("r1"), F.hash(*names).alias("r2")]
     marked = docs.select("*", *row_id)
     rows = marked.select(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), "r1", "r2").alias("row_key"), F.col(text).alias("text"))
-    documents, nodes, links = jaccard_join(rows, "row_key", "text", size, percent)
-    groups = components(links, "a", "b")
-    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    chosen = named.groupBy("component").agg(F.min("least").alias("best")).select("best.r1", "best.r2", F.lit(True).alias("single"))
+    documents, nodes, ends = jaccard_join(rows, "row_key", "text", size, percent)
+    chosen = groups(nodes, ends).groupBy("component").agg(F.min("least").alias("best")).select("best.r1", "best.r2", F.lit(True).alias("single"))
     wordless = documents.where("n_shingles = 0").select("key.r1", "key.r2", F.lit(False).alias("single")).distinct()
     stay = chosen.unionByName(wordless).select(F.col("r1").alias("k1"), F.col("r2").alias("k2"), "single")
     met = marked.join(stay, (F.col("r1") == F.col("k1")) & (F.col("r2") == F.col("k2")))

@@ -8,13 +8,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sorrel.operators.ordered import running_sums
-from sorrel.session import stage
+from sorrel.session import new_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` as a table in the shared folder, packed tightly, for results that are read more than once."""
+    path = new_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffled(*keys: str, seed: int) -> Column:
     """A seeded order that any SQL engine can repeat: md5 of the seed and the keys; null reads as empty."""
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
@@ -23,7 +30,7 @@ def shuffled(*keys: str, seed: int) -> Column:
 
 def with_row_number(df: DataFrame, label: str) -> DataFrame:
     """`df`, written once, with a column `uid` that tells equal rows apart and stays the same from then on."""
-    return stage(df.withColumn("uid", F.monotonically_increasing_id()), label)
+    return written(df.withColumn("uid", F.monotonically_increasing_id()), label)
 
 
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
