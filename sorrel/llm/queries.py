@@ -73,7 +73,7 @@ def mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, folder: str) -> DataFrame:
-    found = suffix_dedup.deduplicate(table(spark, folder, "documents"))
+    found = suffix_dedup.deduplicate(table(spark, folder, "documents"), whole=False)
     return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

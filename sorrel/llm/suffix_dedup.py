@@ -18,8 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from sorrel.llm.arrays import SLICE_BYTES, U, map_batches, slices, text_bytes
+from sorrel.llm.rows import written
 from sorrel.llm.winnowing import least, rolling64
-from sorrel.session import stage
 
 LENGTH, K = 200, 32
 WINDOW = LENGTH - K + 1
@@ -98,11 +98,14 @@ def outcome(text: bytes, runs: np.ndarray) -> tuple[bytes, int, int]:
     return rest, len(text) - len(rest), len(runs)
 
 
-PARTS = "kind string, doc long, mark int, text binary, runs array<int>, gram long, large boolean, place int, before binary, after binary"
+PARTS = "kind string, doc long, mark int, text binary, n_bytes long, sha256 string, runs array<int>, gram long, large boolean, place int, before binary, after binary"
 
 
-def _parts(batches):
-    """Per document: its text and the runs that are settled, and the contexts of its triggers that are not."""
+def _parts(batches, whole: bool):
+    """Per document: its text and the runs that are settled, and the contexts of its triggers that are not.
+
+    Of a document without repeated triggers the text goes along only if `whole`.
+    """
     kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "boolean": pa.bool_()}
     schema = pa.schema([(n, kinds[t]) for n, t in (x.split() for x in PARTS.split(", "))])
     for batch in batches:
@@ -119,7 +122,10 @@ def _parts(batches):
                 if x["shown"]:
                     rows.append({"kind": "context", "doc": doc, "mark": mark, "gram": x["gram"], "large": x["large"], "place": p, "before": text[max(0, p - BEFORE) : p], "after": text[p : p + LENGTH]})
             runs = merged(np.array(runs, np.int64).reshape(-1, 2)).ravel().tolist()
-            rows.append({"kind": "text" if asked else "alone", "doc": doc, "mark": mark, "text": text, "runs": runs})
+            if asked:
+                rows.append({"kind": "text", "doc": doc, "mark": mark, "text": text, "runs": runs})
+            else:
+                rows.append({"kind": "alone", "doc": doc, "n_bytes": len(text), "sha256": hashlib.sha256(text).hexdigest(), "text": text if whole else None})
             if len(rows) >= 256:
                 yield pa.RecordBatch.from_pylist(rows, schema)
                 rows = []
@@ -221,49 +227,50 @@ def _runs(contexts: DataFrame, large: bool) -> DataFrame:
     return hit.select("doc", "mark", F.expr("cast(place - most as int)").alias("first"), F.expr(f"cast(place - fewest + {LENGTH} as int)").alias("last"))
 
 
-def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """One row per row of `docs`: doc (its key), text (binary) and `runs`: the bytes of every string of LENGTH bytes that
-    also starts anywhere else in the table, as flat, sorted, half-open ranges.
+KEPT = "doc long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def _outcomes(batches, whole: bool):
+    """Rows of KEPT from (doc, text, runs)."""
+    for batch in batches:
+        made = []
+        for t, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            rest, gone, spans = outcome(t, np.array(runs, np.int64).reshape(-1, 2))
+            made.append((rest if whole else None, len(t), gone, spans, hashlib.sha256(rest).hexdigest()))
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        cols = [pa.array([m[k] for m in made], t) for k, t in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["doc", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = True, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """(doc, kept, n_bytes, n_removed, n_spans, kept_sha256) per row of `docs`, `doc` being its key.
 
-    Matches lie within a text; null reads as empty; texts under LENGTH bytes have no runs, though nothing else in them is
-    skipped. Rows are told apart by key and text, so equal rows, being copies of each other, get equal runs; a null key
+    Removed is each byte of a string of LENGTH bytes that also starts anywhere else in the table; `kept` is the rest, in
+    bytes, or null unless `whole` (digests alone move less). Matches lie within a text; null reads as empty; shorter texts
+    lose nothing. Rows are told apart by key and text, so equal rows, being copies of each other, fare alike; a null key
     is a key. No group of copies is gathered: only distinct contexts around a trigger are compared.
     """
     source = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     source = source.select("doc", F.hash("text").alias("mark"), F.col("text").cast("binary").alias("text"))
     grams = map_batches(source.select("text"), _hashes_only, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     found = map_batches(source, _with_contexts, "doc long, mark int, place long, gram long, context long")
-    rest = stage(found.join(grams, "gram"), "triggers")
+    rest = written(found.join(grams, "gram"), "triggers")
     contexts = rest.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "place")).alias("at"))
-    contexts = stage(contexts, "contexts")
-    several = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    shown = contexts.join(several, "gram").select("at.*", "gram", (F.col("n") > 1).alias("settled"), F.lit(True).alias("shown"), (F.col("kinds") > group_limit).alias("large"))
+    contexts = written(contexts, "contexts")
+    # where every context of a trigger occurs twice, or it has one context only, nothing is left to compare
+    open_ = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("fewest")).where("kinds > 1 AND fewest = 1")
+    shown = contexts.join(open_, "gram").select("at.*", "gram", (F.col("n") > 1).alias("settled"), F.lit(True).alias("shown"), (F.col("kinds") > group_limit).alias("large"))
     settled = rest.join(contexts.where("n > 1").select("gram", "context"), ["gram", "context"])
     settled = settled.select("doc", "mark", "place", "gram", F.lit(True).alias("settled"), F.lit(False).alias("shown"), F.lit(False).alias("large"))
     asked = shown.unionByName(settled).groupBy(F.col("doc").alias("d"), F.col("mark").alias("m"))
     asked = asked.agg(F.collect_list(F.struct(F.col("place").cast("int").alias("place"), "gram", "settled", "shown", "large")).alias("asked"))
-    joined = source.join(asked, F.col("doc").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")), "left").select("doc", "mark", "text", "asked")
-    parts = stage(map_batches(joined, _parts, PARTS), "parts")
-    open_ = parts.where("kind = 'context'")
-    runs = _runs(open_, False).unionByName(_runs(open_, True))
-    per_doc = runs.groupBy(F.col("doc").alias("d"), F.col("mark").alias("m")).agg(F.flatten(F.collect_set(F.array("first", "last"))).alias("more"))
-    texts = parts.where("kind = 'text'").select("doc", "mark", "text", "runs")
-    texts = texts.join(per_doc, F.col("doc").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")), "left")
-    both = F.concat("runs", F.coalesce("more", F.array().cast("array<int>")))
-    return texts.select("doc", "text", both.alias("runs")).unionByName(parts.where("kind = 'alone'").select("doc", "text", "runs"))
-
-
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """(doc, kept, n_bytes, n_removed, n_spans, kept_sha256) per row of `docs`; `kept` is the text without the runs, in bytes."""
-
-    def run(batches):
-        for batch in batches:
-            made = []
-            for t, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                rest, gone, spans = outcome(t, np.array(runs, np.int64).reshape(-1, 2))
-                made.append((rest, len(t), gone, spans, hashlib.sha256(rest).hexdigest()))
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            cols = [pa.array([m[k] for m in made], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["doc", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return map_batches(repeated_runs(docs, key, text, **how), run, "doc long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
+    joined = source.join(asked, same, "left").select("doc", "mark", "text", "asked")
+    parts = written(map_batches(joined, lambda batches: _parts(batches, whole), PARTS), "parts")
+    around = parts.where("kind = 'context'")
+    runs = _runs(around, False).unionByName(_runs(around, True))
+    more = runs.groupBy(F.col("doc").alias("d"), F.col("mark").alias("m")).agg(F.flatten(F.collect_set(F.array("first", "last"))).alias("more"))
+    texts = parts.where("kind = 'text'").select("doc", "mark", "text", "runs").join(more, same, "left")
+    texts = texts.select("doc", "text", F.concat("runs", F.coalesce("more", F.array().cast("array<int>"))).alias("runs"))
+    alone = parts.where("kind = 'alone'").select("doc", F.col("text").alias("kept"), "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"))
+    return map_batches(texts, lambda batches: _outcomes(batches, whole), KEPT).unionByName(alone)
