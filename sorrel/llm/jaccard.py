@@ -25,6 +25,8 @@ from sorrel.llm.rows import written
 CELLS_BITS, BLOCKS, BITMAP_BITS, FRAGMENT = 20, 64, 512, 1024
 #: Nodes, and n-grams of all their sets, that one block of a group may hold; a pair of blocks meets in one task.
 BLOCK_NODES, BLOCK_GRAMS = 1024, 2_000_000
+#: Earlier shared n-grams a node shows where it meets others, and bits of the filter for the texts that are read again.
+EARLIER, FILTER_BITS = 4, 1 << 24
 #: Contexts without a rule of their own take five words and 80 %.
 SIZE, PERCENT = 5, 80
 
@@ -131,21 +133,21 @@ def by_cell(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tup
 
 
 def meetings(nodes: DataFrame) -> DataFrame:
-    """(gram, low, high, block, node, previous, n, bits): nodes that share one of their first n-grams, by cell.
+    """(gram, low, high, block, node, earlier, n, bits): nodes that share one of their first n-grams, by cell.
 
     N-grams of a single node go first. A group beyond a block is dealt to blocks by hash, and block i and block j meet in
-    the cell (i, j), so a group of any size is spread. `previous` is the shared n-gram before this one.
+    the cell (i, j), so a group of any size is spread. `earlier` are the shared n-grams just before this one.
     """
     grams = nodes.select("node", "n", F.posexplode("first").alias("place", "gram"))
     group = W.partitionBy("gram")
     shared = grams.withColumns({"many": F.count(F.lit(1)).over(group), "weight": F.sum("n").over(group)}).where("many > 1")
     blocks = F.expr(f"cast(greatest(ceil(many / {BLOCK_NODES}), ceil(weight / {BLOCK_GRAMS})) as int)")
     shared = shared.withColumn("blocks", F.least(blocks, F.col("many").cast("int")))
-    previous = F.lag("gram").over(W.partitionBy("node").orderBy("place"))
-    shared = shared.select("node", "gram", previous.alias("previous"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    earlier = F.collect_list("gram").over(W.partitionBy("node").orderBy("place").rowsBetween(-EARLIER, -1))
+    shared = shared.select("node", "gram", earlier.alias("earlier"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     full = shared.join(nodes.select("node", "n", "bits"), "node")
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return full.select("gram", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "previous", "n", "bits")
+    return full.select("gram", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "earlier", "n", "bits")
 
 
 CELL = ["gram", "low", "high"]
@@ -155,16 +157,16 @@ def may_link(meeting: DataFrame, percent: int) -> DataFrame:
     """(gram, low, high, block, node) of the nodes that have a possible partner in the cell.
 
     Two nodes may be linked if their sizes allow it and their bitmaps, which differ in no more places than their sets do.
-    Where they share the n-gram before as well, they have met there.
+    Where they share one of the n-grams before as well, they have met there.
     """
 
     def run(batches):
         for cell, rows in by_cell(batches, 3):
             m = len(rows)
             n = np.array([r[3] for r in rows], np.int64)
-            # rows without an n-gram before have not met anyone
+            # places without an n-gram before get a number of their own each, so nothing equals them
             seen: dict = {}
-            met = np.array([seen.setdefault(r[2] if r[2] is not None else (k,), len(seen)) for k, r in enumerate(rows)])
+            before = np.array([[seen.setdefault(r[2][e] if e < len(r[2]) else (k, e), len(seen)) for e in range(EARLIER)] for k, r in enumerate(rows)])
             block = np.array([r[0] for r in rows])
             bits = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(m, -1)
             hit = np.zeros(m, bool)
@@ -173,7 +175,9 @@ def may_link(meeting: DataFrame, percent: int) -> DataFrame:
                 part = slice(at, at + step)
                 apart = np.bitwise_count(bits[part, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
                 small, large = np.minimum(n[part, None], n[None, :]), np.maximum(n[part, None], n[None, :])
-                fits = (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large)) & (met[part, None] != met[None, :])
+                fits = (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large))
+                for e in range(EARLIER * EARLIER):
+                    fits &= before[part, None, e // EARLIER] != before[None, :, e % EARLIER]
                 fits &= np.arange(m)[part, None] != np.arange(m)[None, :]
                 if cell[1] != cell[2]:
                     fits &= block[part, None] != block[None, :]
@@ -223,7 +227,8 @@ def linked(members: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
         table = shared.value
         made: list[tuple] = []
         for cell, rows in by_cell(batches, 3):
-            rows.sort(key=lambda r: r[1])
+            # a node comes twice if its row stands twice in the input
+            rows = sorted({r[1]: r for r in rows}.values(), key=lambda r: r[1])
             m = len(rows)
             if m > 1:
                 sets = [np.frombuffer(r[3], U) for r in rows]
@@ -253,15 +258,43 @@ def linked(members: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
     return map_batches(dealt, run, "node long, least long, near long")
 
 
-def own_sets(found: DataFrame, size: int) -> DataFrame:
-    """(node, grams) of the texts whose set is the node's; equal rows of the input give it once."""
+def sized(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """(key, n, h1, h2) of every row: the size of its set and the set's hash."""
 
     def run(batches):
         for batch in batches:
-            rows = [(node, g.tobytes()) for node, g, a, b in zip(batch.column(0).to_pylist(), _sets(batch, 1, size), batch.column(2).to_pylist(), batch.column(3).to_pylist()) if set_hash(g) == [a, b]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "grams"])
+            rows = [(len(g), *set_hash(g)) for g in _sets(batch, 1, size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3))], ["key", "n", "h1", "h2"])
 
-    return map_batches(found, run, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
+    kind = docs.select("key").schema[0].dataType.simpleString()
+    return map_batches(docs.select("key", text), run, f"key {kind}, n long, h1 long, h2 long")
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(key, h1, h2, grams) of the rows of `docs` (key, text) whose key is in `wanted` (least), and of a few more.
+
+    The keys are told apart by a filter of FILTER_BITS bits, whatever their number, so that texts nobody asks for are not
+    shuffled; the join on the key and the set's hash that follows is exact.
+    """
+    place = F.pmod(F.xxhash64("least"), F.lit(FILTER_BITS))
+    words = wanted.groupBy((place / 64).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(least), {FILTER_BITS}) % 64 as int))")).alias("bits"))
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.collect():
+        table[row["word"]] = row["bits"]
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        bits = shared.value.view(U)
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((bits[at >> 6] >> (at & 63).astype(U)) & U(1) == 1))
+            rows = [(*set_hash(g), g.tobytes()) for g in _sets(batch, 1, size)]
+            cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["key", "h1", "h2", "grams"])
+
+    kind = docs.select("key").schema[0].dataType.simpleString()
+    source = docs.select("key", "text", F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("at"))
+    return map_batches(source, run, f"key {kind}, h1 long, h2 long, grams binary")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -275,22 +308,18 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     """
     counts = gram_counts(docs, text, size)
     keyed = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    sets = written(described(keyed, "text", size, percent, counts, ["key"]), "sets")
+    sets = described(keyed, "text", size, percent, counts, ["key"])
     grouped = sets.where("n > 0").groupBy("h1", "h2").agg(
         F.first("n").alias("n"), F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("bits").alias("bits"), F.first("first").alias("first")
     )
     nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = written(may_link(meetings(nodes), percent), "members")
-    wanted = members.select("node").distinct().join(nodes.select("node", "least", "h1", "h2"), "node")
-    # a key may have several texts, of which the set's hash finds the right one
-    named = wanted.where("least IS NOT NULL")
-    found = keyed.where("key IS NOT NULL").join(named, F.col("key") == F.col("least")).select("node", "text", "h1", "h2")
-    nameless = wanted.where("least IS NULL").select("node", F.col("h1").alias("w1"), F.col("h2").alias("w2"))
-    blank = described(keyed.where("key IS NULL").withColumn("t", F.col("text")), "t", size, percent, counts, ["key", "text"])
-    blank = blank.join(nameless, (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2"))).select("node", "text", "h1", "h2")
-    full = members.join(own_sets(found.unionByName(blank), size), "node").join(nodes.select("node", "copies"), "node")
+    asked = members.join(nodes.select("node", "least", "copies", "h1", "h2"), "node")
+    found = sets_of(keyed, members.select("node").distinct().join(nodes.select("node", "least"), "node"), size).withColumnsRenamed({"h1": "g1", "h2": "g2"})
+    same = F.col("key").eqNullSafe(F.col("least")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
+    full = asked.join(found, same)
     ends = written(linked(full, percent, counts), "ends")
-    documents = sets.select("key", F.col("n").alias("n_shingles"), "h1", "h2")
+    documents = sized(keyed, "text", size).withColumnRenamed("n", "n_shingles")
     return documents, nodes.select("node", "h1", "h2", "n", "least", "copies"), ends
 
 
