@@ -253,6 +253,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", whole:
     source = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     source = source.select("doc", F.hash("text").alias("mark"), F.col("text").cast("binary").alias("text"))
     grams = map_batches(source.select("text"), _hashes_only, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    grams = written(grams, "grams")
     found = map_batches(source, _with_contexts, "doc long, mark int, place long, gram long, context long")
     rest = written(found.join(grams, "gram"), "triggers")
     contexts = rest.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "place")).alias("at"))
