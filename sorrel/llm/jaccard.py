@@ -2,9 +2,9 @@
 
 All n-grams have one global order: rare ones first, by a table of counts with a fixed number of cells, then by hash. In
 that order two sets that are alike enough share one of their first few n-grams. Nodes that share one meet there, in
-groups cut into blocks of bounded size; a parity bitmap bounds how much two sets can differ, and only nodes with a
-possible partner send their sets. These are then cut along the global order into fragments of FRAGMENT n-grams, the
-overlaps of pairs are counted fragment by fragment and summed.
+groups cut into blocks of bounded size; a parity bitmap bounds how much two sets can differ, and nodes that may be linked
+become one cluster. Each sends its set to its cluster, again in blocks, where the sets are cut along the global order into
+fragments of FRAGMENT n-grams; the overlaps of pairs are counted fragment by fragment and summed.
 Documents with equal sets are one node throughout, and pairs stay inside their block: what comes out is one row per node
 and block, with the number of linked documents and one node of those it is linked with.
 """
@@ -150,17 +150,15 @@ def meetings(nodes: DataFrame) -> DataFrame:
     return full.select("gram", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "earlier", "n", "bits")
 
 
-CELL = ["gram", "low", "high"]
-
-
 def may_link(meeting: DataFrame, percent: int) -> DataFrame:
-    """(gram, low, high, block, node) of the nodes that have a possible partner in the cell.
+    """(node, least) of the nodes that have a possible partner in a cell: the least node reached over such partners there.
 
     Two nodes may be linked if their sizes allow it and their bitmaps, which differ in no more places than their sets do.
     Where they share one of the n-grams before as well, they have met there.
     """
 
     def run(batches):
+        made: list[tuple] = []
         for cell, rows in by_cell(batches, 3):
             m = len(rows)
             n = np.array([r[3] for r in rows], np.int64)
@@ -169,7 +167,7 @@ def may_link(meeting: DataFrame, percent: int) -> DataFrame:
             before = np.array([[seen.setdefault(r[2][e] if e < len(r[2]) else (k, e), len(seen)) for e in range(EARLIER)] for k, r in enumerate(rows)])
             block = np.array([r[0] for r in rows])
             bits = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(m, -1)
-            hit = np.zeros(m, bool)
+            nodes, label = np.array([r[1] for r in rows], np.int64), np.arange(m)
             step = max(1, (1 << 18) // m)
             for at in range(0, m, step):
                 part = slice(at, at + step)
@@ -181,18 +179,37 @@ def may_link(meeting: DataFrame, percent: int) -> DataFrame:
                 fits &= np.arange(m)[part, None] != np.arange(m)[None, :]
                 if cell[1] != cell[2]:
                     fits &= block[part, None] != block[None, :]
-                hit[part] |= fits.any(axis=1)
-            if hit.any():
-                found = np.flatnonzero(hit)
-                same = [pa.array([x] * len(found), t) for x, t in zip(cell, (pa.int64(), pa.int32(), pa.int32()))]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(block[found], pa.int32()), pa.array([rows[k][1] for k in found], pa.int64())], [*CELL, "block", "node"])
+                for k in np.flatnonzero(fits.any(axis=1)):
+                    joined = np.append(label[np.flatnonzero(fits[k])], label[at + k])
+                    label[np.isin(label, joined)] = joined.min()
+            # a label is the least place of its component; its node stands for it
+            sizes = np.bincount(label, minlength=m)
+            made += [(int(nodes[k]), int(nodes[label[k]])) for k in np.flatnonzero(sizes[label] > 1)]
+            if len(made) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], ["node", "least"])
+                made = []
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], ["node", "least"])
+
+    dealt = meeting.repartition("gram", "low", "high").sortWithinPartitions("gram", "low", "high")
+    return map_batches(dealt, run, "node long, least long")
+
+
+def in_cells(clusters: DataFrame) -> DataFrame:
+    """(cluster, low, high, block, node, ...): clusters cut into blocks as groups are in `meetings`."""
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("weight"))
+    blocks = F.expr(f"cast(least(many, greatest(ceil(many / {BLOCK_NODES}), ceil(weight / {BLOCK_GRAMS}))) as int)")
+    placed = clusters.join(sizes.select("cluster", blocks.alias("blocks")), "cluster")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("blocks", "other", "n")
+
 
-    dealt = meeting.repartition(*CELL).sortWithinPartitions(*CELL)
-    return map_batches(dealt, run, "gram long, low int, high int, block int, node long")
+CELL = ["cluster", "low", "high"]
 
 
-def overlaps(sets: list[np.ndarray], gram: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(shared n-grams of every two sets, those of them before `gram` in the global order), fragment by fragment."""
+def overlaps(sets: list[np.ndarray], counts: np.ndarray) -> np.ndarray:
+    """How many n-grams every two sets share, counted fragment by fragment of the global order."""
     m = len(sets)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
     values, column, times = np.unique(flat, return_inverse=True, return_counts=True)
@@ -200,27 +217,23 @@ def overlaps(sets: list[np.ndarray], gram: int, counts: np.ndarray) -> tuple[np.
     several = several[np.lexsort((values[several], rank(values[several], counts)))]
     place = np.full(len(values), -1)
     place[several] = np.arange(len(several))
-    start = int(place[np.searchsorted(values, U(gram & (1 << 64) - 1))])
     kept = place[column] >= 0
     owner, place = owner[kept], place[column][kept]
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
-    total, before = np.zeros((m, m), np.float32), np.zeros((m, m), np.float32)
-    cuts = sorted({0, start, len(several), *range(0, len(several), FRAGMENT)})
-    for first, last in zip(cuts, cuts[1:]):
+    total = np.zeros((m, m), np.float32)
+    for first in range(0, len(several), FRAGMENT):
+        last = min(first + FRAGMENT, len(several))
         i, j = np.searchsorted(place, (first, last))
         fragment = np.zeros((m, last - first), np.float32)
         fragment[owner[i:j], place[i:j] - first] = 1
-        partial = fragment @ fragment.T
-        total += partial
-        if last <= start:
-            before += partial
-    return total, before
+        total += fragment @ fragment.T
+    return total
 
 
 def linked(members: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
     """(node, least, near) per node with links in a cell: the least node it can reach there, and how many documents the
-    nodes have to which it is linked there. A pair counts in the cell of the first n-gram that it shares."""
+    nodes have to which it is linked there. Every two nodes of a cluster meet in one cell."""
     shared = members.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
@@ -233,8 +246,8 @@ def linked(members: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
             if m > 1:
                 sets = [np.frombuffer(r[3], U) for r in rows]
                 n = np.array([len(s) for s in sets], np.float64)
-                total, before = overlaps(sets, cell[0], table)
-                link = ((100 + percent) * total.astype(np.float64) >= percent * (n[:, None] + n[None, :])) & (before == 0)
+                total = overlaps(sets, table)
+                link = (100 + percent) * total.astype(np.float64) >= percent * (n[:, None] + n[None, :])
                 np.fill_diagonal(link, False)
                 if cell[1] != cell[2]:
                     block = np.array([r[0] for r in rows])
@@ -313,9 +326,11 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
         F.first("n").alias("n"), F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("bits").alias("bits"), F.first("first").alias("first")
     )
     nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    members = written(may_link(meetings(nodes), percent), "members")
-    asked = members.join(nodes.select("node", "least", "copies", "h1", "h2"), "node")
-    found = sets_of(keyed, members.select("node").distinct().join(nodes.select("node", "least"), "node"), size).withColumnsRenamed({"h1": "g1", "h2": "g2"})
+    near = written(may_link(meetings(nodes), percent), "near")
+    clusters = components(near.where("node <> least"), "node", "least").withColumnRenamed("component", "cluster")
+    members = written(clusters.join(nodes.select("node", "n", "least", "copies", "h1", "h2"), "node"), "members")
+    found = sets_of(keyed, members, size).withColumnsRenamed({"h1": "g1", "h2": "g2"})
+    asked = in_cells(members)
     same = F.col("key").eqNullSafe(F.col("least")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
     full = asked.join(found, same)
     ends = written(linked(full, percent, counts), "ends")
