@@ -19,7 +19,7 @@ from sorrel.llm.arrays import map_batches, slices
 from sorrel.llm.rows import in_ranges
 
 BLOCK_IDS = 1 << 16
-CACHED_WORDS, CACHED_LENGTH = 300_000, 200
+CACHED_WORDS, CACHED_LENGTH = 500_000, 200
 SAMPLE = 64
 BLOCK_SCHEMA = "shard int, block int, first long, n_docs long, n_null long, n_ids long, width int, lowest long, doc_ids binary, ends binary, ids binary"
 
@@ -82,6 +82,17 @@ class EliasFano:
         return cls(n, width, data[32 : 32 + low], data[32 + low : 32 + low + high], np.frombuffer(data, "<u4", offset=32 + low + high))
 
 
+def _stem(word: str) -> tuple[str, str]:
+    """(word in lower case without a last comma or full stop, that mark): their ids are the word's ids.
+
+    The tokenizer lower-cases by itself and ends a pre-token between a letter and a mark. Only ASCII words change case
+    here, and none that could be a special token.
+    """
+    if word.isascii() and "<" not in word:
+        word = word.lower()
+    return (word[:-1], word[-1]) if word[-1] in ".," and word[-2:-1].isalpha() else (word, "")
+
+
 class Encoder:
     """Ids of whole texts, with those of frequent words kept.
 
@@ -108,15 +119,19 @@ class Encoder:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
         missing = list(set().union(*words).difference(known))
-        for k in range(0, len(missing), 4096):
-            part = missing[k : k + 4096]
+        stems = {w: _stem(w) for w in missing}
+        new = list({x for pair in stems.values() for x in pair}.difference(known))
+        for k in range(0, len(new), 4096):
+            part = new[k : k + 4096]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 known[word] = np.array(e.ids, self.dtype).tobytes()
+        for word, (stem, mark) in stems.items():
+            known[word] = known[stem] + known[mark]
         out = [b"".join(map(known.__getitem__, w)) + tail for w in words]
         if len(known) > CACHED_WORDS:
             self.known = {"": b""}
         else:
-            for word in missing:
+            for word in {*missing, *new}:
                 if len(word) > CACHED_LENGTH:
                     del known[word]
         return out
