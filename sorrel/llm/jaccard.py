@@ -22,7 +22,8 @@ from sorrel.llm.arrays import SPACED, U, map_batches, shingles, slices, text_byt
 from sorrel.llm.graph import components
 from sorrel.llm.rows import written
 
-CELLS_BITS, BLOCKS, BITMAP_BITS, FRAGMENT = 20, 64, 512, 1024
+CELLS_BITS, BLOCKS, BITMAP_BITS, FRAGMENT = 23, 64, 512, 1024
+TOP, HELD = (1 << 16) - 1, 1 << 22
 #: Nodes, and n-grams of all their sets, that one block of a group may hold; a pair of blocks meets in one task.
 BLOCK_NODES, BLOCK_GRAMS = 1024, 2_000_000
 #: Earlier shared n-grams a node shows where it meets others, and bits of the filter for the texts that are read again.
@@ -44,35 +45,42 @@ def _sets(batch: pa.RecordBatch, column: int, size: int):
 def gram_counts(docs: DataFrame, text: str, size: int) -> np.ndarray:
     """How often n-grams of each of 2^CELLS_BITS hash cells occur, over all documents.
 
-    Any order of n-grams gives right results, so cells may hold several; the table has the same size for any corpus. Tasks
-    send BLOCKS partial sums each, which are added up block by block.
+    Any order of n-grams gives right results, so cells may hold several and stop at TOP; the table has the same size for
+    any corpus. Tasks send BLOCKS partial sums each, which are added up block by block; there are two tasks a core at
+    most, as each has a table.
     """
     cells, width = 1 << CELLS_BITS, (1 << CELLS_BITS) // BLOCKS
 
     def count(batches):
-        total = np.zeros(cells, np.int64)
+        total, held = np.zeros(cells, np.uint32), []
         for batch in batches:
             raw, offsets = text_bytes(batch.column(0))
             for i, j in slices(offsets):
                 words, bounds = word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], SPACED)
-                total += np.bincount((shingles(words, bounds, size)[0] >> U(64 - CELLS_BITS)).astype(np.int64), minlength=cells)
+                held.append((shingles(words, bounds, size)[0] >> U(64 - CELLS_BITS)).astype(np.int32))
+                if sum(map(len, held)) > HELD:
+                    total += np.bincount(np.concatenate(held), minlength=cells).astype(np.uint32)
+                    held = []
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=cells).astype(np.uint32)
         if total.any():
-            parts = np.minimum(total, (1 << 32) - 1).astype("<u4").reshape(BLOCKS, width)
+            parts = np.minimum(total, TOP).astype("<u2").reshape(BLOCKS, width)
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": [p.tobytes() for p in parts]})
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, part in zip(*(c.to_pylist() for c in batch.columns)):
-                sums[block] = sums.get(block, 0) + np.frombuffer(part, "<u4").astype(np.int64)
+                sums[block] = np.minimum(sums.get(block, 0) + np.frombuffer(part, "<u2").astype(np.uint32), TOP)
         if sums:
-            parts = [np.minimum(s, (1 << 32) - 1).astype("<u4").tobytes() for s in sums.values()]
+            parts = [s.astype("<u2").tobytes() for s in sums.values()]
             yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "sums": parts})
 
-    parts = map_batches(docs.select(text), count, "block int, sums binary")
-    out = np.zeros((BLOCKS, width), np.uint32)
+    few = docs.select(text).coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
+    parts = map_batches(few, count, "block int, sums binary")
+    out = np.zeros((BLOCKS, width), np.uint16)
     for row in map_batches(parts.repartitionById(BLOCKS, F.col("block")), add, "block int, sums binary").collect():
-        out[row["block"]] = np.frombuffer(row["sums"], "<u4")
+        out[row["block"]] = np.frombuffer(row["sums"], "<u2")
     return out.ravel()
 
 
