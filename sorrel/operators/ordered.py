@@ -175,8 +175,9 @@ def top_k_per_user(df: DataFrame, user: str, order: Sequence[Column], k: int = 1
 
 
 def page(df: DataFrame, by: str, limit: int = 20, offset: int = 0) -> DataFrame:
-    """One page in key order, each row with the table's `total`."""
-    limit = max(1, min(limit, 200))
+    """One page of `limit` rows in key order, each row with the table's `total`."""
+    if limit < 1 or offset < 0:
+        raise ValueError("limit must be 1 or more, offset 0 or more")
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return df.orderBy(by).offset(offset).limit(limit).withColumn("total", total)
 
