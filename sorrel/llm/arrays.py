@@ -6,6 +6,7 @@ batch holds. Byte classes equal the code point classes they stand for, as UTF-8
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,11 +20,27 @@ ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB8665
 
 
 def map_batches(df: DataFrame, func: Callable, schema: str) -> DataFrame:
-    """`mapInArrow` with batches of at most BATCH_ROWS rows, as a row holds a whole text."""
+    """`mapInArrow` with batches of at most BATCH_ROWS rows, as a row holds a whole text.
+
+    Spark keeps Python workers between tasks, so a task hands its free memory back to the system at its end.
+    """
+
+    def run(batches):
+        yield from func(batches)
+        release()
+
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(func, schema)
+    return df.mapInArrow(run, schema)
+
+
+def release() -> None:
+    """Return memory that Arrow and the C allocator hold free."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

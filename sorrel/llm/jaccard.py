@@ -23,7 +23,7 @@ from sorrel.llm.graph import components
 from sorrel.llm.rows import written
 
 CELLS_BITS, BLOCKS, BITMAP_BITS, FRAGMENT = 23, 64, 512, 1024
-TOP, HELD = (1 << 16) - 1, 1 << 22
+TOP, HELD = (1 << 16) - 1, 1 << 20
 #: Nodes, and n-grams of all their sets, that one block of a group may hold; a pair of blocks meets in one task.
 BLOCK_NODES, BLOCK_GRAMS = 1024, 2_000_000
 #: Earlier shared n-grams a node shows where it meets others, and bits of the filter for the texts that are read again.
@@ -59,10 +59,12 @@ def gram_counts(docs: DataFrame, text: str, size: int) -> np.ndarray:
                 words, bounds = word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], SPACED)
                 held.append((shingles(words, bounds, size)[0] >> U(64 - CELLS_BITS)).astype(np.int32))
                 if sum(map(len, held)) > HELD:
-                    total += np.bincount(np.concatenate(held), minlength=cells).astype(np.uint32)
+                    found, times = np.unique(np.concatenate(held), return_counts=True)
+                    total[found] += times.astype(np.uint32)
                     held = []
         if held:
-            total += np.bincount(np.concatenate(held), minlength=cells).astype(np.uint32)
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            total[found] += times.astype(np.uint32)
         if total.any():
             parts = np.minimum(total, TOP).astype("<u2").reshape(BLOCKS, width)
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": [p.tobytes() for p in parts]})

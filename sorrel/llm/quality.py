@@ -52,25 +52,34 @@ def _word_grams(raw: np.ndarray, offsets: np.ndarray):
     return _fold(h), bounds, _fold(pairs), np.concatenate([[0], np.cumsum(np.maximum(np.diff(bounds) - 1, 0))])
 
 
-def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, share of each) of one document."""
+def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, count of each) of one document, in narrow types: the training task holds those of all its rows."""
     raw = np.frombuffer(text, np.uint8)
     words, _, pairs, _ = _word_grams(raw, np.array([0, len(raw)]))
     ids = np.concatenate([words, pairs, *(g for _, g in _byte_grams(raw))])
     found, counts = np.unique(ids, return_counts=True)
-    return found, (counts / max(1, len(ids))).astype(np.float32)
+    return found.astype(np.int32), counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
+def shares(counts: np.ndarray) -> np.ndarray:
+    return (counts / max(1, counts.sum(dtype=np.int64))).astype(np.float32)
+
+
+def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, share of each) of one document."""
+    found, counts = counted(text)
+    return found, shares(counts)
 
 
-def train(texts: list[bytes], labels: np.ndarray, seed: int = 2) -> tuple[np.ndarray, float]:
-    """(logit of label 1 over label 0 per bucket, the same for the bias)."""
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 2) -> tuple[np.ndarray, float]:
+    """(logit of label 1 over label 0 per bucket, the same for the bias) from `counted` texts."""
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     output, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    bags = [bag(t) for t in texts]
     total, done = EPOCHS * len(bags), 0
     for _ in range(EPOCHS):
         for k in draw.permutation(len(bags)):
-            ids, share = bags[k]
+            ids, share = bags[k][0], shares(bags[k][1])
             rate = RATE * (1 - done / total)
             done += 1
             rows = vectors[ids]
@@ -121,12 +130,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows = rows.select(F.md5(F.col("_key").cast("string")).alias("o"), "_label", F.coalesce(F.col(text), F.lit("")).alias("t"))
 
     def run(batches):
-        texts, marks = [], []
+        bags, marks = [], []
         for batch in batches:
             marks += batch.column(1).to_pylist()
-            texts += [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
-        if texts:
-            table, bias = train(texts, np.array(marks))
+            bags += [counted(t.as_py().encode("utf-8", "surrogatepass")) for t in batch.column(2)]
+        if bags:
+            table, bias = train(bags, np.array(marks))
             yield pa.RecordBatch.from_pydict({"model": [np.append(table, np.float32(bias)).tobytes()]})
 
     model = map_batches(rows.repartition(1).sortWithinPartitions("o", "_label", "t"), run, "model binary").collect()
