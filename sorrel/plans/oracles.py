@@ -594,7 +594,7 @@ ORACLES: dict[str, str] = {
     "error_rate": error_rate(False),
     "silence": f"""WITH {LOG}, g AS (SELECT endpoint AS target, ts, lead(ts) OVER (PARTITION BY endpoint ORDER BY ts) AS nxt FROM log)
       SELECT target, {stamp("ts + INTERVAL 1 HOUR")} AS silent_from, {stamp("nxt")} AS back_at, 'target_down' AS type, 'critical' AS severity
-      FROM g WHERE nxt - ts > INTERVAL 1 HOUR""",
+      FROM g WHERE coalesce(nxt, (SELECT max(ts) FROM log)) - ts > INTERVAL 1 HOUR""",
     "stream_windows": f"""WITH {SCORES}, w AS (SELECT date_trunc('hour', ts) AS a, count(*) AS n, avg(score) AS mean, avg(CAST(score >= 0.5 AS DOUBLE)) AS positive_rate,
         quantile_disc(score, 0.25) AS p25, quantile_disc(score, 0.5) AS p50, quantile_disc(score, 0.75) AS p75 FROM score_log GROUP BY 1)
       SELECT {stamp("a")} AS window_start, {stamp("a + INTERVAL 1 HOUR")} AS window_end, n, {rnd("mean", "positive_rate", "p25", "p50", "p75")}

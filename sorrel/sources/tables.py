@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 
 def read_feature_view(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame | None:
@@ -35,30 +35,67 @@ def read_feature_columns(spark: SparkSession, path: str) -> list[str]:
     return [r.feature for r in spark.read.parquet(path).orderBy("position").collect()]
 
 
-def write_online(df: DataFrame, path: str, version: int, key: str, buckets: int = 64) -> None:
-    """One version of a snapshot, split by key bucket; writing a version again replaces it."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    (
-        df.withColumn("bucket", bucket)
-        .repartition("bucket")
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(f"{path}/version={version}")
-    )
+COMMITS = "version long, writer string, buckets int, touched array<int>"
 
 
-def read_online(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """Newest rows of a snapshot: for each key bucket its latest version (older than `before`)."""
-    full = T.StructType(list(schema.fields)).add("version", T.LongType()).add("bucket", T.IntegerType())
+def online_commits(spark: SparkSession, path: str) -> list[Row]:
+    """Versions of a snapshot that still matter: at most one per key bucket and two per writer."""
     try:
-        table = spark.read.schema(full).parquet(path)
+        return spark.read.schema(COMMITS).json(f"{path}/commits").collect()
     except AnalysisException:
-        return spark.createDataFrame([], schema)
-    if before is not None:
-        table = table.where(F.col("version") < before)
-    # at most one row per bucket: the join prunes the other versions' folders
-    latest = table.groupBy("bucket").agg(F.max("version").alias("version"))
-    return table.join(F.broadcast(latest), ["bucket", "version"]).select(*schema.fieldNames())
+        return []
+
+
+def _live(commits: Sequence[Row], before: int | None = None) -> dict[int, int]:
+    """Newest version of each bucket (older than `before`)."""
+    newest: dict[int, int] = {}
+    for c in commits:
+        for b in c.touched if before is None or c.version < before else ():
+            newest[b] = max(newest.get(b, c.version), c.version)
+    return newest
+
+
+def write_online(df: DataFrame, path: str, version: int, key: str, buckets: int = 64, writer: str = "", files: int = 8) -> None:
+    """One version of a snapshot, split by key bucket into up to `files` files each; writing a version again replaces it.
+
+    The version counts once its commit is written. Bucket folders that an earlier version had replaced already are
+    removed then, so readers and a repeat of this version still find what was newest before it.
+    """
+    spark, target = df.sparkSession, f"{path}/data/version={version}"
+    commits = [c for c in online_commits(spark, path) if c.version != version]
+    if any(c.buckets != buckets for c in commits):
+        raise ValueError(f"the table at {path} has another number of buckets than {buckets}")
+    rows = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    part = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(files))
+    rows.repartition("bucket", part).write.mode("overwrite").partitionBy("bucket").parquet(target)
+    # at most `buckets` numbers
+    touched = [r.bucket for r in spark.read.schema(rows.schema).parquet(target).select("bucket").distinct().collect()]
+    commit = spark.createDataFrame([(writer, buckets, touched)], "writer string, buckets int, touched array<int>")
+    commit.coalesce(1).write.mode("overwrite").json(f"{path}/commits/version={version}")
+    _retire(spark, path, commits, version)
+
+
+def _retire(spark: SparkSession, path: str, commits: Sequence[Row], version: int) -> None:
+    """Remove what was replaced before `version`, and commits that own nothing unless they are their writer's last."""
+    live = _live(commits, version)
+    last = {}
+    for c in commits:
+        name = c.writer.rpartition("/")[0]
+        last[name] = max(last.get(name, c.version), c.version)
+    gone = [f"data/version={c.version}/bucket={b}" for c in commits for b in c.touched if c.version < live.get(b, -1)]
+    idle = [c for c in commits if c.version < version and all(c.version < live[b] for b in c.touched)]
+    gone += [f"{kind}/version={c.version}" for c in idle if c.version not in last.values() for kind in ("data", "commits")]
+    files = spark._jvm.org.apache.hadoop.fs
+    for name in gone:
+        folder = files.Path(f"{path}/{name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_online(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """Newest rows of a snapshot: for each key bucket the folder of its latest version (older than `before`)."""
+    live = _live(online_commits(spark, path), before)
+    folders = [f"{path}/data/version={v}/bucket={b}" for b, v in sorted(live.items())]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def online_as_json(df: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sorrel.operators.ordered import latest_per_key
 from sorrel.operators.store import FeatureView, upsert
 from sorrel.session import new_folder
-from sorrel.sources.tables import read_online, write_online
+from sorrel.sources.tables import online_commits, read_online, write_online
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -38,20 +38,25 @@ def stream_materialize(rows: DataFrame, view: FeatureView, path: str, checkpoint
     """Keep an online snapshot current from new feature rows; returns the started query.
 
     Each batch is reduced to its newest row per key and merged with the stored rows of the key
-    buckets it touches; only those buckets are written again, under the batch's own version. A
-    repeated batch reads the versions before it and replaces its own, so it changes nothing.
+    buckets it touches; only those buckets are written again, under the version after the highest
+    stored one. The version is recorded with the stream's id and the batch's number, so a repeated
+    batch reads the versions before its own and replaces that one, and a stream with a new checkpoint
+    goes on from what is stored.
     """
-    schema = T.StructType([f for f in rows.schema.fields if f.name != view.created])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        delta = latest_per_key(batch, view.key, view.ts, view.created if view.created in batch.columns else None).drop(view.created)
+        stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        writer, commits = f"{stream}/{batch_id}", online_commits(spark, path)
+        own = [c.version for c in commits if c.writer == writer]
+        version = own[0] if own else max((c.version for c in commits), default=-1) + 1
+        delta = latest_per_key(batch, view.key, view.ts, view.created if view.created in batch.columns else None)
         bucket = F.pmod(F.xxhash64(view.key), F.lit(buckets)).cast("int")
         # at most `buckets` rows
         touched = delta.select(bucket.alias("bucket")).distinct()
-        stored = read_online(spark, path, schema, before=batch_id)
+        stored = read_online(spark, path, rows.schema, before=version)
         old = stored.withColumn("bucket", bucket).join(F.broadcast(touched), "bucket", "left_semi").drop("bucket")
-        write_online(upsert(old, delta, view), path, batch_id, view.key, buckets)
+        write_online(upsert(old, delta, view), path, version, view.key, buckets, writer)
 
     return (
         rows.writeStream.foreachBatch(merge)

@@ -135,7 +135,7 @@ def silences_stream(df: DataFrame, ts: str = "ts", target: str = "target", gap:
 
 
 def silences(df: DataFrame, ts: str = "ts", target: str = "target", gap_seconds: int = 60) -> DataFrame:
-    """Closed silences of a finished log.
+    """Silences of a finished log; `back_at` is null for a target that is still silent at the log's end.
 
     Within a cell as long as the gap there can be no silence, so first and last times per cell are
     enough, and a busy target is summed before it is ordered.
@@ -146,7 +146,7 @@ def silences(df: DataFrame, ts: str = "ts", target: str = "target", gap_seconds:
     gap = F.lit(gap_seconds * 1_000_000).cast("bigint")
     return (
         cells.withColumn("next", following)
-        .where(F.col("next") - F.col("b") > gap)
+        .where(F.coalesce(F.col("next"), df.agg(F.max(us)).scalar()) - F.col("b") > gap)
         .select(
             target,
             F.timestamp_micros(F.col("b") + gap).alias("silent_from"),

@@ -79,12 +79,13 @@ def test_chi2_critical_values(spark, x, df, p):
     assert got == pytest.approx(p, abs=2e-7)
 
 
-def test_chi2_wide_form_meets_the_exact_one(spark):
-    # the 5 % point by the normal approximation; both forms must be near 0.05
-    n = 20_001
-    x = n * (1 - 2 / (9 * n) + 1.6448536 * math.sqrt(2 / (9 * n))) ** 3
-    got = spark.range(1).select(chi2_sf(F.lit(x), F.lit(n))).first()[0]
-    assert got == pytest.approx(0.05, abs=1e-5)
+@pytest.mark.parametrize("n", [19_999, 20_001, 1_000_000, 1_000_001, 100_000_000])
+def test_chi2_of_many_degrees(spark, n):
+    # points of the normal approximation, whose error shrinks with n
+    for z, p in ((1.6448536, 0.05), (-1.6448536, 0.95), (0.0, 0.5)):
+        x = n * (1 - 2 / (9 * n) + z * math.sqrt(2 / (9 * n))) ** 3
+        got = spark.range(1).select(chi2_sf(F.lit(x), F.lit(n))).first()[0]
+        assert got == pytest.approx(p, abs=1e-5)
 
 
 def test_kolmogorov_and_erfc(spark):

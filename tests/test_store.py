@@ -72,6 +72,15 @@ def test_materialize_window_fallback_and_upsert(spark, history, rows):
     assert rows(st.materialize_counts({"a": inside, "b": up})) == [("a", 2), ("b", 2)]
 
 
+def test_a_correction_created_later_wins(spark, rows):
+    at = "TIMESTAMP '2024-01-04'"
+    made = [f"SELECT 1L AS user_id, {x} AS x, {at} AS event_timestamp, TIMESTAMP '{c}' AS created" for x, c in (("50.0D", "2024-01-04"), ("20.0D", "2024-01-05"))]
+    first, correction = map(spark.sql, made)
+    online = st.materialize(first, VIEW, F.lit("2024-01-05").cast("timestamp"))
+    up = st.materialize_incremental(online, correction, VIEW, F.lit("2024-01-05").cast("timestamp"))
+    assert rows(up, "user_id", "x") == [(1, 20.0)]
+
+
 def test_online_reads(spark, history, rows):
     snap = st.materialize(history.where("user_id IS NOT NULL"), VIEW, F.lit("2024-01-06").cast("timestamp"))
     pairs = spark.createDataFrame([(0,), (1,), (9,), (None,)], "user_id long")

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from sorrel.operators import store as st
 from sorrel.session import new_folder
-from sorrel.sources.tables import read_online
+from sorrel.sources.tables import online_commits, read_online
 from sorrel.streaming import sinks, windows as sw
 
 LOG = T.StructType().add("id", T.LongType()).add("ts", T.TimestampType()).add("target", T.StringType()).add("status", T.IntegerType()).add("latency_ms", T.DoubleType())
@@ -71,6 +72,11 @@ def test_silence_batch_and_stream(spark, tmp_path):
     data = [at(m * 0.5, target="a") for m in range(20)] + [at(30 + m * 0.5, target="a") for m in range(400)]
     data += [at(m * 0.5, target="b") for m in range(460)]
     stream, batch = log(spark, str(tmp_path), [sorted(data, key=lambda r: r[1])])
+    # c never comes back, b stops within the gap before the end
+    down = spark.createDataFrame([at(3, target="c")], LOG).unionByName(batch)
+    got = sorted(sw.silences(down).collect(), key=lambda r: r.target)
+    assert [(r.target, r.silent_from, r.back_at) for r in got if r.target == "c"] == [("c", START + timedelta(minutes=4), None)]
+    assert {r.target for r in got} == {"a", "c"}
     got = sw.silences(batch).collect()
     assert [(r.target, r.silent_from, r.back_at) for r in got] == [("a", START + timedelta(minutes=10.5), START + timedelta(minutes=30))]
     live = sinks.run_available(sw.silences_stream(sw.timed(stream, late="1 minute"))).collect()
@@ -95,3 +101,29 @@ def test_stream_upsert_is_idempotent(spark, tmp_path, rows):
     assert first == {**{i: 1.0 for i in range(30)}, 3: 2.0}
     # the same batches again, as after a lost checkpoint
     assert run(new_folder(spark, "ck")) == first
+
+
+def test_stream_upsert_goes_on_with_fresh_checkpoints_and_repeats(spark, tmp_path, rows):
+    schema = T.StructType().add("user_id", T.LongType()).add("x", T.DoubleType()).add("event_timestamp", T.TimestampType()).add("created", T.TimestampType())
+    view = st.FeatureView("v", "user_id", (("x", T.DoubleType()),), timedelta(days=7))
+    table = new_folder(spark, "upsert")
+
+    def run(name, data, checkpoint):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}/p{len(data)}")
+        sinks.stream_materialize(sinks.read_stream(spark, f"{tmp_path}/{name}/p*", schema), view, table, checkpoint, buckets=2).awaitTermination()
+        return dict(rows(read_online(spark, table, schema), "user_id", "x"))
+
+    later = START + timedelta(hours=1)
+    assert run("a", [(1, 50.0, START, START)], new_folder(spark, "ck")) == {1: 50.0}
+    assert run("b", [(2, 7.0, START, START), (3, 8.0, START, START)], new_folder(spark, "ck")) == {1: 50.0, 2: 7.0, 3: 8.0}
+    checkpoint = new_folder(spark, "ck")
+    # the same event time, created later: the correction counts, although its value is smaller
+    want = {1: 20.0, 2: 7.0, 3: 8.0}
+    assert run("c", [(1, 20.0, START, later)], checkpoint) == want
+    # the batch's own commit is lost, so it runs again and replaces its own version
+    folder = checkpoint.removeprefix("file:")
+    for lost in ("0", ".0.crc"):
+        os.unlink(f"{folder}/commits/{lost}")
+    assert run("c", [(4, 1.0, START, START)] * 2, checkpoint) == {**want, 4: 1.0}
+    versions = [c.version for c in online_commits(spark, table)]
+    assert len(versions) == len(set(versions)) and len([c for c in online_commits(spark, table) if c.writer.endswith("/0")]) <= 3
