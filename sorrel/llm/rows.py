@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sorrel.operators.ordered import running_sums
@@ -45,6 +44,9 @@ def in_ranges(df: DataFrame, key: str, name: str = "range_no") -> tuple[DataFram
     Only quantiles of the key reach the driver, one per shuffle partition. Unlike range partitioning this does not run
     the plan of `df` twice, and the ranges are known to later steps.
     """
+    # here and not above, as every Python worker imports this module and the package takes 48 MB
+    from pyspark.ml.feature import Bucketizer
+
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probs = [k / parts for k in range(1, parts)]
     cuts = df.select(F.col(key).cast("double").alias("k")).approxQuantile("k", probs, 0.1 / parts) if probs else []
