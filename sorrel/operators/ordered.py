@@ -164,8 +164,9 @@ def _sortable(df: DataFrame, c: str) -> bool:
     return not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))
 
 
-def last_n(df: DataFrame, ts: str, n: int = 10) -> DataFrame:
-    return df.orderBy(F.col(ts).desc()).limit(n)
+def last_n(df: DataFrame, ts: str, n: int = 10, ties: Sequence[str] = ()) -> DataFrame:
+    """The newest n rows, newest first; equal times in the order of `ties`."""
+    return df.orderBy(F.col(ts).desc(), *ties).limit(n)
 
 
 def top_k_per_user(df: DataFrame, user: str, order: Sequence[Column], k: int = 10) -> DataFrame:

@@ -440,6 +440,28 @@ ORACLES: dict[str, str] = {
     "file_stats": f"WITH {INTER} SELECT count(*) AS n_lines, count(*) FILTER (rating = 5) AS n_bad_fields FROM inter",
     "validate_file": f"""WITH {INTER} SELECT count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid
       FROM (SELECT user_id > 0 AND item_id > 0 AND rating <> 5 AND epoch(ts) > 0 AS ok FROM inter)""",
+    "first_bad_lines": f"""WITH {INTER} SELECT concat_ws('::', user_id, item_id, 6, CAST(epoch(ts) AS BIGINT)) AS line
+      FROM (SELECT * FROM inter WHERE rating = 5 ORDER BY order_id, line_no, item_id LIMIT 5)""",
+    "read_delimited": f"""WITH {USERS} SELECT CAST(user_id AS INT) AS "UserID", gender AS "Gender", age AS "Age", CAST(occupation AS INT) AS "Occupation", '00000' AS "Zip" FROM people""",
+    "load_items": f"""WITH {ITEMS} SELECT CAST(item_id AS INT) AS "MovieID", title AS "Title", genres AS "Genres", year AS "Year", {TAG_LIST} FROM things""",
+    "load_users": f"""WITH {USERS} SELECT CAST(user_id AS INT) AS "UserID", gender AS "Gender", age AS "Age", CAST(occupation AS INT) AS "Occupation", gender_enc AS "Gender_enc" FROM people""",
+    "load_interactions": f"""WITH {INTER} SELECT CAST(user_id AS INT) AS "UserID", CAST(item_id AS INT) AS "MovieID", rating AS "Rating",
+      CAST(epoch(ts) AS BIGINT) AS "Timestamp", CAST(rating >= 4 AS INT) AS "Liked" FROM inter""",
+    "prepared_files": f"""WITH {INTER}, {USERS}, {ITEMS}, {USER_STATS}, {ITEM_STATS}
+      SELECT CAST(i.user_id AS INT) AS "UserID", CAST(i.item_id AS INT) AS "MovieID", rating AS "Rating", CAST(rating >= 4 AS INT) AS "Liked",
+             CAST(epoch(i.ts) AS BIGINT) AS "Timestamp", gender_enc AS "Gender_enc", age AS "Age", CAST(occupation AS INT) AS "Occupation", year AS "Year", {TAG_LIST},
+             {rnd("user_avg_rating")}, user_n_ratings, {rnd("user_std_rating")}, round(item_avg_rating, 6) AS movie_avg_rating, item_n_ratings AS movie_n_ratings
+      FROM inter i JOIN people USING (user_id) JOIN things USING (item_id) JOIN ustats USING (user_id) JOIN istats USING (item_id)""",
+    "stored_split": f"WITH {PARTS} SELECT user_id, order_id, line_no, item_id, year, liked, split FROM parts",
+    "stored_model": f"WITH {SCORED} SELECT order_id, line_no, item_id, user_id, label, round(score, 6) AS score, pred FROM scored",
+    "training_set": f"""WITH {INTER}, {USERS}, {ITEMS}, {USER_STATS}
+      SELECT user_id, order_id, line_no, item_id, rating, CAST(rating >= 4 AS INT) AS liked, {stamp("i.ts")} AS at, age,
+             {rnd("user_avg_rating")}, year FROM inter i JOIN people USING (user_id) JOIN ustats USING (user_id) JOIN things USING (item_id)""",
+    "latest_landing": f"SELECT event_id, user_id, value, '2024-01-16' AS ingest_date FROM events WHERE ts >= TIMESTAMP '{R.EVENT_CUT}'",
+    "feature_view": f"""WITH {DAILY} SELECT user_id, round(mean_value, 6) AS mean_value, n_events, {stamp("known")} AS event_timestamp, {stamp("known")} AS created, 'daily' AS view FROM daily""",
+    "drift_report": f"""WITH {SUMMARY} SELECT 'lines' AS dataset, '2024-02-01 00:00:00' AS timestamp, '2024-02-01' AS run_date,
+      (SELECT count(*) FILTER (is_ref) FROM both_sides) AS n_reference, (SELECT count(*) FILTER (NOT is_ref) FROM both_sides) AS n_current, summary.* FROM summary""",
+    "few_values": f"WITH {FEATURE_DRIFT} SELECT * FROM drift",
     "feature_matrix": f"""WITH {MATRIX} SELECT * REPLACE ({rnd("user_avg_rating", "user_std_rating", "item_avg_rating")}) FROM matrix""",
     "historical_features": f"""WITH {INTER}, {USERS}, {USER_STATS}, v AS (SELECT * FROM people JOIN ustats USING (user_id))
       SELECT o_orderkey, o_custkey * 2 AS user_id, coalesce(age, 0) AS age, round(coalesce(user_avg_rating, 0), 6) AS user_avg_rating
@@ -462,8 +484,8 @@ ORACLES: dict[str, str] = {
              round(coalesce(item_avg_rating, 0), 6) AS item_avg_rating, CAST(0 AS DOUBLE) AS nothing
       FROM lineitem LEFT JOIN (SELECT ustats.* FROM ustats JOIN customer ON user_id = c_custkey) u ON u.user_id = l_suppkey
            LEFT JOIN (SELECT item_id, year, item_avg_rating FROM things JOIN istats USING (item_id)) i ON i.item_id = l_partkey * 2""",
-    "attach_labels": f"""WITH {ITEMS}, {ITEM_STATS} SELECT item_id, item_n_ratings AS n, genres FROM istats JOIN things USING (item_id)
-      ORDER BY n DESC, item_id LIMIT 25""",
+    "attach_labels": f"""WITH recs AS ({recommended("side_u", 10, "")}), {ITEMS}
+      SELECT recs.*, title, genres FROM recs LEFT JOIN things USING (item_id)""",
     "user_stats": f"WITH {INTER}, {USER_STATS} SELECT user_id, {rnd('user_avg_rating')}, user_n_ratings, {rnd('user_std_rating')} FROM ustats",
     "item_stats": f"WITH {ITEM_STATS} SELECT item_id, {rnd('item_avg_rating')}, item_n_ratings FROM istats",
     "value_distribution": """SELECT CAST(ceil(l_quantity / 10) AS INT) AS rating, count(*) AS n,
@@ -494,13 +516,14 @@ ORACLES: dict[str, str] = {
     "folds": f"WITH {INTER} SELECT {SPLIT_COLS}, rating, {FOLD} AS fold FROM inter",
     "exact_split": f"WITH {RANKED_ORDERS} SELECT o_orderkey, label, CASE WHEN r < round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM rk",
     "exact_folds": f"WITH {RANKED_ORDERS} SELECT o_orderkey, label, CAST(r % 5 AS INT) AS fold FROM rk",
-    "last_n": "SELECT event_id, value FROM events ORDER BY ts DESC LIMIT 10",
+    "last_n": "SELECT event_id, value FROM events ORDER BY ts DESC, event_id LIMIT 10",
     "rolling_latency": """SELECT event_id, count(*) OVER w AS n_window, round(avg(value) OVER w, 6) AS mean_latency,
       CASE WHEN count(*) OVER w >= 10 THEN round(quantile_cont(value, 0.99) OVER w, 6) ELSE 0 END AS p_latency
       FROM events WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)""",
     "top_k": f"""WITH {INTER} SELECT user_id, CAST(row_number() OVER w AS INT) AS rank, item_id, rating FROM inter
       WINDOW w AS (PARTITION BY user_id ORDER BY rating DESC, item_id, order_id, line_no) QUALIFY row_number() OVER w <= 5""",
     "page": f"WITH {ITEMS} SELECT item_id, title, genres, (SELECT count(*) FROM part) AS total FROM things ORDER BY item_id LIMIT 20 OFFSET 40",
+    "long_page": f"WITH {ITEMS} SELECT item_id, title, genres, (SELECT count(*) FROM part) AS total FROM things ORDER BY item_id LIMIT 300 OFFSET 40",
     "nb_params": f"""WITH {ONE_MODEL}
       SELECT 'continuous' AS role, feature, round(lo, 6) AS lo, round(hi, 6) AS hi, round(m0, 6) AS zero, round(m1, 6) AS one,
              round(v0, 6) AS zero_var, round(v1, 6) AS one_var FROM gparams
@@ -526,10 +549,13 @@ ORACLES: dict[str, str] = {
     "score_by_class": f"""WITH {SCORED}, c AS (SELECT label, min(score) AS a, avg(score) AS m, max(score) AS z FROM scored GROUP BY label)
       SELECT label, round(a, 6) AS min, round(m, 6) AS mean, round(z, 6) AS max,
              (SELECT round(max(m) FILTER (label = 1) - max(m) FILTER (label = 0), 6) FROM c) AS separation FROM c""",
-    "gate": f"""WITH {SCORED}, {CONFUSION},
+    "gate": f"""WITH {SCORED}, {CONFUSION}, a AS ({auc("scored")}),
+      folds AS (WITH {models(RUN_ROWS.split("), ")[0] + ")", FOLDS)}, {CV_HITS} SELECT round(stddev_pop(accuracy), 4) AS cv_std FROM hits),
       s AS (SELECT split, avg(CAST((score >= 0.5) = (liked = 1) AS DOUBLE)) AS acc FROM scored_all GROUP BY split),
       v AS (SELECT 'accuracy' AS metric, '>=' AS comparison, 0.6 AS "limit", round((tp + tn) / (tp + tn + fp + fn), 4) AS value FROM cm
         UNION ALL SELECT 'f1_score', '>=', 0.5, round(2 * tp / (2 * tp + fp + fn), 4) FROM cm
+        UNION ALL SELECT 'roc_auc', '>=', 0.52, round(roc_auc, 4) FROM a
+        UNION ALL SELECT 'cv_std', '<=', 0.05, cv_std FROM folds
         UNION ALL SELECT 'separation', '>=', 0.005, round(avg(score) FILTER (label = 1) - avg(score) FILTER (label = 0), 6) FROM scored
         UNION ALL SELECT 'train_test_gap', '<=', 0.2, round(abs(max(acc) - min(acc)), 6) FROM s)
       SELECT metric, comparison, CAST("limit" AS DOUBLE) AS "limit", value, CASE WHEN comparison = '>=' THEN value >= "limit" ELSE value <= "limit" END AS passed FROM v""",
@@ -574,7 +600,7 @@ ORACLES: dict[str, str] = {
     "drift_ranking": f"""WITH {SIDES}, {psi_ctes('vals', 'feature')} SELECT feature, psi,
       CASE WHEN psi < 0.1 THEN 'green' WHEN psi < 0.25 THEN 'orange' ELSE 'red' END AS severity FROM psi""",
     "retrain_decision": f"WITH {SUMMARY} SELECT global_psi AS drift_score, 'drift_report' AS reason, global_psi > 0.3 AS retrain FROM summary",
-    "score_stats": f"WITH {SCORES} SELECT {SCORE_STATS} FROM score_log WHERE is_ref",
+    "score_stats": f"WITH {SCORES} SELECT {SCORE_STATS} FROM score_log",
     "latency_stats": f"""WITH {LOG} SELECT endpoint, round(quantile_cont(latency_ms, 0.5), 6) AS lat_p50, round(quantile_cont(latency_ms, 0.95), 6) AS lat_p95,
       round(quantile_cont(latency_ms, 0.99), 6) AS lat_p99, round(avg(latency_ms), 6) AS lat_mean FROM log GROUP BY endpoint""",
     "score_batches": f"WITH {BATCHES} SELECT * REPLACE ({rnd('lat_p50', 'lat_p95', 'lat_p99', 'lat_mean')}) FROM batches",

@@ -207,21 +207,182 @@ def file_stats(spark, d):
     return got.agg(F.sum("n_lines").alias("n_lines"), F.sum("n_bad_fields").alias("n_bad_fields"))
 
 
-@query
-def validate_file(spark, d):
+def rating_lines(spark, d) -> str:
+    """Path of the ratings as delimited lines in key order; ratings of 5 are written as 6."""
     from sorrel.session import new_folder
-    from sorrel.sources import delimited as D
 
     path = new_folder(spark, "ratings")
     epoch = F.unix_seconds(F.col("ts").cast("timestamp"))
-    rows = R.interactions(spark, d)
-    # ratings of 5 are written as 6
     value = F.when(F.col("rating") == 5, 6).otherwise(F.col("rating"))
+    rows = R.interactions(spark, d).orderBy("order_id", "line_no", "item_id")
     rows.select(F.concat_ws("::", "user_id", "item_id", value, epoch).alias("value")).write.text(path)
-    counts, _ = D.validate_file(spark, path, D.RATINGS, va.rating_file_rules)
+    return path
+
+
+@query
+def validate_file(spark, d):
+    from sorrel.sources import delimited as D
+
+    counts, _ = D.validate_file(spark, rating_lines(spark, d), D.RATINGS, va.rating_file_rules)
     return counts
 
 
+@query
+def first_bad_lines(spark, d):
+    from sorrel.sources import delimited as D
+
+    _, bad = D.validate_file(spark, rating_lines(spark, d), D.RATINGS, va.rating_file_rules)
+    return bad.select("line")
+
+
+# stored files -----------------------------------------------------------------------------------
+
+
+def raw_files(spark, d) -> dict[str, str]:
+    """The sample tables as the three delimited raw files, written to the shared folder."""
+    from sorrel.session import new_folder
+
+    path = new_folder(spark, "raw")
+    people, things, ratings = R.users(spark, d), R.raw_items(spark, d), R.interactions(spark, d)
+    lines = {
+        "movies": things.select(F.concat_ws("::", "item_id", "title", "genres").alias("value")),
+        "users": people.select(F.concat_ws("::", "user_id", "gender", "age", "occupation", F.lit("00000")).alias("value")),
+        "ratings": ratings.select(
+            F.concat_ws("::", "user_id", "item_id", "rating", F.unix_seconds(F.col("ts").cast("timestamp"))).alias("value")
+        ),
+    }
+    for name, rows in lines.items():
+        rows.write.text(f"{path}/{name}")
+    return {name: f"{path}/{name}" for name in lines}
+
+
+@query
+def read_delimited(spark, d):
+    from sorrel.sources import delimited as D
+
+    return D.read_delimited(spark, raw_files(spark, d)["users"], D.USERS)
+
+
+@query
+def load_items(spark, d):
+    from sorrel.sources import delimited as D
+
+    return D.load_items(D.read_delimited(spark, raw_files(spark, d)["movies"], D.MOVIES), vocab=R.TAGS)
+
+
+@query
+def load_users(spark, d):
+    from sorrel.sources import delimited as D
+
+    return D.load_users(D.read_delimited(spark, raw_files(spark, d)["users"], D.USERS)).drop("Zip")
+
+
+@query
+def load_interactions(spark, d):
+    from sorrel.sources import delimited as D
+
+    return D.load_interactions(D.read_delimited(spark, raw_files(spark, d)["ratings"], D.RATINGS), threshold=4)
+
+
+@query
+def prepared_files(spark, d):
+    """Raw files to the feature matrix, in the feature order stored beside it."""
+    from sorrel.plans import training
+    from sorrel.session import new_folder
+    from sorrel.sources import tables as tb
+
+    matrix, order = training.prepare(spark, raw_files(spark, d), threshold=4, vocab=R.TAGS)
+    path = new_folder(spark, "order")
+    tb.write_feature_columns(spark, order, path)
+    keep = [c for c in training.NOT_FEATURES if c in matrix.columns]
+    return R.rounded(C.select_features(matrix, keep, tb.read_feature_columns(spark, path)))
+
+
+@query
+def stored_split(spark, d):
+    from sorrel.session import new_folder
+    from sorrel.sources import tables as tb
+
+    path = new_folder(spark, "split")
+    tb.write_split(R.split_matrix(spark, d).select("user_id", *R.ROW_KEY, "year", "liked", "split"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def stored_model(spark, d):
+    """Scores of the test rows by a model that was saved and read back."""
+    from sorrel.session import new_folder
+
+    parts, model = fitted(spark, d)
+    path = new_folder(spark, "model")
+    nb.save_model(spark, model, path, "hybrid")
+    again = nb.load_model(spark, path, ["missing", "hybrid"])
+    rows = nb.score(parts.where("split = 'test'"), again).withColumn("pred", nb.predict("score"))
+    return R.rounded(rows.select(*R.ROW_KEY, "user_id", F.col("liked").alias("label"), "score", "pred"))
+
+
+@query
+def training_set(spark, d):
+    from sorrel.plans import training
+
+    rows = R.interactions(spark, d).withColumn("epoch", F.unix_seconds(F.col("ts").cast("timestamp"))).drop("ts")
+    views = {"user_features": (R.USER_FEATURES, R.user_view(spark, d)), "item_features": (R.ITEM_FEATURES, R.item_view(spark, d))}
+    refs = ["user_features:age", "user_features:user_avg_rating", "item_features:year"]
+    wide, names = training.build_training_set(rows, views, refs, epoch="epoch", rating="rating")
+    kept = wide.select("user_id", *R.ROW_KEY, "rating", F.col("Liked").alias("liked"), stamp("event_timestamp").alias("at"), *names)
+    return R.rounded(kept)
+
+
+@query
+def latest_landing(spark, d):
+    """Events landed under two dates, the second one twice; the newest date is read."""
+    from sorrel.session import new_folder
+    from sorrel.sources import tables as tb
+
+    path = new_folder(spark, "landing")
+    log = R.events(spark, d).select("event_id", "user_id", "value", "ts")
+    late = F.col("ts") >= F.lit(R.EVENT_CUT).cast("timestamp_ntz")
+    tb.land_raw(log.where(~late), path, "2024-01-15")
+    tb.land_raw(log, path, "2024-01-16")
+    tb.land_raw(log.where(late), path, "2024-01-16")
+    got = tb.read_latest(spark, path)
+    return got.select("event_id", "user_id", "value", F.col("ingest_date").cast("string").alias("ingest_date"))
+
+
+@query
+def feature_view(spark, d):
+    from sorrel.session import new_folder
+    from sorrel.sources import tables as tb
+
+    path = new_folder(spark, "view")
+    R.daily_view(spark, d).write.parquet(path)
+    got = tb.read_feature_view(spark, path, R.DAILY.schema)
+    (name,) = st.list_views([R.DAILY])
+    times = {c: stamp(c) for c in ("event_timestamp", "created")}
+    return R.rounded(got.withColumns(times).withColumn("view", F.lit(name)))
+
+
+@query
+def drift_report(spark, d):
+    """The head row of the report, written as JSON under its date and read back."""
+    from sorrel.session import new_folder
+    from sorrel.sources import tables as tb
+
+    path = new_folder(spark, "report")
+    _, head = drift.drift_report(*R.drift_sides(spark, d), R.DRIFT_COLUMNS, "lines", F.lit("2024-02-01 00:00:00"))
+    tb.write_report(head, path, "2024-02-01")
+    got = spark.read.schema(head.schema.add("run_date", "string")).json(path)
+    return got.withColumn("drifted_features", F.array_join("drifted_features", ","))
+
+
+@query
+def few_values(spark, d):
+    """A feature that the current rows lack is left out of the drift rows."""
+    ref, cur = R.drift_sides(spark, d)
+    ref, cur = ref.withColumn("gone", F.col("l_quantity")), cur.withColumn("gone", F.lit(None).cast("double"))
+    return drift.feature_drift(ref, cur, [*R.DRIFT_COLUMNS, "gone"])
+
+
 # joins ------------------------------------------------------------------------------------------
 
 
@@ -282,8 +443,7 @@ def online_features(spark, d):
 
 @query
 def attach_labels(spark, d):
-    recs = ex.top_rated(R.item_ratings(spark, d), R.raw_items(spark, d), k=25).select("item_id", "n")
-    return rc.attach_labels(recs, R.raw_items(spark, d), "item_id", ["genres"])
+    return rc.attach_labels(recommend(spark, d), R.raw_items(spark, d), "item_id", ["title", "genres"])
 
 
 # aggregates -------------------------------------------------------------------------------------
@@ -392,7 +552,7 @@ def exact_folds(spark, d):
 @query
 def last_n(spark, d):
     ev = R.events(spark, d).select("event_id", "ts", "value")
-    return od.last_n(ev, "ts", 10).select("event_id", "value")
+    return od.last_n(ev, "ts", 10, ["event_id"]).select("event_id", "value")
 
 
 @query
@@ -414,6 +574,11 @@ def page(spark, d):
     return od.page(R.raw_items(spark, d), "item_id", 20, 40)
 
 
+@query
+def long_page(spark, d):
+    return od.page(R.raw_items(spark, d), "item_id", 300, 40)
+
+
 # model ------------------------------------------------------------------------------------------
 
 
@@ -469,12 +634,14 @@ def score_by_class(spark, d):
 @query
 def gate(spark, d):
     parts, model = fitted(spark, d)
-    scored = nb.score(parts, model).select("split", F.col("liked").alias("label"), "score", nb.predict("score").alias("pred"))
+    scored = stage(nb.score(parts, model).select("split", F.col("liked").alias("label"), "score", nb.predict("score").alias("pred")), "scored")
     by_split = scored.groupBy("split").agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"))
-    test = me.confusion_matrix(scored.where("split = 'test'")).select(*[me.ratios()[c].alias(c) for c in ("accuracy", "f1_score")])
-    found = me.long_metrics(test).unionByName(me.long_metrics(me.train_test_gap(by_split)))
-    found = found.unionByName(me.long_metrics(me.separation(scored.where("split = 'test'"))))
-    return R.rounded(me.promotion_gate(found))
+    held = scored.where("split = 'test'")
+    folds = nb.cross_validate(R.with_folds(parts.where("split = 'train'")), R.CONTINUOUS, R.TAGS)
+    found = me.long_metrics(me.binary_metrics(held))
+    for more in (nb.cv_summary(folds).drop("run"), me.separation(held), me.train_test_gap(by_split)):
+        found = found.unionByName(me.long_metrics(more))
+    return R.rounded(me.promotion_gate(found, required=True))
 
 
 @query
@@ -635,8 +802,7 @@ def score_sides(spark, d) -> tuple[DataFrame, DataFrame]:
 
 @query
 def score_stats(spark, d):
-    ref, _ = score_sides(spark, d)
-    return mo.score_stats(ref)
+    return mo.score_stats(R.score_log(R.events(spark, d)))
 
 
 @query
