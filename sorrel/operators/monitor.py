@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from sorrel.functions import fixed
 from sorrel.operators import drift
 from sorrel.operators import naive_bayes as nb
-from sorrel.operators.ordered import exact_percentiles, last_n, rolling_percentile, running_sums
+from sorrel.operators.ordered import exact_percentiles, rolling_percentile, running_sums
 from sorrel.session import stage
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -193,10 +193,6 @@ def alerts(report: DataFrame) -> DataFrame:
     return report.select(F.inline(alert_array(report)))
 
 
-def recent_batches(batches: DataFrame, ts: str, n: int = 10) -> DataFrame:
-    return last_n(batches, ts, n)
-
-
 def request_metrics(log: DataFrame, ts: str = "ts", endpoint: str = "endpoint", latency: str = "latency_ms") -> DataFrame:
     """Per endpoint and in total (NULL endpoint): requests, rate per minute, mean and p99 latency.
 

@@ -109,14 +109,6 @@ def exact_percentiles(
     return found.select(*group, *[between(n) for n in probs])
 
 
-def approx_percentiles(
-    df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = 10_000
-) -> DataFrame:
-    """Percentiles from a bounded sketch: one pass, no range partitioning, no interpolation."""
-    got = df.groupBy(*group).agg(F.percentile_approx(value, list(probs.values()), accuracy).alias("p"))
-    return got.select(*group, *[F.col("p")[i].alias(n) for i, n in enumerate(probs)])
-
-
 def roc_auc(df: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve with tied scores counted half, one row per group."""
     sums = {

@@ -24,8 +24,6 @@ from sorrel.session import stage
 CELLS = 1024
 GRID = 64
 BLOCK = 512
-# an item in a block is three numbers, about 40 bytes: this many are some 40 MB
-BROADCAST_ITEMS = 1_000_000
 PARTS_DIGITS = 9
 ORDER_DIGITS = 6
 
@@ -110,19 +108,16 @@ def item_blocks(parts: DataFrame, item: str, block: int = BLOCK) -> tuple[DataFr
     return placed, blocks
 
 
-def candidate_blocks(
-    users: DataFrame, placed: DataFrame, blocks: DataFrame, user: str, broadcast_items: int = BROADCAST_ITEMS
-) -> DataFrame:
+def candidate_blocks(users: DataFrame, placed: DataFrame, blocks: DataFrame, user: str) -> DataFrame:
     """Each user with the arrays of items that can be among their first `need`; no pairs are built.
 
-    A catalogue counted to be small is broadcast as blocks, which leaves the users where they are. A
-    larger one is joined on (block, salt): each block is copied once per salt, so that the many users
-    of one block are spread over all tasks.
+    One join on the block number at every size of the catalogue. Its strategy follows from measured sizes: adaptive
+    execution sends small tables of blocks to the users, and its skew join splits the many users of a wanted block.
     """
     # one row per power of two: at most a few dozen numbers
     levels = (
         placed.groupBy("level")
-        .agg(F.min("block").alias("first"), F.max("block").alias("last"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("block").alias("first"), F.max("block").alias("last"))
         .collect()
     )
     # level l holds items beaten by at least 2^l - 1 others; a block number without items finds no partner
@@ -136,12 +131,7 @@ def candidate_blocks(
         )
     )
     spread = users.select("*", F.explode(wanted).alias("block"))
-    if sum(r["n"] for r in levels) <= broadcast_items:
-        return spread.join(F.broadcast(blocks), "block")
-    salts = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(user), F.lit(salts)).cast("int")
-    copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.withColumn("salt", salt).join(copies, ["block", "salt"])
+    return spread.join(blocks, "block")
 
 
 def recommend(
@@ -154,7 +144,6 @@ def recommend(
     excluded: DataFrame | None = None,
     user_cols: Sequence[str] | None = None,
     item_cols: Sequence[str] | None = None,
-    broadcast_items: int = BROADCAST_ITEMS,
 ) -> DataFrame:
     """First k items per user by score, then item part, then id; `excluded` holds (user, item) rows.
 
@@ -173,14 +162,14 @@ def recommend(
     n = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if excluded is None:
         people = people.repartition(n, user).withColumn("need", F.lit(k).cast("bigint"))
-        wanted = candidate_blocks(people, placed, blocks, user, broadcast_items).withColumn("here", F.lit(k).cast("bigint"))
+        wanted = candidate_blocks(people, placed, blocks, user).withColumn("here", F.lit(k).cast("bigint"))
     else:
         # of one block, a user can lose at most as many items as they excluded there
         out = excluded.select(user, item).distinct().join(placed.select(item, "block"), item)
         per_block = out.groupBy(user, "block").agg(F.count(F.lit(1)).alias("lost"))
         per_user = per_block.groupBy(user).agg(F.sum("lost").alias("lost"))
         people = people.repartition(n, user).join(per_user, user, "left").withColumn("need", F.lit(k) + F.coalesce("lost", F.lit(0))).drop("lost")
-        wanted = candidate_blocks(people, placed, blocks, user, broadcast_items)
+        wanted = candidate_blocks(people, placed, blocks, user)
         wanted = wanted.join(per_block, [user, "block"], "left").withColumn("here", F.lit(k) + F.coalesce("lost", F.lit(0)))
 
     def scored(x) -> Column:

@@ -161,12 +161,14 @@ def test_recommendations_equal_brute_force(spark, hot):
     # one user has excluded nearly the whole catalogue
     pairs = {(u, i) for u in range(6) for i in rng.sample(range(400), 40 * u)} | {(11, i) for i in range(397)}
     edf = spark.createDataFrame(sorted(pairs) + sorted(pairs)[:50], "user_id int, item_id int")
-    for excluded, frame, limit in ((set(), None, 10**6), (pairs, edf, 10**6), (pairs, edf, 0)):
+    for excluded, frame, limit in ((set(), None, "10m"), (pairs, edf, "10m"), (pairs, edf, "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         got = {}
-        for r in sorted(rc.recommend(udf, idf, model, 5, excluded=frame, broadcast_items=limit).collect(), key=lambda r: (r.user_id, r.rank)):
+        for r in sorted(rc.recommend(udf, idf, model, 5, excluded=frame).collect(), key=lambda r: (r.user_id, r.rank)):
             got.setdefault(r.user_id, []).append(r.item_id)
             assert 0 <= r.score <= 1
         assert got == brute(users, items, model, 5, excluded)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_absent_features_are_zero_and_labels_attach(spark, four):

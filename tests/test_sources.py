@@ -12,14 +12,14 @@ def write(path, text):
 
 def test_prepared_tables(spark, tmp_path):
     movies = write(tmp_path / "movies.dat", "1::Amélie (2001)::Comedy|Romance\n2::No year::Drama\n")
-    users = write(tmp_path / "users.dat", "1::M::25::4::10001\n2::F::18::0::90210\n")
-    ratings = write(tmp_path / "ratings.dat", "1::1::4::956703932\n2::1::3::956703932\n")
+    users = write(tmp_path / "users.dat", "1::M::25::7::33018\n2::F::18::3::52146\n")
+    ratings = write(tmp_path / "ratings.dat", "1::1::4::981204417\n2::1::3::981204417\n")
     m = D.load_items(D.read_delimited(spark, movies, D.MOVIES))
     assert m.columns == ["MovieID", "Title", "Genres", "Year", "Comedy", "Drama", "Romance"]
     first = m.orderBy("MovieID").first()
     assert (first.Title, first.Year, first.Comedy, first.Drama) == ("Amélie (2001)", 2001.0, 1, 0)
     u = D.load_users(D.read_delimited(spark, users, D.USERS)).orderBy("UserID").collect()
-    assert [(r.Gender_enc, r.Zip) for r in u] == [(1, "10001"), (0, "90210")]
+    assert [(r.Gender_enc, r.Zip) for r in u] == [(1, "33018"), (0, "52146")]
     r = D.load_interactions(D.read_delimited(spark, ratings, D.RATINGS)).orderBy("UserID").collect()
     assert [x.Liked for x in r] == [1, 0]
 
@@ -37,7 +37,7 @@ def test_line_statistics_count_every_line(spark, tmp_path):
 
 
 def test_validation_reports_numbers_and_first_lines(spark, tmp_path):
-    lines = ["1::1::4::956703932", "0::1::4::956703932", "x::1::4::956703932", "1::1::6::9", "1::1::4", "", "1::1::5::9", "1::1::0::9"]
+    lines = ["1::1::4::981204417", "0::1::4::981204417", "x::1::4::981204417", "1::1::6::9", "1::1::4", "", "1::1::5::9", "1::1::0::9"]
     path = write(tmp_path / "ratings.dat", "\n".join(lines) + "\n")
     counts, first = D.validate_file(spark, path, D.RATINGS, va.rating_file_rules)
     assert tuple(counts.first()) == (2, 6)
@@ -59,7 +59,7 @@ def test_line_numbers_hold_when_a_file_is_split(spark, tmp_path):
 
 
 def test_movie_and_user_rules(spark, tmp_path):
-    movies = write(tmp_path / "m.dat", "1::Test (2000)::UnknownGenre\n0::Test (2000)::Drama\n1::::Drama\n1::Élan (1999)::Drama|War\n")
+    movies = write(tmp_path / "m.dat", "1::Lantern Hill (1987)::Opera\n0::Lantern Hill (1987)::Drama\n1::::Drama\n1::Élan (1999)::Drama|War\n")
     counts, first = D.validate_file(spark, movies, D.MOVIES, va.movie_file_rules)
     assert tuple(counts.first()) == (1, 3)
     assert [r.error for r in first.collect()] == ["tags", "id", "title"]

@@ -145,3 +145,12 @@ def test_training_set_from_the_store(spark, history):
     wide, feats = tr.build_training_set(ratings, {"v": (VIEW, history)}, ["v:x"], point_in_time=True)
     assert feats == ["x"]
     assert {(r.user_id, r.Liked, r.x) for r in wide.collect()} == {(1, 1, 21.0), (0, 0, 5.0)}
+
+
+def test_point_in_time_without_key_or_time_beside_a_hot_key(spark):
+    view = st.FeatureView("v", "user_id", (("x", T.DoubleType()),), timedelta(days=2))
+    table = spark.sql("SELECT 1L user_id, double(h) x, timestamp'2024-01-01' + make_interval(0,0,0,0,h) event_timestamp FROM (SELECT explode(sequence(1, 20)) h)")
+    asked = spark.sql("""SELECT id, CASE WHEN id % 10 < 7 THEN NULL ELSE 1L END user_id,
+      CASE WHEN id % 10 = 9 THEN NULL ELSE timestamp'2024-01-01' + make_interval(0,0,0,0,3,30) END event_timestamp FROM range(600)""")
+    got = {r.id: r.x for r in st.point_in_time_join(asked, table, view, ["x"]).collect()}
+    assert got == {i: 3.0 if i % 10 in (7, 8) else None for i in range(600)}
