@@ -86,11 +86,12 @@ def _stem(word: str) -> tuple[str, str]:
     """(word in lower case without a last comma or full stop, that mark): their ids are the word's ids.
 
     The tokenizer lower-cases by itself and ends a pre-token between a letter and a mark. Only ASCII words change case
-    here, and none that could be a special token.
+    here, and none that could be a special token. The letter has to be ASCII: canonical composition or lower-casing
+    turns some others (U+0130, U+0958) into a letter and a combining mark, which stays in one pre-token with the mark.
     """
     if word.isascii() and "<" not in word:
         word = word.lower()
-    return (word[:-1], word[-1]) if word[-1] in ".," and word[-2:-1].isalpha() else (word, "")
+    return (word[:-1], word[-1]) if word[-1] in ".," and word[-2:-1].isascii() and word[-2:-1].isalpha() else (word, "")
 
 
 class Encoder:

@@ -322,6 +322,14 @@ def test_token_files_of_awkward_rows(spark, tmp_path):
     assert token_files.read(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_marks_after_letters_that_decompose(spark, tmp_path):
+    words = ["TALİ.", "xİ,", "ka\u0958.", "ka\u0958,", "a\ufb2a.", "a\ufb2a,", "ΣΑΣ.", "é,", "e\u0301.", "漢字,", "Word.", "word,"]
+    rows = [(k, f"a {w} b") for k, w in enumerate(words)] + [(100, " ".join(words))]
+    token_files.write(frame(spark, [(i, t, "s") for i, t in rows]), str(tmp_path / "t"), TOKENIZER)
+    got = sorted((tuple(r) for r in token_files.read(spark, str(tmp_path / "t")).collect()), key=lambda r: r[1])
+    assert got == plain_ids(rows)
+
+
 # 7 shards
 
 
