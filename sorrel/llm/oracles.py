@@ -1,8 +1,8 @@
-"""SQL for the queries that SQL can express: op1, op5, op8 and op9."""
+"""SQL for the queries that SQL can express: op1, op5, op8, op9 and op12."""
 
 from __future__ import annotations
 
-from sorrel.llm import curriculum, decontamination, url_vocabulary as urls
+from sorrel.llm import curriculum, decontamination, spelling, url_vocabulary as urls
 
 LOWERED = "translate({}, '" + urls.UPPER + "', '" + urls.LOWER + "')"
 
@@ -89,4 +89,35 @@ def _mix() -> str:
       CASE WHEN copies > 0 THEN round(2 * share / (u + sqrt(greatest(u * u + 2 * (2 - 2 * u) * share, 0))), 6) END AS first_moment FROM m"""
 
 
-ORACLES = {"op1_decontaminate": _windows(), "op5_url_vocabulary": _urls(), "op8_jaccard_join": NEAR, "op9_curriculum_mix": _mix()}
+def _spelling() -> str:
+    """CRC-32 by its 256-entry table, neighbours by one deleted place on both sides, roots by recursion."""
+    low = "translate(run, '" + urls.UPPER + "', '" + urls.LOWER + "')"
+    # all code points are below U+0100: one byte, or two
+    code = "ascii(s[i])"
+    bits = "list_reduce(range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, t)"
+    return f"""
+    WITH RECURSIVE table_of AS (SELECT list({bits} ORDER BY t) AS crc FROM range(256) r(t)),
+    runs AS (SELECT k, run, count(*) AS c FROM (SELECT k, {low} AS run FROM (
+        SELECT coalesce(doc_id::VARCHAR, '') AS k, unnest(regexp_extract_all(coalesce(text, ''), '{spelling.RUN}')) AS run FROM documents)
+        WHERE length(run) >= {spelling.LEAST_LENGTH}) GROUP BY 1, 2),
+    bytes AS (SELECT run, c, flatten(list_transform(range(1, length(s) + 1), lambda i: CASE WHEN {code} < 128 THEN [{code}] ELSE [192 | ({code} >> 6), 128 | ({code} & 63)] END)) AS b
+        FROM (SELECT *, k || ':' || run AS s FROM runs)),
+    hashed AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, b::BIGINT[]), lambda v, x: xor(v >> 8, crc[xor(v & 255, x) + 1])), 4294967295) AS h FROM bytes, table_of),
+    words AS (SELECT word, sum(c)::BIGINT AS n FROM (SELECT c, CASE WHEN h % {spelling.SLIP} = 0
+          THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word FROM hashed)
+        WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY 1 HAVING sum(c) >= {spelling.LEAST_COUNT}),
+    cuts AS (SELECT word, n, p, left(word, p::INTEGER) || substr(word, p::INTEGER + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+    shorter AS (SELECT DISTINCT c.word AS a, w.word AS b FROM cuts c JOIN words w ON c.rest = w.word),
+    near AS (SELECT DISTINCT a, b FROM (SELECT x.word AS a, y.word AS b FROM cuts x JOIN cuts y ON x.p = y.p AND x.rest = y.rest AND x.word <> y.word
+        UNION ALL SELECT a, b FROM shorter UNION ALL SELECT b, a FROM shorter)),
+    best AS (SELECT a, w.n AS n, count(*) AS n_near, arg_min(b, (-o.n, b)) AS other, max(o.n) AS other_n
+        FROM near JOIN words w ON w.word = a JOIN words o ON o.word = b GROUP BY 1, 2),
+    forms AS (SELECT a AS word, n_near, CASE WHEN other_n >= {spelling.RATIO} * n THEN other END AS form, CASE WHEN other_n >= {spelling.RATIO} * n THEN other_n END AS form_n FROM best),
+    chain AS (SELECT word, form AS root, 1 AS steps FROM forms WHERE form IS NOT NULL
+        UNION ALL SELECT chain.word, form, steps + 1 FROM chain JOIN forms ON chain.root = forms.word WHERE form IS NOT NULL),
+    roots AS (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY 1)
+    SELECT words.word, form, coalesce(root, words.word) AS root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n::BIGINT AS form_n
+    FROM words LEFT JOIN forms USING (word) LEFT JOIN roots USING (word)"""
+
+
+ORACLES = {"op1_decontaminate": _windows(), "op5_url_vocabulary": _urls(), "op8_jaccard_join": NEAR, "op9_curriculum_mix": _mix(), "op12_spelling_variants": _spelling()}
