@@ -1,8 +1,8 @@
-"""SQL for the queries that SQL can express: op1, op5, op8, op9 and op12."""
+"""SQL for the queries that SQL can express: op1, op5, op8, op9, op11 and op12."""
 
 from __future__ import annotations
 
-from sorrel.llm import curriculum, decontamination, spelling, url_vocabulary as urls
+from sorrel.llm import ball_tree, curriculum, decontamination, spelling, url_vocabulary as urls
 
 LOWERED = "translate({}, '" + urls.UPPER + "', '" + urls.LOWER + "')"
 
@@ -89,6 +89,20 @@ def _mix() -> str:
       CASE WHEN copies > 0 THEN round(2 * share / (u + sqrt(greatest(u * u + 2 * (2 - 2 * u) * share, 0))), 6) END AS first_moment FROM m"""
 
 
+def _ranked() -> str:
+    words = r"regexp_extract_all(" + LOWERED.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+    WITH d AS (SELECT doc_id, {words} AS w FROM documents),
+    one AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+    tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+    q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({words}) AS term FROM benchmark) GROUP BY ALL),
+    weight AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY 1), one),
+    scored AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+        FROM q JOIN tf USING (term) JOIN weight USING (term), one GROUP BY 1, 2)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    WHERE rank <= {ball_tree.TOP}"""
+
+
 def _spelling() -> str:
     """CRC-32 by its 256-entry table, neighbours by one deleted place on both sides, roots by recursion."""
     low = "translate(run, '" + urls.UPPER + "', '" + urls.LOWER + "')"
@@ -120,4 +134,4 @@ def _spelling() -> str:
     FROM words LEFT JOIN forms USING (word) LEFT JOIN roots USING (word)"""
 
 
-ORACLES = {"op1_decontaminate": _windows(), "op5_url_vocabulary": _urls(), "op8_jaccard_join": NEAR, "op9_curriculum_mix": _mix(), "op12_spelling_variants": _spelling()}
+ORACLES = {"op1_decontaminate": _windows(), "op5_url_vocabulary": _urls(), "op8_jaccard_join": NEAR, "op9_curriculum_mix": _mix(), "op11_ball_tree_search": _ranked(), "op12_spelling_variants": _spelling()}

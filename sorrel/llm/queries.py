@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sorrel.llm import curriculum, decontamination, interleave, jaccard, quality, spelling, suffix_dedup, token_files, url_vocabulary, warc, winnowing
+from sorrel.llm import ball_tree, curriculum, decontamination, interleave, jaccard, quality, spelling, suffix_dedup, token_files, url_vocabulary, warc, winnowing
 from sorrel.llm.rows import table
 from sorrel.session import new_folder
 
@@ -77,6 +77,10 @@ def passages(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_tree.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -92,5 +96,6 @@ QUERIES = {
     "op8_jaccard_join": near_copies,
     "op9_curriculum_mix": mixture,
     "op10_prefix_free_parsing": passages,
+    "op11_ball_tree_search": ranked_search,
     "op12_spelling_variants": spelling_variants,
 }

@@ -58,10 +58,11 @@ def found(df):
 def test_variants_equal_all_pairs(spark):
     draw = random.Random(3)
     words = ["".join(draw.choice("abé") for _ in range(draw.randint(5, 8))) for _ in range(300)]
-    rows = [(i, " ".join(draw.choices(words, weights=[7 ** (k % 5) for k in range(300)], k=900))) for i in range(60)]
+    rows = [(i, " ".join(draw.choices(words, weights=[k * k + 1 for k in range(300)], k=120))) for i in range(60)]
+    rows.append((60, "lantern " * 200 + "lanterm " * 30 + "lantarm " * 6))
     want = plain(rows)
     assert found(spelling.variants(docs_of(spark, rows))) == want
-    # chains of more than one step have been followed
+    # a chain of more than one step has been followed
     assert any(form and form != root for _, form, root, *_ in want)
 
 
