@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sorrel.llm import ball_tree, curriculum, decontamination, interleave, jaccard, quality, spelling, suffix_dedup, token_files, url_vocabulary, warc, winnowing
+from sorrel.llm import ball_tree, curriculum, decontamination, interleave, jaccard, quality, spelling, suffix_dedup, token_counts, token_files, url_vocabulary, warc, winnowing
 from sorrel.llm.rows import table
 from sorrel.session import new_folder
 
@@ -85,6 +85,10 @@ def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def token_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents").select("doc_id", "text"), TOKENIZER)
+
+
 QUERIES = {
     "op1_decontaminate": decontaminate,
     "op2_quality": quality_scores,
@@ -98,4 +102,5 @@ QUERIES = {
     "op10_prefix_free_parsing": passages,
     "op11_ball_tree_search": ranked_search,
     "op12_spelling_variants": spelling_variants,
+    "op13_token_counts": token_totals,
 }
