@@ -81,9 +81,9 @@ def running_sums(
 
 
 def exact_percentiles(
-    df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float]
+    df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float], nearest: bool = False
 ) -> DataFrame:
-    """Percentiles with linear interpolation, one row per group and a column per name.
+    """Percentiles with linear interpolation, or by nearest rank, one row per group and a column per name.
 
     The wanted ranks are picked out of the running counts, so no task holds a whole group.
     """
@@ -94,6 +94,9 @@ def exact_percentiles(
     picks = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("n_all") - 1)
+        if nearest:
+            # rounded, as 0.99 is not a binary fraction
+            at = F.greatest(F.ceil(F.round(F.lit(float(p)) * F.col("n_all"), 9)) - 1, F.lit(0)).cast("double")
         low, high = F.floor(at), F.ceil(at)
         picks += [
             F.max(F.when(low.between(first, last), F.col(value))).alias(f"{name}_low"),

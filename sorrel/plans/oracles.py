@@ -266,24 +266,28 @@ def stamp(c: str) -> str:
 
 
 LOG = "log AS (SELECT event_id, ts, event_type AS endpoint, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status, value AS latency_ms FROM events)"
-CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+FINAL = "window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) AS final"
 
 
-def latency_breach(closed: bool) -> str:
-    limit = f"AND window_end <= {CLOSED}" if closed else ""
+def middle(v: str) -> str:
+    """Middle of the value's log-linear bin: 64 bins between neighbouring powers of two."""
+    size = f"abs({v})"
+    e = f"(floor(log2({size})) + CASE WHEN pow(2, floor(log2({size}))) > {size} THEN -1 WHEN pow(2, floor(log2({size})) + 1) <= {size} THEN 1 ELSE 0 END)"
+    return f"(CASE WHEN {v} = 0 THEN 0.0 ELSE sign({v}) * pow(2, {e}) * (1 + (floor(({size} / pow(2, {e}) - 1) * 64) + 0.5) / 64) END)"
+
+
+def latency_breach(value: str) -> str:
     return f"""WITH {LOG},
-steps AS (SELECT date_trunc('hour', ts) AS h, quantile_disc(latency_ms, 0.99) AS p99 FROM log GROUP BY 1),
+steps AS (SELECT date_trunc('hour', ts) AS h, quantile_disc({value}, 0.99) AS p99 FROM log GROUP BY 1),
 hold AS (SELECT h - k * INTERVAL 1 HOUR AS window_start, p99 FROM steps, range(3) t(k)),
 wins AS (
   SELECT window_start, window_start + INTERVAL 3 HOUR AS window_end, max(p99) AS value FROM hold
   GROUP BY 1 HAVING count(*) FILTER (p99 > 200) = 3)
 SELECT {stamp("window_start")} AS window_start, {stamp("window_end")} AS window_end, 'high_latency' AS type,
-       'warning' AS severity, round(value, 6) AS value FROM wins WHERE true {limit}"""
+       'warning' AS severity, round(value, 6) AS value, {FINAL} FROM wins"""
 
 
-def error_rate(closed: bool) -> str:
-    limit = f"WHERE window_end <= {CLOSED}" if closed else ""
-    return f"""WITH {LOG},
+ERROR_RATE = f"""WITH {LOG},
 slid AS (
   SELECT date_trunc('hour', ts) - k * INTERVAL 1 HOUR + INTERVAL 1 HOUR AS checked, count(*) FILTER (status >= 500) / 7200.0 AS rate
   FROM log, range(2) t(k) GROUP BY 1),
@@ -292,7 +296,11 @@ wins AS (
   SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, max(rate) AS value FROM hold
   GROUP BY 1 HAVING count(*) FILTER (rate > 0.0004) = 2)
 SELECT {stamp("window_start")} AS window_start, {stamp("window_end")} AS window_end, 'high_error_rate' AS type,
-       'critical' AS severity, round(value, 6) AS value FROM wins {limit}"""
+       'critical' AS severity, round(value, 6) AS value, {FINAL} FROM wins"""
+
+SILENCE = f"""WITH {LOG}, g AS (SELECT endpoint AS target, ts, lead(ts) OVER (PARTITION BY endpoint ORDER BY ts) AS nxt FROM log)
+      SELECT target, {stamp("ts + INTERVAL 1 HOUR")} AS silent_from, {stamp("nxt")} AS back_at, 'target_down' AS type, 'critical' AS severity
+      FROM g WHERE coalesce(nxt, (SELECT max(ts) FROM log)) - ts > INTERVAL 1 HOUR"""
 
 
 # store ------------------------------------------------------------------------------------------
@@ -616,15 +624,12 @@ ORACLES: dict[str, str] = {
              CASE WHEN count(*) >= 10 THEN round(quantile_cont(latency_ms, 0.99), 6) ELSE 0 END AS p99_latency
       FROM log, m GROUP BY GROUPING SETS ((endpoint), ())""",
     "reference_scores": f"WITH {SCORED} SELECT {SCORE_STATS} FROM scored_all WHERE split = 'train'",
-    "latency_breach": latency_breach(False),
-    "error_rate": error_rate(False),
-    "silence": f"""WITH {LOG}, g AS (SELECT endpoint AS target, ts, lead(ts) OVER (PARTITION BY endpoint ORDER BY ts) AS nxt FROM log)
-      SELECT target, {stamp("ts + INTERVAL 1 HOUR")} AS silent_from, {stamp("nxt")} AS back_at, 'target_down' AS type, 'critical' AS severity
-      FROM g WHERE coalesce(nxt, (SELECT max(ts) FROM log)) - ts > INTERVAL 1 HOUR""",
+    "latency_breach": latency_breach("latency_ms"),
+    "error_rate": ERROR_RATE,
+    "silence": SILENCE,
     "stream_windows": f"""WITH {SCORES}, w AS (SELECT date_trunc('hour', ts) AS a, count(*) AS n, avg(score) AS mean, avg(CAST(score >= 0.5 AS DOUBLE)) AS positive_rate,
-        quantile_disc(score, 0.25) AS p25, quantile_disc(score, 0.5) AS p50, quantile_disc(score, 0.75) AS p75 FROM score_log GROUP BY 1)
-      SELECT {stamp("a")} AS window_start, {stamp("a + INTERVAL 1 HOUR")} AS window_end, n, {rnd("mean", "positive_rate", "p25", "p50", "p75")}
-      FROM w WHERE a + INTERVAL 1 HOUR <= {CLOSED}""",
+        {", ".join(f"quantile_disc({middle('score')}, {q / 100}) AS p{q}" for q in (25, 50, 75))}, a + INTERVAL 1 HOUR AS window_end FROM score_log GROUP BY 1)
+      SELECT {stamp("a")} AS window_start, {stamp("window_end")} AS window_end, n, {rnd("mean", "positive_rate", "p25", "p50", "p75")}, {FINAL} FROM w""",
     "stream_psi": f"""WITH {SCORES}, r AS (SELECT min(score) AS lo, max(score) AS hi, count(*) AS rn FROM score_log WHERE is_ref),
       s AS (SELECT date_trunc('day', ts) + CASE WHEN hour(ts) >= 12 THEN INTERVAL 12 HOUR ELSE INTERVAL 0 HOUR END AS a, is_ref,
               len(list_filter(range(1, 10), lambda i: score >= i * ((hi - lo) / 10.0) + lo)) AS b FROM score_log, r),
@@ -632,15 +637,13 @@ ORACLES: dict[str, str] = {
       wins AS (SELECT a, count(*) AS n FROM s GROUP BY a), cb AS (SELECT a, b, count(*) AS c FROM s GROUP BY ALL),
       j AS (SELECT w.a, w.n, CASE WHEN coalesce(rb.n, 0) = 0 THEN 0.001 ELSE rb.n / rn END AS rs, CASE WHEN coalesce(c, 0) = 0 THEN 0.001 ELSE c / w.n END AS cs
             FROM wins w CROSS JOIN range(10) t(k) CROSS JOIN r LEFT JOIN rb ON rb.b = k LEFT JOIN cb ON cb.a = w.a AND cb.b = k)
-      SELECT {stamp("a")} AS window_start, {stamp("a + INTERVAL 12 HOUR")} AS window_end, any_value(n) AS n, round(abs(sum((cs - rs) * ln(cs / rs))), 6) AS psi
-      FROM j WHERE a + INTERVAL 12 HOUR <= {CLOSED} GROUP BY a""",
-    "stream_requests": f"""WITH {LOG}, w AS (SELECT date_trunc('hour', ts) AS a, endpoint, count(*) AS n, avg(latency_ms) AS mean, quantile_disc(latency_ms, 0.99) AS p99 FROM log GROUP BY 1, 2)
-      SELECT {stamp("a")} AS window_start, {stamp("a + INTERVAL 1 HOUR")} AS window_end, endpoint, n, {rnd("mean", "p99")} FROM w WHERE a + INTERVAL 1 HOUR <= {CLOSED}""",
-    "stream_latency_breach": latency_breach(True),
-    "stream_error_rate": error_rate(True),
-    "stream_silence": f"""WITH {LOG}, g AS (SELECT endpoint AS target, ts, lead(ts) OVER (PARTITION BY endpoint ORDER BY ts) AS nxt FROM log)
-      SELECT target, {stamp("ts + INTERVAL 1 HOUR")} AS silent_from, 'target_down' AS type, 'critical' AS severity
-      FROM g WHERE coalesce(nxt - ts > INTERVAL 1 HOUR, true) AND ts + INTERVAL 1 HOUR <= {CLOSED}""",
+      SELECT {stamp("a")} AS window_start, {stamp("a + INTERVAL 12 HOUR")} AS window_end, any_value(n) AS n, round(abs(sum((cs - rs) * ln(cs / rs))), 6) AS psi,
+        {FINAL.replace("window_end", "a + INTERVAL 12 HOUR")} FROM j GROUP BY a""",
+    "stream_requests": f"""WITH {LOG}, w AS (SELECT date_trunc('hour', ts) AS a, endpoint, count(*) AS n, avg(latency_ms) AS mean, quantile_disc({middle("latency_ms")}, 0.99) AS p99 FROM log GROUP BY 1, 2)
+      SELECT {stamp("a")} AS window_start, {stamp("a + INTERVAL 1 HOUR")} AS window_end, endpoint, n, {rnd("mean", "p99")}, {FINAL.replace("window_end", "a + INTERVAL 1 HOUR")} FROM w""",
+    "stream_latency_breach": latency_breach(middle("latency_ms")),
+    "stream_error_rate": ERROR_RATE,
+    "stream_silence": SILENCE,
     "stream_materialize": f"""SELECT user_id, value, CAST(event_id AS DOUBLE) AS event_id, {stamp("ts")} AS at FROM events
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 }

@@ -23,8 +23,8 @@ from sorrel.operators import (
     validate as va,
 )
 from sorrel.plans import roles as R
-from sorrel.session import stage
-from sorrel.streaming import sinks, windows as sw
+from sorrel.session import new_folder, stage
+from sorrel.streaming import sinks, steps, windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,7 +195,6 @@ def exclude_ids(spark, d):
 
 @query
 def file_stats(spark, d):
-    from sorrel.session import new_folder
     from sorrel.sources import delimited as D
 
     path = new_folder(spark, "lines")
@@ -288,7 +287,6 @@ def load_interactions(spark, d):
 def prepared_files(spark, d):
     """Raw files to the feature matrix, in the feature order stored beside it."""
     from sorrel.plans import training
-    from sorrel.session import new_folder
     from sorrel.sources import tables as tb
 
     matrix, order = training.prepare(spark, raw_files(spark, d), threshold=4, vocab=R.TAGS)
@@ -300,7 +298,6 @@ def prepared_files(spark, d):
 
 @query
 def stored_split(spark, d):
-    from sorrel.session import new_folder
     from sorrel.sources import tables as tb
 
     path = new_folder(spark, "split")
@@ -336,7 +333,6 @@ def training_set(spark, d):
 @query
 def latest_landing(spark, d):
     """Events landed under two dates, the second one twice; the newest date is read."""
-    from sorrel.session import new_folder
     from sorrel.sources import tables as tb
 
     path = new_folder(spark, "landing")
@@ -351,7 +347,6 @@ def latest_landing(spark, d):
 
 @query
 def feature_view(spark, d):
-    from sorrel.session import new_folder
     from sorrel.sources import tables as tb
 
     path = new_folder(spark, "view")
@@ -365,7 +360,6 @@ def feature_view(spark, d):
 @query
 def drift_report(spark, d):
     """The head row of the report, written as JSON under its date and read back."""
-    from sorrel.session import new_folder
     from sorrel.sources import tables as tb
 
     path = new_folder(spark, "report")
@@ -841,33 +835,40 @@ def reference_scores(spark, d):
     return mo.score_stats(mo.reference_scores(parts.where("split = 'train'"), model))
 
 
-def timed_log(spark, d) -> DataFrame:
-    return sw.timed(R.request_log(R.events(spark, d)))
-
-
-HOURLY = {"limit": 200.0, "step": "1 hour", "hold": "3 hours", "steps": 3}
-ERRORS = {"limit": 0.0004, "size": "2 hours", "seconds": 7200.0, "step": "1 hour", "hold": "2 hours", "steps": 2}
+HOLD = {"step": "1 hour", "hold": "3 hours", "n_steps": 3}
+HOURLY = {"limit": 200.0, **HOLD}
+ERRORS = {"limit": 0.0004, "size": "2 hours", "seconds": 7200.0, "step": "1 hour", "hold": "2 hours", "n_steps": 2}
 
 
 def windowed(df: DataFrame) -> DataFrame:
     return R.rounded(df.withColumns({"window_start": stamp("window_start"), "window_end": stamp("window_end")}))
 
 
+def requests(events: DataFrame) -> DataFrame:
+    return sw.with_bin(sw.timed(R.request_log(events)), "latency_ms")
+
+
+def targets(events: DataFrame) -> DataFrame:
+    return sw.timed(R.request_log(events)).withColumnRenamed("endpoint", "target")
+
+
 @query
 def latency_breach(spark, d):
-    return windowed(sw.latency_breaches(timed_log(spark, d), **HOURLY))
+    return windowed(sw.exact_latency_breaches(R.request_log(R.events(spark, d)), **HOURLY))
 
 
 @query
 def error_rate(spark, d):
-    return windowed(sw.error_rate_breaches(timed_log(spark, d), **ERRORS))
+    return windowed(sw.error_rate_breaches(steps.summarise(requests(R.events(spark, d)), sw.request_steps("1 hour")), **ERRORS))
+
+
+def silent(found: DataFrame) -> DataFrame:
+    return found.withColumns({"silent_from": stamp("silent_from"), "back_at": stamp("back_at")})
 
 
 @query
 def silence(spark, d):
-    log = R.request_log(R.events(spark, d)).withColumnRenamed("endpoint", "target")
-    got = sw.silences(log, gap_seconds=3600)
-    return got.withColumns({"silent_from": stamp("silent_from"), "back_at": stamp("back_at")})
+    return silent(sw.silences(steps.summarise(targets(R.events(spark, d)), sw.target_steps("1 hour")), gap_seconds=3600))
 
 
 # streaming --------------------------------------------------------------------------------------
@@ -879,49 +880,52 @@ def stream_of(spark, d) -> DataFrame:
     return sinks.read_stream(spark, f"{d}/event[s].parquet", schema)
 
 
+def streamed(stream: DataFrame, spec: steps.Steps, key=()) -> DataFrame:
+    """The steps that a stream stored, when it has read what is there."""
+    spark, path = stream.sparkSession, new_folder(stream.sparkSession, "steps")
+    steps.keep(stream, spec, path, f"{path}/checkpoint", key=key).awaitTermination()
+    return steps.kept(spark, path, spec, steps.summarise(stream, spec).schema)
+
+
 @query
 def stream_windows(spark, d):
-    scores = sw.timed(R.score_log(stream_of(spark, d)))
-    return windowed(sinks.run_available(sw.score_windows(scores)))
+    scores = sw.with_bin(sw.timed(R.score_log(stream_of(spark, d))), "score")
+    return windowed(sw.score_windows(streamed(scores, sw.score_steps("10 minutes"))))
 
 
 @query
 def stream_psi(spark, d):
     ref, _ = score_sides(spark, d)
-    scores = sw.timed(R.score_log(stream_of(spark, d)))
-    return windowed(sinks.run_available(sw.psi_windows(scores, sw.reference_bins(ref), size="12 hours")))
+    bins = sw.reference_bins(ref)
+    scores = sw.with_reference_bin(sw.timed(R.score_log(stream_of(spark, d))), bins)
+    return windowed(sw.psi_windows(streamed(scores, sw.psi_steps()), bins, size="12 hours"))
 
 
 @query
 def stream_requests(spark, d):
-    log = sw.without_replays(sw.timed(R.request_log(stream_of(spark, d))), ["event_id"])
-    return windowed(sinks.run_available(sw.request_windows(log, size="1 hour")))
+    log = requests(stream_of(spark, d))
+    return windowed(sw.request_windows(streamed(log, sw.request_steps("10 minutes"), key=["event_id"]), size="1 hour"))
 
 
 @query
 def stream_latency_breach(spark, d):
-    log = sw.timed(R.request_log(stream_of(spark, d)))
-    return windowed(sinks.run_available(sw.latency_breaches(log, **HOURLY)))
+    return windowed(sw.latency_breaches(streamed(requests(stream_of(spark, d)), sw.request_steps("1 hour")), **HOURLY))
 
 
 @query
 def stream_error_rate(spark, d):
-    log = sw.timed(R.request_log(stream_of(spark, d)))
-    return windowed(sinks.run_available(sw.error_rate_breaches(log, **ERRORS)))
+    return windowed(sw.error_rate_breaches(streamed(requests(stream_of(spark, d)), sw.request_steps("1 hour")), **ERRORS))
 
 
 @query
 def stream_silence(spark, d):
-    log = sw.timed(R.request_log(stream_of(spark, d)).withColumnRenamed("endpoint", "target"))
-    got = sinks.run_available(sw.silences_stream(log, gap="60 minutes"))
-    return got.withColumn("silent_from", stamp("silent_from"))
+    return silent(sw.silences(streamed(targets(stream_of(spark, d)), sw.target_steps("1 hour")), gap_seconds=3600))
 
 
 @query
 def stream_materialize(spark, d):
     from pyspark.sql import types as T
 
-    from sorrel.session import new_folder
     from sorrel.sources.tables import read_online
 
     path = new_folder(spark, "online")

@@ -1,4 +1,4 @@
-"""Running a stream into tables: a file sink for windows, an upsert sink for online features."""
+"""Running a stream into tables: a file source, an upsert sink for online features."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sorrel.operators.ordered import latest_per_key
 from sorrel.operators.store import FeatureView, upsert
-from sorrel.session import new_folder
 from sorrel.sources.tables import online_commits, read_online, write_online
 
 
@@ -18,22 +17,6 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return reader.parquet(path)
 
 
-def run_available(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Process what is there into a parquet sink with exactly-once output, and read the sink."""
-    spark = df.sparkSession
-    path = path or new_folder(spark, "stream")
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{path}/data")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{path}/data")
-
-
 def stream_materialize(rows: DataFrame, view: FeatureView, path: str, checkpoint: str, buckets: int = 64):
     """Keep an online snapshot current from new feature rows; returns the started query.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from sorrel.operators import store as st
 from sorrel.session import new_folder
 from sorrel.sources.tables import online_commits, read_online
-from sorrel.streaming import sinks, windows as sw
+from sorrel.streaming import sinks, steps as ss, windows as sw
 
 LOG = T.StructType().add("id", T.LongType()).add("ts", T.TimestampType()).add("target", T.StringType()).add("status", T.IntegerType()).add("latency_ms", T.DoubleType())
 START = datetime(2024, 1, 1)
@@ -25,62 +25,134 @@ def at(minutes, i=0, **kw):
     return (i, START + timedelta(minutes=minutes), row["target"], row["status"], row["latency_ms"])
 
 
-def test_windows_equal_their_batch_twin_on_closed_windows(spark, tmp_path, rows):
+def kept(spark, stream, spec, folder=None, **kw):
+    """Run the stream to the end and return its stored steps."""
+    path = folder or new_folder(spark, "steps")
+    ss.keep(stream, spec, path, f"{path}/checkpoint", **kw).awaitTermination()
+    return ss.kept(spark, path, spec, ss.summarise(stream, spec).schema)
+
+
+def test_windows_equal_their_batch_twin(spark, tmp_path, rows):
     data = [at(m * 0.7, m, latency_ms=float(m % 13)) for m in range(600)]
     stream, batch = log(spark, str(tmp_path), [data[:300], data[300:]])
-    scores = lambda df: sw.timed(df).withColumn("score", F.col("latency_ms") / 12)
-    closed = F.col("window_end") <= sw.closed_before(batch, "ts")
-    for build in (
-        lambda df: sw.score_windows(scores(df), size="30 minutes"),
-        lambda df: sw.request_windows(sw.timed(df), endpoint="target"),
-        lambda df: sw.psi_windows(scores(df), sw.reference_bins(scores(batch)), size="1 hour"),
+    scores = lambda df: df.withColumn("score", F.col("latency_ms") / 12)
+    bins = sw.reference_bins(scores(batch))
+    for prepare, spec, build in (
+        (lambda df: sw.with_bin(scores(df), "score"), sw.score_steps("10 minutes"), lambda st: sw.score_windows(st, "30 minutes")),
+        (lambda df: sw.with_bin(df, "latency_ms"), sw.request_steps(endpoint="target"), lambda st: sw.request_windows(st, "target")),
+        (lambda df: sw.with_reference_bin(scores(df), bins), sw.psi_steps("30 minutes"), lambda st: sw.psi_windows(st, bins, "1 hour")),
+        (lambda df: df, sw.target_steps("30 seconds"), lambda st: sw.silences(st, gap_seconds=30)),
     ):
-        want = rows(build(batch).where(closed))
-        assert want and rows(sinks.run_available(build(stream))) == want
+        want = rows(build(ss.summarise(prepare(batch), spec)))
+        assert want and rows(build(kept(spark, prepare(stream), spec))) == want
+    # the window that holds the newest event is there, and is not final
+    last = sw.request_windows(ss.summarise(sw.with_bin(batch, "latency_ms"), sw.request_steps(endpoint="target")), "target").orderBy("window_start").collect()
+    assert last[-1].window_end > data[-1][1] and not last[-1].final and last[0].final
 
 
-def test_late_rows_are_dropped_and_replays_counted_once(spark, tmp_path):
+def test_late_rows_correct_their_window_and_replays_count_once(spark, tmp_path):
     first = [at(m, m) for m in range(300)]
-    replay = first[-20:] + [at(400, 400)]
-    late = [at(5, 999), at(700, 700)]
+    replay = first[-20:] + [at(400, 400)] * 2
+    late = [at(5, 999), at(700, 700), first[3]]
     stream, _ = log(spark, str(tmp_path), [first, replay, late])
-    got = sinks.run_available(sw.request_windows(sw.without_replays(sw.timed(stream), ["id"]), endpoint="target", size="10 minutes"))
-    counts = {r.window_start: r.n for r in got.collect()}
-    assert counts[START] == 10
+    steps = kept(spark, sw.with_bin(stream, "latency_ms"), sw.request_steps(endpoint="target"), key=["id"])
+    counts = {r.window_start: r.n for r in sw.request_windows(steps, "target", "10 minutes").collect()}
+    assert counts[START] == 11
     assert counts[START + timedelta(minutes=290)] == 10
+    assert counts[START + timedelta(minutes=400)] == counts[START + timedelta(minutes=700)] == 1
+
+
+def test_batches_run_again_change_nothing_and_folds_keep_all(spark, tmp_path, rows):
+    stream, batch = log(spark, str(tmp_path), [[at(m, m, latency_ms=float(m)) for m in range(k, 100, 7)] for k in range(7)])
+    spec, path = sw.request_steps("10 minutes", endpoint="target"), new_folder(spark, "steps")
+    stream, batch = (sw.with_bin(df, "latency_ms") for df in (stream, batch))
+    want = rows(sw.request_windows(ss.summarise(batch, spec), "target", "10 minutes"))
+    got = lambda **kw: rows(sw.request_windows(kept(spark, stream, spec, path, key=["id"], **kw), "target", "10 minutes"))
+    assert got(fold_every=3) == want
+    assert len(os.listdir(f"{path.removeprefix('file:')}/parts/{os.listdir(path.removeprefix('file:') + '/parts')[0]}")) == 1
+    # the commit of the last batch is lost, so it runs again
+    for lost in ("6", ".6.crc"):
+        os.unlink(f"{path.removeprefix('file:')}/checkpoint/commits/{lost}")
+    assert got(fold_every=3) == want
+    # another stream over the same files brings nothing new, then everything is folded twice
+    ss.keep(stream, spec, path, new_folder(spark, "ck"), key=["id"], fold_every=2).awaitTermination()
+    schema = ss.summarise(batch, spec).schema
+    ss.fold(spark, path, spec, schema)
+    ss.fold(spark, path, spec, schema)
+    assert rows(sw.request_windows(ss.kept(spark, path, spec, schema), "target", "10 minutes")) == want
+
+
+def test_percentiles_have_one_error_at_every_size(spark):
+    for n in (1, 3, 40_000):
+        values = [0.001 * (i * 7919 % n + 1) ** 1.7 for i in range(n)]
+        df = spark.createDataFrame([(START, "a", 200, v) for v in values], "ts timestamp, endpoint string, status int, latency_ms double")
+        got = sw.request_windows(ss.summarise(sw.with_bin(df, "latency_ms"), sw.request_steps()), size="1 hour").first()
+        exact = sorted(values)[-(-99 * n // 100) - 1]
+        assert got.n == n and abs(got.p99 - exact) <= exact / 128
+
+
+def test_bins_of_odd_values(spark):
+    values = [0.0, -0.0, 1.0, 2.0, 4.0, 0.5, 1e-300, 5e-324, 1e300, 2**53 + 0.0, 2**53 - 1.0, 1.0 - 2**-53, -3.7, 3.7, float("nan"), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").withColumn("b", ss.value_bin(F.col("v")))
+    got = [(r.v, r.b, r.m) for r in df.withColumn("m", ss.bin_value(F.col("b"))).orderBy("i").collect()]
+    known = sorted(((v, b, m) for v, b, m in got if b is not None), key=lambda t: t[0])
+    assert len(known) == len(values) - 2
+    assert [b for _, b, _ in known] == sorted(b for _, b, _ in known)
+    assert all(abs(m - v) <= abs(v) / 128 for v, _, m in known if abs(v) > 1e-307)
+    assert all(b == 0 and m == 0 for v, b, m in known if v == 0)
+
+
+def test_windows_without_values_or_rows(spark):
+    empty = spark.createDataFrame([], LOG)
+    spec = sw.request_steps(endpoint="target")
+    assert sw.request_windows(ss.summarise(sw.with_bin(empty, "latency_ms"), spec), "target").count() == 0
+    assert sw.silences(ss.summarise(empty, sw.target_steps())).count() == 0
+    some = spark.createDataFrame([at(1, latency_ms=None), (2, None, "a", 200, 3.0), at(1, target=None, status=None)], LOG)
+    got = sw.request_windows(ss.summarise(sw.with_bin(some, "latency_ms"), spec), "target").orderBy("target").collect()
+    assert [(r.target, r.n, r.mean, r.p99) for r in got] == [(None, 1, 10.0, got[0].p99), ("a", 1, None, None)]
+    path = new_folder(spark, "none")
+    assert ss.kept(spark, path, spec, ss.summarise(sw.with_bin(empty, "latency_ms"), spec).schema).count() == 0
 
 
 @pytest.mark.parametrize("minutes,fires", [(4, False), (5, True), (6, True)])
 def test_latency_alert_needs_the_whole_hold(spark, minutes, fires):
-    data = [at(m, latency_ms=900.0 if 10 <= m < 10 + minutes else 20.0) for m in range(40)]
-    got = sw.latency_breaches(sw.timed(spark.createDataFrame(data, LOG))).collect()
-    assert len(got) == max(0, minutes - 4)
+    data = spark.createDataFrame([at(m, latency_ms=900.0 if 10 <= m < 10 + minutes else 20.0) for m in range(40)], LOG)
+    exact = sw.exact_latency_breaches(data).orderBy("window_start").collect()
+    got = sw.latency_breaches(ss.summarise(sw.with_bin(data, "latency_ms"), sw.request_steps(endpoint="target"))).orderBy("window_start").collect()
+    assert len(got) == len(exact) == max(0, minutes - 4) and [r.window_start for r in got] == [r.window_start for r in exact]
     if fires:
-        assert got[0].window_start is not None and got[0].value == 900.0
+        assert exact[0].value == 900.0 and abs(got[0].value - 900) < 900 / 128
+
+
+def test_an_alert_is_seen_while_it_is_open(spark):
+    """The last five minutes of the log breach: the alert is there, not final."""
+    data = spark.createDataFrame([at(m, latency_ms=900.0 if m >= 35 else 20.0) for m in range(40)], LOG)
+    got = sw.latency_breaches(ss.summarise(sw.with_bin(data, "latency_ms"), sw.request_steps(endpoint="target"))).collect()
+    assert [(r.window_start, r.final) for r in got] == [(START + timedelta(minutes=35), False)]
 
 
 def test_error_rate_alert(spark):
     # twenty errors in one minute: above 0.05 per second in every five-minute window that holds it
-    data = [at(20 + i / 60, status=503) for i in range(20)] + [at(m) for m in range(60)]
-    got = sw.error_rate_breaches(sw.timed(spark.createDataFrame(data, LOG))).orderBy("window_end").collect()
+    found = lambda data: sw.error_rate_breaches(ss.summarise(sw.with_bin(spark.createDataFrame(data, LOG), "latency_ms"), sw.request_steps(endpoint="target")))
+    got = found([at(20 + i / 60, status=503) for i in range(20)] + [at(m) for m in range(60)]).orderBy("window_end").collect()
     assert len(got) == 4 and all(r.severity == "critical" for r in got)
-    few = [at(20 + i / 60, status=503) for i in range(15)]
-    assert sw.error_rate_breaches(sw.timed(spark.createDataFrame(few, LOG))).isEmpty()
+    assert found([at(20 + i / 60, status=503) for i in range(15)]).isEmpty()
 
 
 def test_silence_batch_and_stream(spark, tmp_path):
     data = [at(m * 0.5, target="a") for m in range(20)] + [at(30 + m * 0.5, target="a") for m in range(400)]
     data += [at(m * 0.5, target="b") for m in range(460)]
-    stream, batch = log(spark, str(tmp_path), [sorted(data, key=lambda r: r[1])])
+    data.sort(key=lambda r: r[1])
+    found = lambda steps: sorted((r.target, r.silent_from, r.back_at) for r in sw.silences(steps).collect())
+    stream, batch = log(spark, str(tmp_path), [data[:30], data[30:]])
     # c never comes back, b stops within the gap before the end
     down = spark.createDataFrame([at(3, target="c")], LOG).unionByName(batch)
-    got = sorted(sw.silences(down).collect(), key=lambda r: r.target)
-    assert [(r.target, r.silent_from, r.back_at) for r in got if r.target == "c"] == [("c", START + timedelta(minutes=4), None)]
-    assert {r.target for r in got} == {"a", "c"}
-    got = sw.silences(batch).collect()
-    assert [(r.target, r.silent_from, r.back_at) for r in got] == [("a", START + timedelta(minutes=10.5), START + timedelta(minutes=30))]
-    live = sinks.run_available(sw.silences_stream(sw.timed(stream, late="1 minute"))).collect()
-    assert [(r.target, r.silent_from) for r in live] == [("a", START + timedelta(minutes=10.5))]
+    a = ("a", START + timedelta(minutes=10.5), START + timedelta(minutes=30))
+    assert found(ss.summarise(down, sw.target_steps())) == [a, ("c", START + timedelta(minutes=4), None)]
+    assert found(ss.summarise(batch, sw.target_steps())) == [a] == found(kept(spark, stream, sw.target_steps()))
+    # before a is back, its silence is open
+    early = spark.createDataFrame([r for r in data if r[1] < START + timedelta(minutes=20)], LOG)
+    assert found(ss.summarise(early, sw.target_steps())) == [(a[0], a[1], None)]
 
 
 def test_stream_upsert_is_idempotent(spark, tmp_path, rows):
