@@ -80,6 +80,27 @@ def running_sums(
     )
 
 
+def last_known(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add `name`: the last `value` that is not NULL at or before each row, in the group's order.
+
+    A segmented scan: rows are cut into ranges of (group, order), whatever the size of a group, the last value of every
+    range is carried over the ranges after it, and the rest is local to a range. `order` decides where ranges are cut, so
+    its last column should tell equal rows apart. Only a group that crosses from one range to the next carries a value,
+    so the carried rows are fewer than the ranges, which bounds the broadcast.
+    """
+    ranged = range_stage(df, group, order)
+    place = F.when(F.col(value).isNotNull(), F.struct(*order))
+    ends = ranged.groupBy(*group, "part").agg(F.max_by(value, place).alias("last"))
+    earlier = W.partitionBy(*group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(*[F.col(c).alias(f"of_{c}") for c in (*group, "part")], F.last("last", ignorenulls=True).over(earlier).alias("carried")).where(F.col("carried").isNotNull())
+    same = F.lit(True)
+    for c in (*group, "part"):
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    local = W.partitionBy(*group, "part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    known = F.coalesce(F.last(value, ignorenulls=True).over(local), F.col("carried"))
+    return ranged.join(F.broadcast(carried), same, "left").withColumn(name, known).select(*df.columns, name)
+
+
 def exact_percentiles(
     df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float], nearest: bool = False
 ) -> DataFrame:

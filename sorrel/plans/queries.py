@@ -397,7 +397,7 @@ def historical_features(spark, d):
 def point_in_time(spark, d):
     asked = R.events(spark, d).select("event_id", "user_id", "ts")
     views = {"daily": (R.DAILY, R.daily_view(spark, d))}
-    got = st.get_historical_features(asked, views, ["daily:mean_value", "daily:n_events"], True, "ts", bucket=timedelta(days=1))
+    got = st.get_historical_features(asked, views, ["daily:mean_value", "daily:n_events"], True, "ts")
     return R.rounded(got.select("event_id", "user_id", "mean_value", "n_events"))
 
 

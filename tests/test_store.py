@@ -3,8 +3,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from sorrel.operators import store as st
+from sorrel.operators import ordered as od, store as st
 from sorrel.plans import training as tr
+from sorrel.session import stage
 
 VIEW = st.FeatureView("v", "user_id", (("x", T.DoubleType()),), timedelta(days=7))
 
@@ -25,11 +26,21 @@ def history(spark):
     return spark.createDataFrame(data, "user_id long, x double, event_timestamp timestamp, created timestamp")
 
 
-@pytest.mark.parametrize("bucket", [timedelta(hours=1), timedelta(days=1), timedelta(days=400)])
-def test_point_in_time(spark, history, bucket):
+def cut_into(n):
+    """Ranges of a given number, so that groups are cut also where the data are few."""
+
+    def ranged(df, group, order):
+        return stage(df.repartitionByRange(n, *[F.col(c) for c in (*group, *order)]).withColumn("part", F.spark_partition_id()))
+
+    return ranged
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_point_in_time(spark, history, ranges, monkeypatch):
+    monkeypatch.setattr(od, "range_stage", cut_into(ranges))
     ask = [("2023-12-31", None), ("2024-01-01", 10.0), ("2024-01-04", 10.0), ("2024-01-06", 21.0), ("2024-01-12", 21.0), ("2024-01-13", None)]
     entities = spark.createDataFrame([(1, t(a), i) for i, (a, _) in enumerate(ask)] + [(7, t("2024-01-06"), 100), (None, t("2024-01-06"), 101)], "user_id long, event_timestamp timestamp, n int")
-    got = {r.n: r.x for r in st.point_in_time_join(entities, history, VIEW, ["x"], bucket=bucket).collect()}
+    got = {r.n: r.x for r in st.point_in_time_join(entities, history, VIEW, ["x"]).collect()}
     assert got == {**{i: v for i, (_, v) in enumerate(ask)}, 100: None, 101: None}
     filled = st.get_historical_features(entities, {"v": (VIEW, history)}, ["v:x"], True)
     assert {r.n: r.x for r in filled.collect()}[0] == 0.0
@@ -44,7 +55,7 @@ def test_point_in_time_against_brute_force(spark):
     asks = [(0 if rng.random() < 0.5 else rng.randint(1, 6), i, base + timedelta(minutes=rng.randint(0, 45_000))) for i in range(300)]
     f = spark.createDataFrame([(k, v, ts, ts) for k, v, ts in feats], "user_id long, x double, event_timestamp timestamp, created timestamp")
     e = spark.createDataFrame([(k, i, ts) for k, i, ts in asks], "user_id long, n int, event_timestamp timestamp")
-    got = {r.n: r.x for r in st.point_in_time_join(e, f, VIEW, ["x"], bucket=timedelta(hours=6)).collect()}
+    got = {r.n: r.x for r in st.point_in_time_join(e, f, VIEW, ["x"]).collect()}
     for k, n, ts in asks:
         near = [(a, x) for kk, x, a in feats if kk == k and a <= ts]
         want = max(near) if near else None
@@ -154,3 +165,32 @@ def test_point_in_time_without_key_or_time_beside_a_hot_key(spark):
       CASE WHEN id % 10 = 9 THEN NULL ELSE timestamp'2024-01-01' + make_interval(0,0,0,0,3,30) END event_timestamp FROM range(600)""")
     got = {r.id: r.x for r in st.point_in_time_join(asked, table, view, ["x"]).collect()}
     assert got == {i: 3.0 if i % 10 in (7, 8) else None for i in range(600)}
+
+
+def test_point_in_time_with_one_key_and_day_holding_most_rows(spark, monkeypatch):
+    """Nine of ten rows ask for one key at one time; no range holds over twice its share, and all get the right row."""
+    seen = []
+    plain = od.range_stage
+    monkeypatch.setattr(od, "range_stage", lambda *a: seen.append(plain(*a)) or seen[-1])
+    view = st.FeatureView("v", "user_id", (("x", T.DoubleType()),), timedelta(days=9))
+    table = spark.sql("SELECT k user_id, double(100 * k + h) x, timestamp'2024-01-01' + make_interval(0,0,0,0,h) event_timestamp FROM range(4) t(k), (SELECT explode(sequence(1, 20)) h)")
+    asked = spark.sql("SELECT id, CASE WHEN id % 10 < 9 THEN 1L ELSE id % 4 END user_id, timestamp'2024-01-01 12:30:00' + make_interval(0,0,0,0,0,0, if(id % 10 < 9, 0, id % 7)) event_timestamp FROM range(0, 20000, 1, 4)")
+    got = st.point_in_time_join(asked, table, view, ["x"])
+    assert got.where("x IS DISTINCT FROM 100 * user_id + 12").isEmpty() and got.count() == 20_000
+    sizes = [r["count"] for r in seen[0].groupBy("part").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_last_known_follows_the_plain_rule(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    data = [(rng.choice([None, 1, 1, 1, 2]), rng.choice([None, *range(9)]), i, rng.choice([None, None, float(i)])) for i in range(200)]
+    df = spark.createDataFrame(data, "g int, at int, i int, v double")
+    monkeypatch.setattr(od, "range_stage", cut_into(13))
+    got = {r.i: r.seen for r in od.last_known(df, ["g"], ["at", "i"], "v", "seen").collect()}
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2])
+    for r in data:
+        past = [p for p in data if p[0] == r[0] and order(p) <= order(r) and p[3] is not None]
+        assert got[r[2]] == (max(past, key=order)[3] if past else None)
+    assert od.last_known(df.limit(0), ["g"], ["at", "i"], "v", "seen").count() == 0
