@@ -3,7 +3,7 @@
 Under naive Bayes the log-odds of a (user, item) row is a user part plus an item part, so an item is
 fully described by two numbers: `b`, its Gaussian part, and `d`, its Bernoulli part. The score rises
 in both. An item that at least n others beat in both cannot be among the first n of any user, and
-items are sorted into classes by a lower bound of how many beat them. A user then meets only the
+items are sorted into classes by the number that beat them. A user then meets only the
 classes that can hold one of their first k + (number of their excluded items). Items of a class are
 packed into short arrays, each user row is joined to array rows by block number, and the best of a
 block are picked inside the row. Nothing is cut off: an item left out is provably not in the answer.
@@ -18,12 +18,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from sorrel.functions import columns as C, fixed
 from sorrel.operators import naive_bayes as nb
 from sorrel.operators.features import cold_start_means, exclude_pairs, lookup_default
-from sorrel.operators.ordered import top_k_per_user
+from sorrel.operators.ordered import running_sums, top_k_per_user
 from sorrel.session import stage
 
-CELLS = 1024
-GRID = 64
 BLOCK = 512
+#: users of a block before it is copied
+SHARE = 50_000
 PARTS_DIGITS = 9
 ORDER_DIGITS = 6
 
@@ -46,54 +46,27 @@ def user_parts(users: DataFrame, model: nb.Model, user: str, cols: Sequence[str]
     )
 
 
-def with_beaten_by(parts: DataFrame) -> DataFrame:
-    """Add `beaten_by`, a lower bound of the number of items at least as good in both parts.
+def with_beaten_by(parts: DataFrame, item: str) -> DataFrame:
+    """Add `beaten_by`, the number of items that come before an item for every user.
 
-    Two counts, both from grouped cells and never from item pairs: items with the same `d` and a
-    higher cell of `b`; and items in a higher cell of both on a coarse grid, as a two-way running
-    sum over its GRID x GRID cells.
+    Those have a greater `b` and a `d` at least as great, or are equal and have a smaller id (at an equal `b`, scores that
+    round to the same go by id, so a greater `d` does not decide). Items are ranked by `b`. At every bit of the rank, two neighbouring runs of ranks are merged in the order of `d`, and
+    an item of the later run counts the items of the earlier run that come before it: each better item is met at one bit
+    only. All merges are one running sum over (bit, pair of runs), in which a group may be of any size.
     """
-    # four numbers
-    span = parts.agg(
-        F.min("b").alias("b0"), F.max("b").alias("b1"), F.min("d").alias("d0"), F.max("d").alias("d1")
-    ).first()
-
-    def cell(x, lo, hi, n):
-        width = (hi or 0.0) - (lo or 0.0)
-        at = F.floor((F.col(x) - F.lit(lo or 0.0)) / F.lit(width or 1.0) * n)
-        return F.least(at, F.lit(n - 1)).cast("int")
-
-    marked = parts.withColumns(
-        {
-            "cell": cell("b", span.b0, span.b1, CELLS),
-            "gx": cell("d", span.d0, span.d1, GRID),
-            "gy": cell("b", span.b0, span.b1, GRID),
-        }
-    )
-    fine = marked.groupBy("d", "cell").agg(F.count(F.lit(1)).alias("n"))
-    above = W.partitionBy("d").orderBy(F.col("cell").desc()).rowsBetween(W.unboundedPreceding, -1)
-    fine = fine.select("d", "cell", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("same_d"))
-
-    axis = parts.sparkSession.range(GRID)
-    full = axis.select(F.col("id").cast("int").alias("gx"), F.explode(F.sequence(F.lit(0), F.lit(GRID - 1))).alias("gy"))
-    counts = full.join(marked.groupBy("gx", "gy").agg(F.count(F.lit(1)).alias("n")), ["gx", "gy"], "left")
-    up = W.partitionBy("gx").orderBy(F.col("gy").desc()).rowsBetween(W.unboundedPreceding, -1)
-    right = W.partitionBy("gy").orderBy(F.col("gx").desc()).rowsBetween(W.unboundedPreceding, -1)
-    grid = counts.withColumn("col_sum", F.coalesce(F.sum("n").over(up), F.lit(0))).select(
-        "gx", "gy", F.coalesce(F.sum("col_sum").over(right), F.lit(0)).alias("both")
-    )
-    return (
-        marked.join(fine, ["d", "cell"])
-        .join(grid, ["gx", "gy"])
-        .withColumn("beaten_by", F.greatest("same_d", "both"))
-        .drop("cell", "gx", "gy", "same_d", "both")
-    )
+    ordered = parts.select(item, "b", "d", (-F.col("b")).alias("nb"), (-F.col("d")).alias("nd"), F.lit(1).cast("bigint").alias("one"))
+    ranked = running_sums(ordered, [], ["nb", "d", item], ["one"]).withColumnsRenamed({"one_before": "rank", "one_all": "items"})
+    bits = F.sequence(F.lit(0), F.greatest(F.ceil(F.log2("items")).cast("int"), F.lit(1)))
+    at_bit = ranked.select("*", F.explode(bits).alias("bit"))
+    runs = at_bit.withColumns({"pair": F.expr("shiftright(rank, bit + 1)"), "later": F.expr("shiftright(rank, bit) & 1")})
+    merged = running_sums(runs.withColumn("earlier", 1 - F.col("later")), ["bit", "pair"], ["nd", "rank"], ["earlier"])
+    return merged.groupBy(item, "b", "d").agg(F.sum(F.col("later") * F.col("earlier_before")).alias("beaten_by"))
 
 
 def item_blocks(parts: DataFrame, item: str, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(items with block number, blocks with `at_best`): blocks hold about `block` items of one class."""
     level = F.floor(F.log2(F.col("beaten_by") + 1)).cast("int")
-    ranked = with_beaten_by(parts).withColumn("level", level)
+    ranked = with_beaten_by(parts, item).withColumn("level", level)
     sizes = ranked.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
     # one row per power of two
     first = W.orderBy("level").rowsBetween(W.unboundedPreceding, -1)
@@ -111,8 +84,9 @@ def item_blocks(parts: DataFrame, item: str, block: int = BLOCK) -> tuple[DataFr
 def candidate_blocks(users: DataFrame, placed: DataFrame, blocks: DataFrame, user: str) -> DataFrame:
     """Each user with the arrays of items that can be among their first `need`; no pairs are built.
 
-    One join on the block number at every size of the catalogue. Its strategy follows from measured sizes: adaptive
-    execution sends small tables of blocks to the users, and its skew join splits the many users of a wanted block.
+    All users want the blocks of the best items. So demand is counted, a block is copied once per SHARE users that want
+    it, and users are dealt over the copies: no key of the join has more than about SHARE users, and there is one copy
+    per SHARE (user, block) rows besides one of each block.
     """
     # one row per power of two: at most a few dozen numbers
     levels = (
@@ -121,17 +95,19 @@ def candidate_blocks(users: DataFrame, placed: DataFrame, blocks: DataFrame, use
         .collect()
     )
     # level l holds items beaten by at least 2^l - 1 others; a block number without items finds no partner
-    none = F.array().cast("array<bigint>")
-    wanted = F.flatten(
-        F.array(
-            *[
-                F.when(F.lit(2**r.level - 1) < F.col("need"), F.sequence(F.lit(r["first"]), F.lit(r["last"]))).otherwise(none)
-                for r in levels
-            ]
-        )
-    )
-    spread = users.select("*", F.explode(wanted).alias("block"))
-    return spread.join(blocks, "block")
+    wants = {r.level: F.lit(2**r.level - 1) < F.col("need") for r in levels}
+    demand = users.agg(F.count(F.lit(1)), *[F.count_if(w) for w in wants.values()]).first()[1:]
+    copies = {level: max(1, -(-n // SHARE)) for level, n in zip(wants, demand)}
+    none = F.array().cast("array<struct<block:bigint,copy:int>>")
+
+    def dealt(r) -> Column:
+        mine = F.pmod(F.xxhash64(user), F.lit(copies[r.level])).cast("int")
+        return F.transform(F.sequence(F.lit(r["first"]), F.lit(r["last"])), lambda x: F.struct(x.alias("block"), mine.alias("copy")))
+
+    wanted = F.flatten(F.array(none, *[F.when(wants[r.level], dealt(r)).otherwise(none) for r in levels]))
+    spread = users.select("*", F.inline(wanted))
+    last = F.coalesce(*[F.when(F.col("level") == level, n - 1) for level, n in copies.items()], F.lit(0))
+    return spread.join(blocks.select("*", F.explode(F.sequence(F.lit(0), last)).alias("copy")), ["block", "copy"])
 
 
 def recommend(
@@ -162,14 +138,14 @@ def recommend(
     n = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if excluded is None:
         people = people.repartition(n, user).withColumn("need", F.lit(k).cast("bigint"))
-        wanted = candidate_blocks(people, placed, blocks, user).withColumn("here", F.lit(k).cast("bigint"))
+        wanted = candidate_blocks(stage(people, "people"), placed, blocks, user).withColumn("here", F.lit(k).cast("bigint"))
     else:
         # of one block, a user can lose at most as many items as they excluded there
         out = excluded.select(user, item).distinct().join(placed.select(item, "block"), item)
         per_block = out.groupBy(user, "block").agg(F.count(F.lit(1)).alias("lost"))
         per_user = per_block.groupBy(user).agg(F.sum("lost").alias("lost"))
         people = people.repartition(n, user).join(per_user, user, "left").withColumn("need", F.lit(k) + F.coalesce("lost", F.lit(0))).drop("lost")
-        wanted = candidate_blocks(people, placed, blocks, user)
+        wanted = candidate_blocks(stage(people, "people"), placed, blocks, user)
         wanted = wanted.join(per_block, [user, "block"], "left").withColumn("here", F.lit(k) + F.coalesce("lost", F.lit(0)))
 
     def scored(x) -> Column:

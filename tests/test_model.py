@@ -191,3 +191,30 @@ def test_predict_like_unknown_item(spark):
     for r in nb.score(want, model).collect():
         assert got[r.i].score == pytest.approx(r.score)
         assert got[r.i].will_like == (r.score >= 0.5)
+
+
+@pytest.mark.parametrize("values", [2, 7, 1000])
+def test_dominance_counts_equal_all_pairs(spark, values):
+    import random
+
+    rng = random.Random(values)
+    data = [(i, float(rng.randrange(values)), float(rng.randrange(values))) for i in range(150)]
+    got = {r.item_id: r.beaten_by for r in rc.with_beaten_by(spark.createDataFrame(data, "item_id long, b double, d double"), "item_id").collect()}
+    for i, b, d in data:
+        assert got[i] == sum((b2 > b and d2 >= d) or (b2 == b and d2 == d and j < i) for j, b2, d2 in data)
+    one = spark.createDataFrame(data[:1], "item_id long, b double, d double")
+    assert [r.beaten_by for r in rc.with_beaten_by(one, "item_id").collect()] == [0]
+
+
+def test_users_of_a_block_are_dealt_over_its_copies(spark, monkeypatch):
+    """All users want the one best block; no key of the join holds over twice the share, and no pair is lost."""
+    monkeypatch.setattr(rc, "SHARE", 100)
+    parts = spark.createDataFrame([(i, float(i % 17), float(i % 5)) for i in range(60)], "item_id long, b double, d double")
+    placed, blocks = rc.item_blocks(parts, "item_id", block=16)
+    users = spark.range(1000).select(F.col("id").alias("user_id"), F.lit(0.1).alias("a"), F.lit(0.2).alias("c"), (1 + F.col("id") % 3).alias("need"))
+    got = rc.candidate_blocks(users, placed, blocks, "user_id")
+    assert max(r["count"] for r in got.groupBy("block", "copy").count().collect()) < 200
+    first = {r.level: (r.a, r.z) for r in placed.groupBy("level").agg(F.min("block").alias("a"), F.max("block").alias("z")).collect()}
+    here = {r.block for r in placed.select("block").distinct().collect()}
+    want = sum(b in here for i in range(1000) for level, (a, z) in first.items() if 2**level - 1 < 1 + i % 3 for b in range(a, z + 1))
+    assert got.count() == want and got.select("user_id", "block").distinct().count() == want
