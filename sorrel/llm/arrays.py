@@ -19,13 +19,19 @@ BATCH_ROWS = 512
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 
 
-def map_batches(df: DataFrame, func: Callable, schema: str) -> DataFrame:
+#: what a Python worker keeps between tasks, by the operator that uses it
+HELD: dict = {}
+
+
+def map_batches(df: DataFrame, func: Callable, schema: str, keeps: str = "") -> DataFrame:
     """`mapInArrow` with batches of at most BATCH_ROWS rows, as a row holds a whole text.
 
-    Spark keeps Python workers between tasks, so a task hands its free memory back to the system at its end.
+    Spark keeps Python workers between tasks, so a task lets go of what other operators than `keeps` left in HELD, and
+    hands its free memory back to the system at its end.
     """
 
     def run(batches):
+        let_go(keeps)
         yield from func(batches)
         release()
 
@@ -35,6 +41,12 @@ def map_batches(df: DataFrame, func: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def let_go(keeps: str) -> None:
+    """Drop what operators other than `keeps` hold. A function of the module, so that a task sees its worker's HELD."""
+    for name in [name for name in HELD if name != keeps]:
+        del HELD[name]
+
+
 def release() -> None:
     """Return memory that Arrow and the C allocator hold free."""
     pa.default_memory_pool().release_unused()

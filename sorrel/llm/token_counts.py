@@ -17,13 +17,15 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sorrel.llm.arrays import map_batches
+from sorrel.llm.arrays import HELD, map_batches
 
 # Fixed values of the tokenizer file's kind, checked against the file.
 SUFFIX = "</w>"
@@ -33,11 +35,13 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 SLICE_CHARS = 1 << 18
 CHUNK = 256
 PIECE, WARM = 64, 48
-MOST_STATES, MOST_TRANSITIONS = 1 << 18, 1 << 20
-#: text below this code point is in composed form as it is
-FIRST_COMBINING = "\u0300"
+MOST_STATES, MOST_TRANSITIONS = 1 << 17, 1 << 19
+#: text without these code points is in composed form as it is
+COMBINING = re.compile("[\u0300-\U0010ffff]")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 LIMIT = 2048
+#: tables of the file that was compiled last
+COMPILED: dict = {}
 
 SPACE, LETTER, NUMBER, OTHER, QUOTE, SHORT, R_OR_V, L, E, UNKNOWN = range(10)
 START, START_BEFORE = 1, 2
@@ -110,7 +114,7 @@ def word_starts(classes: np.ndarray) -> np.ndarray:
 class Merges:
     """Which two tokens stay apart, and the trie of all tokens with suffix links."""
 
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, specials: set[str]):
         first = {}
         for c in (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)):
             first[chr(c)] = c
@@ -123,13 +127,15 @@ class Merges:
         names += [c + SUFFIX for c in names]
         names += [a + b for a, b in pairs]
         ids = {name: k for k, name in enumerate(names)}
-        if len(ids) != len(names) or set(ids) != {t for t in model["vocab"] if t not in self._special(model)}:
+        if len(ids) != len(names) or set(ids) != set(model["vocab"]) - specials:
             raise ValueError("tokens and merges of the tokenizer file do not belong together")
         left = np.full(len(names), -1, np.int64)
         right = left.copy()
         left[512:] = [ids[a] for a, _ in pairs]
         right[512:] = [ids[b] for _, b in pairs]
         self.n = len(names)
+        self.ids = np.array([model["vocab"][name] for name in names], np.int64)
+        self.size = np.array([len(x) - len(SUFFIX) if x.endswith(SUFFIX) else len(x) for x in names], np.int64)
         key = left[512:] * self.n + right[512:]
         order = np.argsort(key)
         self.pair_keys, self.pair_made = key[order], order + 512
@@ -142,10 +148,6 @@ class Merges:
             sound[t] &= sound[left[t]] and sound[right[t]]
         self._trie([bytes(first[c] for c in (x[: -len(SUFFIX)] if x.endswith(SUFFIX) else x)) for x in names], [x.endswith(SUFFIX) for x in names], sound)
 
-    @staticmethod
-    def _special(model: dict) -> set:
-        return set(model.get("special", ()))
-
     def _spines(self, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens along one edge of a token's merges, smallest first, one after another, with the starts of each."""
         lists: list = [[t] for t in range(512)]
@@ -244,7 +246,7 @@ class Merges:
 
 
 class WordTransducer:
-    """Counts tokens of words. A transition's key is 512 * state + byte, plus 256 for the last byte of a word."""
+    """Counts and names tokens of words. A transition's key is 512 * state + byte, plus 256 for the last byte of a word."""
 
     def __init__(self, merges: Merges):
         self.merges = merges
@@ -263,8 +265,9 @@ class WordTransducer:
 
     @staticmethod
     def _name(node, tokens, since) -> list[bytes]:
+        """A 128-bit hash of each state, which stands for it in the table of known ones."""
         rows = np.concatenate([node.astype("<i4").view(np.uint8).reshape(len(node), -1), tokens.view(np.uint8), since.view(np.uint8)], axis=1)
-        return [r.tobytes() for r in rows]
+        return [xxhash.xxh3_128_digest(r) for r in np.ascontiguousarray(rows)]
 
     def _rehash(self, size: int) -> None:
         old = (self.keys[self.keys >= 0], self.values[self.keys >= 0]) if self.made else None
@@ -289,7 +292,7 @@ class WordTransducer:
             slot[todo] = (slot[todo] + 1) & mask
 
     def lookup(self, key: np.ndarray) -> np.ndarray:
-        """256 * next state + 128 + change of the count."""
+        """256 * next state (after a last byte: 256 * last token) + 128 + change of the count."""
         slot, mask = self._slot(key), len(self.keys) - 1
         value, at = self.values[slot], self.keys[slot]
         wrong = np.flatnonzero(at != key)
@@ -330,7 +333,7 @@ class WordTransducer:
             todo = todo[~m.apart(before, m.ends[last[todo], at[todo]])]
             at[todo] = m.token_at[last[todo], m.fail[at[todo]]]
         change = 1 - self.since[state, m.depth[at] - 1].astype(np.int64)
-        goes = np.zeros(len(key), np.int64)
+        goes = m.ends[last, at]
         inner = np.flatnonzero(last == 0)
         if len(inner):
             live = m.live[node[inner]]
@@ -357,8 +360,11 @@ class WordTransducer:
             held[self.n_states : end] = new
         self.n_states = end
 
-    def run(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ends: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(exit state, count) of byte runs side by side from given entry states; `ends` marks runs that end a word."""
+    def run(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ends: np.ndarray, state: np.ndarray, token: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(exit state, count) of byte runs side by side from given entry states; `ends` marks runs that end a word.
+
+        `token`, if given, receives at every byte the token that ends there if the word is cut off there.
+        """
         order = np.argsort(-lengths, kind="stable")
         at, ends, state = starts[order], ends[order], state[order]
         active = np.cumsum(np.bincount(lengths)[::-1])[::-1]
@@ -370,11 +376,14 @@ class WordTransducer:
             value = self.lookup(state[:n] * 512 + symbol)
             state[:n] = value >> 8
             counts[:n] += (value & 255) - 128
+            if token is not None:
+                token[at[still:n] + k] = np.where(ends[still:n] > 0, state[still:n], self.tokens[np.where(ends[still:n] > 0, 0, state[still:n]), 0])
+                token[at[:still] + k] = self.tokens[state[:still], 0]
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         return state[back], counts[back]
 
-    def count(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def count(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, token: np.ndarray | None = None) -> np.ndarray:
         """Tokens of every word."""
         if self.n_states > MOST_STATES or self.made > MOST_TRANSITIONS:
             self.reset()
@@ -389,25 +398,33 @@ class WordTransducer:
         if len(later):
             # entry states of later pieces, guessed from the bytes before
             entry[later] = self.run(data, at[later] - WARM, np.full(len(later), WARM), np.zeros(len(later), np.int64), np.zeros(len(later), np.int64))[0]
-        leaves, counts = self.run(data, at, size, ends, entry)
+        leaves, counts = self.run(data, at, size, ends, entry, token)
         while len(later):
             wrong = later[entry[later] != leaves[later - 1]]
             if not len(wrong):
                 break
             entry[wrong] = leaves[wrong - 1]
-            leaves[wrong], counts[wrong] = self.run(data, at[wrong], size[wrong], ends[wrong], entry[wrong])
+            leaves[wrong], counts[wrong] = self.run(data, at[wrong], size[wrong], ends[wrong], entry[wrong], token)
         return np.bincount(word, counts, len(starts)).astype(np.int64)
 
-
-class TokenCounter:
-    """Both transducers for one tokenizer file."""
-
-    held: dict = {}
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Regex, normalizers, pre_tokenizers
-
+    def encode(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vocabulary ids of all words one after another, tokens of every word): read off from the last token backwards."""
+        token = np.zeros(len(data), np.int32)
+        counts = self.count(data, starts, lengths, token)
+        out = np.zeros(int(counts.sum()), np.int64)
+        place, at, words = np.cumsum(counts) - 1, starts + lengths - 1, np.arange(len(starts))
+        while len(words):
+            here = token[at[words]]
+            out[place[words]] = self.merges.ids[here]
+            place[words] -= 1
+            at[words] -= self.merges.size[here]
+            words = words[at[words] >= starts[words]]
+        return out, counts
+
+
+def compiled(path: str) -> tuple[Merges, dict[str, int]]:
+    """(merges, special strings with their ids) of a tokenizer file: some megabytes, by the size of its vocabulary."""
+    if path not in COMPILED:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, added = spec["model"], spec["added_tokens"]
@@ -416,9 +433,21 @@ class TokenCounter:
         plain = not any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized"))
         if (kinds, cut, model.get("end_of_word_suffix"), model["type"], plain) != (NORMALIZERS, [PATTERN], SUFFIX, "BPE", True):
             raise ValueError(f"{path} is not of the kind these transducers are compiled for")
-        specials = [t["content"] for t in added]
+        COMPILED.clear()
+        COMPILED[path] = Merges(model, {t["content"] for t in added}), {t["content"]: t["id"] for t in added}
+    return COMPILED[path]
+
+
+class TokenCounter:
+    """Both transducers for one tokenizer file, from what `compiled` gives."""
+
+    def __init__(self, merges: Merges, specials: dict[str, int]):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Regex, normalizers, pre_tokenizers
+
+        self.special_ids = specials
         self.specials = re.compile("|".join(map(re.escape, specials)))
-        self.words = WordTransducer(Merges({**model, "special": specials}))
+        self.words = WordTransducer(merges)
         self.nfc, self.lower = normalizers.NFC(), normalizers.Lowercase()
         self.split = pre_tokenizers.Split(Regex(PATTERN), "removed", invert=True)
         self.classes = np.full(0x110000, UNKNOWN, np.uint8)
@@ -426,11 +455,11 @@ class TokenCounter:
         self.longer: dict = {}
 
     @classmethod
-    def get(cls, path: str) -> TokenCounter:
-        """One per Python worker."""
-        if path not in cls.held:
-            cls.held = {path: cls(path)}
-        return cls.held[path]
+    def get(cls, sent) -> TokenCounter:
+        """One per Python worker, from a broadcast of `compiled`; a task of another operator lets go of it."""
+        if "tokens" not in HELD or HELD["tokens"][0] != sent.value[0].n:
+            HELD["tokens"] = sent.value[0].n, cls(*sent.value)
+        return HELD["tokens"][1]
 
     def _learn(self, code: int) -> None:
         """Lower case and class of a code point, asked of the library once."""
@@ -450,9 +479,9 @@ class TokenCounter:
             self._learn(int(code))
         return codes
 
-    def count(self, sections: list[str]) -> np.ndarray:
-        """Tokens of each section of text; sections hold no special token."""
-        sections = [self.nfc.normalize_str(s) if not s.isascii() and max(s) >= FIRST_COMBINING else s for s in sections]
+    def _words(self, sections: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, starts, lengths of words, section of words) of sections of text that hold no special token."""
+        sections = [self.nfc.normalize_str(s) if COMBINING.search(s) else s for s in sections]
         codes = self._codes(sections)
         if any(ord(c) in codes for c in self.longer):
             table = str.maketrans(self.longer)
@@ -465,14 +494,28 @@ class TokenCounter:
         data = np.frombuffer(low[kept].tobytes().decode("utf-32-le").encode(), np.uint8)
         width = np.where(kept, 1 + (low >= 0x80).astype(np.int64) + (low >= 0x800) + (low >= 0x10000), 0)
         begins = (np.cumsum(width) - width)[starts]
-        lengths = np.diff(np.append(begins, len(data)))
-        return np.bincount(section, self.words.count(data, begins, lengths), len(sections)).astype(np.int64)
+        return data, begins, np.diff(np.append(begins, len(data))), section
 
-    def sections(self, text: str) -> tuple[list[str], int]:
-        """(parts of at most about SLICE_CHARS code points, number of special tokens); cuts are at spaces only."""
+    def count(self, sections: list[str]) -> np.ndarray:
+        """Tokens of each section."""
+        data, starts, lengths, section = self._words(sections)
+        return np.bincount(section, self.words.count(data, starts, lengths), len(sections)).astype(np.int64)
+
+    def encode(self, sections: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all sections one after another, tokens of each section)."""
+        data, starts, lengths, section = self._words(sections)
+        ids, counts = self.words.encode(data, starts, lengths)
+        return ids, np.bincount(section, counts, len(sections)).astype(np.int64)
+
+    def sections(self, text: str) -> tuple[list[str], list[int]]:
+        """Parts of at most about SLICE_CHARS code points, and after each the id of a special token, or -1.
+
+        Cuts are at spaces and around special tokens only.
+        """
         parts = self.specials.split(text) if "<" in text else [text]
-        out = []
-        for p in parts:
+        ids = [self.special_ids[s] for s in self.specials.findall(text)] if len(parts) > 1 else []
+        out, after = [], []
+        for p, special in zip(parts, [*ids, -1]):
             at = 0
             while len(p) - at > SLICE_CHARS:
                 cut = p.rfind(" ", at, at + SLICE_CHARS)
@@ -480,9 +523,27 @@ class TokenCounter:
                 if cut < 0:
                     break
                 out.append(p[at:cut])
+                after.append(-1)
                 at = cut
             out.append(p[at:])
-        return out, len(parts) - 1
+            after.append(special)
+        return out, after
+
+    def batches(self, texts: pa.Array) -> Iterator[tuple[list[int], list[str], list[int]]]:
+        """(row, section, special id after it) of texts, in lists of about SLICE_CHARS code points; null reads as empty."""
+        rows, held, after, size = [], [], [], 0
+        for r in range(len(texts)):
+            sections, specials = self.sections(texts[r].as_py() or "")
+            for s, special in zip(sections, specials):
+                rows.append(r)
+                held.append(s)
+                after.append(special)
+                size += len(s) + 1
+                if size >= SLICE_CHARS:
+                    yield rows, held, after
+                    rows, held, after, size = [], [], [], 0
+        if held:
+            yield rows, held, after
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int = LIMIT) -> DataFrame:
@@ -497,30 +558,17 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
     packed = docs.select(F.struct(*rest).alias("row") if rest else F.lit(0).alias("row"), F.col(text).cast("string").alias("t"))
     kind = packed.schema["row"].dataType.simpleString()
 
+    sent = docs.sparkSession.sparkContext.broadcast(compiled(tokenizer))
+
     def run(batches):
-        counter = TokenCounter.get(tokenizer)
+        counter = TokenCounter.get(sent)
         for batch in batches:
             texts = batch.column(1)
             totals = np.zeros(len(texts), np.int64)
-            held, rows, size = [], [], 0
-
-            def flush():
-                np.add.at(totals, rows, counter.count(held))
-
-            for r in range(len(texts)):
-                sections, specials = counter.sections(texts[r].as_py() or "")
-                totals[r] += specials
-                for s in sections:
-                    held.append(s)
-                    rows.append(r)
-                    size += len(s) + 1
-                    if size >= SLICE_CHARS:
-                        flush()
-                        held, rows, size = [], [], 0
-            if held:
-                flush()
+            for rows, sections, after in counter.batches(texts):
+                np.add.at(totals, rows, counter.count(sections) + (np.array(after) >= 0))
             n_bytes = pc.binary_length(texts.fill_null("")).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, pa.array(totals)], ["row", "n_bytes", "n_tokens"])
 
-    counted = map_batches(packed, run, f"row {kind}, n_bytes long, n_tokens long")
+    counted = map_batches(packed, run, f"row {kind}, n_bytes long, n_tokens long", keeps="tokens")
     return counted.select(*(F.col("row").getField(c).alias(c) for c in rest), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

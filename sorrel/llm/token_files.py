@@ -7,19 +7,17 @@ Elias-Fano sequences of about 2 + log2(universe / n) bits an entry, with samples
 
 from __future__ import annotations
 
-import os
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from sorrel.llm.arrays import map_batches, slices
+from sorrel.llm.arrays import map_batches
 from sorrel.llm.rows import in_ranges
+from sorrel.llm.token_counts import TokenCounter, compiled
 
 BLOCK_IDS = 1 << 16
-CACHED_WORDS, CACHED_LENGTH = 500_000, 200
 SAMPLE = 64
 BLOCK_SCHEMA = "shard int, block int, first long, n_docs long, n_null long, n_ids long, width int, lowest long, doc_ids binary, ends binary, ids binary"
 
@@ -82,79 +80,31 @@ class EliasFano:
         return cls(n, width, data[32 : 32 + low], data[32 + low : 32 + low + high], np.frombuffer(data, "<u4", offset=32 + low + high))
 
 
-def _stem(word: str) -> tuple[str, str]:
-    """(word in lower case without a last comma or full stop, that mark): their ids are the word's ids.
-
-    The tokenizer lower-cases by itself and ends a pre-token between a letter and a mark. Only ASCII words change case
-    here, and none that could be a special token. The letter has to be ASCII: canonical composition or lower-casing
-    turns some others (U+0130, U+0958) into a letter and a combining mark, which stays in one pre-token with the mark.
-    """
-    if word.isascii() and "<" not in word:
-        word = word.lower()
-    return (word[:-1], word[-1]) if word[-1] in ".," and word[-2:-1].isascii() and word[-2:-1].isalpha() else (word, "")
-
-
-class Encoder:
-    """Ids of whole texts, with those of frequent words kept.
+def tokenize(ranged: DataFrame, tokenizer: str, end_id: int, text: str, key: str, width: int) -> DataFrame:
+    """(doc_id, range_no, ids): the ids of every whole text as bytes, with the end id; null text has the end id only.
 
-    Text is cut at spaces and line feeds only. That changes nothing for a tokenizer that drops white space, as this one
-    does: no pre-token, canonical composition or merge crosses them.
+    The ids are read off the transducers that are compiled from the tokenizer file (`token_counts`).
     """
-
-    held: dict = {}
-
-    def __init__(self, path: str, dtype: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, {"": b""}
-
-    @classmethod
-    def get(cls, path: str, dtype: str) -> Encoder:
-        """One per Python worker."""
-        if (path, dtype) not in cls.held:
-            cls.held[path, dtype] = cls(path, dtype)
-        return cls.held[path, dtype]
-
-    def encode(self, texts: list[str], tail: bytes) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        missing = list(set().union(*words).difference(known))
-        stems = {w: _stem(w) for w in missing}
-        new = list({x for pair in stems.values() for x in pair}.difference(known))
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(e.ids, self.dtype).tobytes()
-        for word, (stem, mark) in stems.items():
-            known[word] = known[stem] + known[mark]
-        out = [b"".join(map(known.__getitem__, w)) + tail for w in words]
-        if len(known) > CACHED_WORDS:
-            self.known = {"": b""}
-        else:
-            for word in {*missing, *new}:
-                if len(word) > CACHED_LENGTH:
-                    del known[word]
-        return out
-
-
-def tokenize(ranged: DataFrame, tokenizer: str, end_id: int, text: str, key: str, width: int) -> DataFrame:
-    """(doc_id, range_no, ids): the ids of every whole text as bytes, with the end id; null text has the end id only."""
     dtype = f"<u{width}"
     tail = np.array([end_id], dtype).tobytes()
+    sent = ranged.sparkSession.sparkContext.broadcast(compiled(tokenizer))
 
     def run(batches):
-        encoder = Encoder.get(tokenizer, dtype)
+        counter = TokenCounter.get(sent)
         for batch in batches:
-            texts = batch.column(2).fill_null("")
-            lengths = np.array(pc.binary_length(texts), np.int64)
-            for i, j in slices(np.concatenate([[0], np.cumsum(lengths)])):
-                ids = encoder.encode(texts.slice(i, j - i).to_pylist(), tail)
-                columns = [*(batch.column(k).slice(i, j - i) for k in (0, 1)), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "range_no", "ids"])
+            parts = [[] for _ in range(batch.num_rows)]
+            for rows, sections, after in counter.batches(batch.column(2)):
+                ids, counts = counter.encode(sections)
+                raw, ends = ids.astype(dtype).tobytes(), np.cumsum(counts) * width
+                for r, i, j, special in zip(rows, ends - counts * width, ends, after):
+                    parts[r].append(raw[i:j])
+                    if special >= 0:
+                        parts[r].append(np.array([special], dtype).tobytes())
+            ids = pa.array([b"".join(p) + tail for p in parts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["doc_id", "range_no", "ids"])
 
     source = ranged.select(F.col(key).cast("long").alias("doc_id"), "range_no", F.col(text).cast("string").alias("t"))
-    return map_batches(source, run, "doc_id long, range_no int, ids binary")
+    return map_batches(source, run, "doc_id long, range_no int, ids binary", keeps="tokens")
 
 
 def block_of(shard: int, number: int, first: int, docs: list, width: int) -> dict:
