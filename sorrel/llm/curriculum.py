@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from sorrel.llm.rows import shuffled, with_row_number
+from sorrel.llm.rows import numbered, shuffled, with_row_number
 from sorrel.operators.ordered import running_sums
 
 SEED = 9
@@ -118,21 +118,49 @@ def plan(
     return out.drop("mix_source", "mix_size", "mix_size_before", "mix_size_all", "drawn", "uid", "turn", "weight", "target_source")
 
 
+def _packed(docs: DataFrame, text: str, source: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows as one struct with a number, their narrow form): columns keep any name, and equal rows stay apart."""
+    rows = with_row_number(docs.select(F.struct(*docs.columns).alias("row")), "mix-rows")
+    at = F.col("row")
+    return rows, rows.select(F.col("uid").alias("row_uid"), at[source].alias("source"), at[key].alias("key"), word_count(at[text].cast("string")).alias("size"))
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **how) -> DataFrame:
     """The mixed documents in training order: each row of `docs` as often as the mix takes it, range-sorted by moment.
 
-    Rows are told apart by all their columns; equal rows are numbered, so each gets its own copies. The texts are
-    shuffled to their plan and once more into training order; columns stay as they were.
+    Every row is numbered once and planned by itself, so equal rows each get their own copies and columns may have any
+    name and type. The texts are shuffled to their plan and once more into training order; columns stay as they were.
+    """
+    rows, narrow = _packed(docs, text, source, key)
+    placed = plan(narrow, "source", "key", "size", **how).where("copies > 0").select("row_uid", "moments")
+    out = rows.join(placed, F.col("uid") == F.col("row_uid")).select("row", "uid", F.explode("moments").alias("at"))
+    return out.repartitionByRange("at", "uid").sortWithinPartitions("at", "uid").select("row.*")
+
+
+def schedule(
+    docs: DataFrame,
+    text: str = "text",
+    source: str = "source",
+    key: str = "doc_id",
+    curves: Sequence[Sequence[tuple[float, float]]] = CURVES,
+    seed: int = SEED,
+    name: str = "moment",
+) -> DataFrame:
+    """`docs`, already mixed, with the moment of training at which each row is asked for, as `name`.
+
+    Rows of a source follow its curve: copies of a document lie in passes one after another, each pass in the seeded
+    order, and a row's moment is where its source has asked for the tokens before the row's middle. A source without
+    tokens starts at once. Null sources, keys and texts are as in `plan`.
     """
-    names = docs.columns
-    same = F.xxhash64(*[F.col(c) for c in names]), F.hash(*[F.col(c) for c in names])
-    keyed = docs.withColumns({"_h": same[0], "_g": same[1]})
-    narrow = keyed.select("_h", "_g", F.col(source).alias("source"), F.col(key).alias("key"), word_count(text).alias("size"))
-    placed = plan(narrow, "source", "key", "size", **how).where("copies > 0")
-    per_row = W.partitionBy("_h", "_g")
-    placed = placed.select(F.col("_h").alias("_ph"), F.col("_g").alias("_pg"), "moments", F.row_number().over(W.partitionBy("_h", "_g").orderBy(F.col("moments")[0])).alias("_k"))
-    placed = placed.groupBy("_ph", "_pg").agg(F.map_from_entries(F.collect_list(F.struct("_k", "moments"))).alias("_plans"))
-    mine = keyed.withColumn("_k", F.row_number().over(per_row.orderBy("_h")))
-    out = mine.join(placed, (F.col("_h") == F.col("_ph")) & (F.col("_g") == F.col("_pg")))
-    out = out.withColumn("_at", F.explode(F.try_element_at("_plans", "_k")))
-    return out.repartitionByRange("_at", "_h").sortWithinPartitions("_at", "_h").select(*names)
+    rows, narrow = _packed(docs, text, source, key)
+    # copies are rows of one source, key and size
+    copies = numbered(narrow.withColumn("drawn", shuffled("key", seed=seed)), ["source", "drawn", "key", "size"], ["row_uid"], "turn_no").drop("turn_no_of")
+    run = running_sums(copies, ["source"], ["turn_no", "drawn", "key", "size", "row_uid"], ["size"])
+    sources = narrow.select("source").distinct().withColumn("curve", (F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1) % len(curves))
+    placed = run.join(sources.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")))
+    share = F.coalesce(F.try_divide(F.col("size_before") + F.col("size") / 2, F.col("size_all").cast("double")), F.lit(0.0))
+    at = moment(share, curves[-1])
+    for k, curve in enumerate(curves[:-1]):
+        at = F.when(F.col("curve") == k, moment(share, curve)).otherwise(at)
+    out = rows.join(placed.select("row_uid", at.alias("at")), F.col("uid") == F.col("row_uid"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != name], F.col("at").alias(name))

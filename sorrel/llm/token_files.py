@@ -19,7 +19,7 @@ from sorrel.llm.token_counts import TokenCounter, compiled
 
 BLOCK_IDS = 1 << 16
 SAMPLE = 64
-BLOCK_SCHEMA = "shard int, block int, first long, n_docs long, n_null long, n_ids long, width int, lowest long, doc_ids binary, ends binary, ids binary"
+BLOCK_SCHEMA = "shard int, block int, first long, n_docs long, n_null long, n_ids long, width int, lowest long, places binary, doc_ids binary, ends binary, ids binary"
 
 
 class EliasFano:
@@ -80,8 +80,8 @@ class EliasFano:
         return cls(n, width, data[32 : 32 + low], data[32 + low : 32 + low + high], np.frombuffer(data, "<u4", offset=32 + low + high))
 
 
-def tokenize(ranged: DataFrame, tokenizer: str, end_id: int, text: str, key: str, width: int) -> DataFrame:
-    """(doc_id, range_no, ids): the ids of every whole text as bytes, with the end id; null text has the end id only.
+def tokenize(ranged: DataFrame, tokenizer: str, end_id: int, text: str, key: str, width: int, order: str | None = None) -> DataFrame:
+    """(doc_id, range_no, ids, place): the ids of every whole text as bytes, with the end id; null text has the end id only.
 
     The ids are read off the transducers that are compiled from the tokenizer file (`token_counts`).
     """
@@ -101,40 +101,47 @@ def tokenize(ranged: DataFrame, tokenizer: str, end_id: int, text: str, key: str
                     if special >= 0:
                         parts[r].append(np.array([special], dtype).tobytes())
             ids = pa.array([b"".join(p) + tail for p in parts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["doc_id", "range_no", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids, batch.column(3)], ["doc_id", "range_no", "ids", "place"])
 
-    source = ranged.select(F.col(key).cast("long").alias("doc_id"), "range_no", F.col(text).cast("string").alias("t"))
-    return map_batches(source, run, "doc_id long, range_no int, ids binary", keeps="tokens")
+    place = F.col(order or key).cast("double" if order else "long").alias("place")
+    source = ranged.select(F.col(key).cast("long").alias("doc_id"), "range_no", F.col(text).cast("string").alias("t"), place)
+    return map_batches(source, run, f"doc_id long, range_no int, ids binary, place {source.schema['place'].dataType.simpleString()}", keeps="tokens")
 
 
 def block_of(shard: int, number: int, first: int, docs: list, width: int) -> dict:
-    ids = [d for d, _ in docs if d is not None]
+    """A block of documents in their order. Its document ids are kept sorted, with the place of each where they are not."""
+    known = [k for k, (d, _) in enumerate(docs) if d is not None]
+    known.sort(key=lambda k: docs[k][0])
+    ids = [docs[k][0] for k in known]
     ends = np.cumsum([len(b) // width for _, b in docs])
     lowest = ids[0] if ids else 0
+    nulls_first = [k for k, (d, _) in enumerate(docs) if d is None] + known
+    places = b"" if nulls_first == list(range(len(docs))) else np.array(nulls_first, "<u4").tobytes()
     return {
         "shard": shard, "block": number, "first": first, "n_docs": len(docs), "n_null": len(docs) - len(ids),
-        "n_ids": int(ends[-1]), "width": width, "lowest": lowest,
+        "n_ids": int(ends[-1]), "width": width, "lowest": lowest, "places": places,
         "doc_ids": EliasFano.of([d - lowest for d in ids]).dump(), "ends": EliasFano.of(ends).dump(), "ids": b"".join(b for _, b in docs),
     }
 
 
 def write(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, text: str = "text", key: str = "doc_id", width: int = 2, block_ids: int = BLOCK_IDS
+    docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, text: str = "text", key: str = "doc_id", width: int = 2, block_ids: int = BLOCK_IDS, order: str | None = None
 ) -> None:
     """Write the ids of all documents under `path`, in ascending order of `key`, one shard per key range.
 
-    Null keys come first, equal keys follow each other in the order of their ids' bytes. `width` is bytes an id: 2 needs
+    With `order`, a number column, documents lie in ascending order of that instead, and of `key` where it is equal.
+    Nulls come first, equal rows follow each other in the order of their ids' bytes. `width` is bytes an id: 2 needs
     a vocabulary of at most 65,536. The texts become ids before they are shuffled, which moves fewer bytes.
     """
-    ranged, n = in_ranges(docs.select(key, text), key)
-    coded = tokenize(ranged, tokenizer, end_id, text, key, width)
+    ranged, n = in_ranges(docs.select(*dict.fromkeys([key, text, order or key])), order or key)
+    coded = tokenize(ranged, tokenizer, end_id, text, key, width, order)
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     schema = pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in BLOCK_SCHEMA.split(", "))])
 
     def run(batches):
         shard, number, first, held, size = 0, 0, 0, [], 0
         for batch in batches:
-            for doc, at, ids in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, at, ids in zip(*(c.to_pylist() for c in batch.columns[:3])):
                 shard = at
                 held.append((doc, ids))
                 size += len(ids) // width
@@ -144,7 +151,7 @@ def write(
         if held:
             yield pa.RecordBatch.from_pylist([block_of(shard, number, first, held, width)], schema)
 
-    ordered = coded.repartitionById(n, F.col("range_no")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    ordered = coded.repartitionById(n, F.col("range_no")).sortWithinPartitions(F.col("place").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), "ids")
     map_batches(ordered, run, BLOCK_SCHEMA).write.parquet(path)
 
 
@@ -167,6 +174,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 starts = np.concatenate([[0], ends[:-1]])
                 ids = np.frombuffer(b["ids"], f"<u{b['width']}").astype("<u4")
                 docs = [None] * b["n_null"] + [int(d) + b["lowest"] for d in EliasFano.load(b["doc_ids"]).values()]
+                if b["places"]:
+                    docs = [docs[k] for k in np.argsort(np.frombuffer(b["places"], "<u4"))]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": pa.array(docs, pa.int64()),
@@ -176,5 +185,5 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    cols = ["first", "n_null", "width", "lowest", "doc_ids", "ends", "ids", "base"]
+    cols = ["first", "n_null", "width", "lowest", "places", "doc_ids", "ends", "ids", "base"]
     return map_batches(placed.select(*cols), run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -292,12 +292,13 @@ def test_elias_fano_round_trip_and_select(values):
         coded.select(len(values))
 
 
-def plain_ids(rows):
+def plain_ids(rows, in_order=False):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(TOKENIZER)
     start, out = 0, []
-    for i, ids in sorted(((i, [*t.encode(x or "", add_special_tokens=False).ids, 1]) for i, x in rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+    coded = [(i, [*t.encode(x or "", add_special_tokens=False).ids, 1]) for i, x in rows]
+    for i, ids in coded if in_order else sorted(coded, key=lambda r: (r[0] is not None, r[0] or 0)):
         out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     return out
@@ -585,8 +586,48 @@ def test_pipeline_stages_equal_plain_ones(spark, docs):
         n, hit, _ = plain_hits(docs[i], items)
         assert (i in after) == (hit <= decontamination.MAX_COVERAGE * n)
         assert hit or after[i]["text"] == docs[i]
-    ids = steps["token files"](spark, clean, FOLDER).collect()
-    assert sorted(tuple(r) for r in ids) == plain_ids([(i, r["text"]) for i, r in after.items()])
+    ids = sorted((tuple(r) for r in steps["token files"](spark, clean, FOLDER).collect()), key=lambda r: r[1])
+    order = [r["doc_id"] for r in curriculum.schedule(clean).orderBy("moment", "doc_id").collect()]
+    assert [r[0] for r in ids] == order != sorted(order)
+    assert ids == plain_ids([(i, after[i]["text"]) for i in order], in_order=True)
+
+
+def test_schedules_follow_the_curves(spark):
+    rows = [(i % 40, f"{'word ' * (i % 40 % 7 + 1)}{i % 40}", f"s{i % 40 % 2}") for i in range(120)]
+    early, late = ((0.0, 2.0), (1.0, 0.0)), ((0.0, 0.0), (1.0, 2.0))
+    for curves, first in (((early, late), "s0"), ((late, early), "s1")):
+        got = curriculum.schedule(frame(spark, rows), curves=curves).orderBy("moment").collect()
+        assert len(got) == 120 and all(0 <= r["moment"] <= 1 for r in got)
+        half = [r for r in got if r["moment"] < 0.5]
+        # the early source has asked for three quarters of its tokens by the middle, the late one for one quarter
+        assert sum(r["source"] == first for r in half) > 2 * sum(r["source"] != first for r in half)
+        # copies lie in passes: the first of every document before the second of any, within a source
+        for s in ("s0", "s1"):
+            ids = [r["doc_id"] for r in got if r["source"] == s]
+            assert sorted(ids[:20]) == sorted(set(ids)) == sorted(ids[20:40])
+    awkward = curriculum.schedule(frame(spark, AWKWARD))
+    assert awkward.count() == len(AWKWARD) and awkward.where("moment IS NULL").isEmpty()
+    assert curriculum.schedule(frame(spark, AWKWARD).limit(0)).count() == 0
+
+
+def test_token_files_in_another_order(spark, tmp_path):
+    rows = [(k, float(p), "ab " * int(p)) for k, p in [(5, 1), (3, 2), (9, 0), (None, 1.5), (5, 4), (4, 3), (8, 3)]] + [(7, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, at double, text string").repartition(3)
+    token_files.write(docs, str(tmp_path / "a"), TOKENIZER, block_ids=5, order="at")
+    got = sorted((tuple(r) for r in token_files.read(spark, str(tmp_path / "a")).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [7, 9, 5, None, 3, 4, 8, 5]
+    assert got == plain_ids([(i, t) for i, _, t in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0] or 0))], in_order=True)
+
+
+CLASHES = ["uid", "row", "weight", "turn", "drawn", "_h", "moments", "copies", "target", "size", "at", "place", "key"]
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    docs = frame(spark, AWKWARD).select("doc_id", "text", "source", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHES], F.create_map(F.lit("a"), "doc_id").alias("m"))
+    plain = {r["doc_id"]: r for r in docs.collect()}
+    for got in (curriculum.mix(docs), curriculum.schedule(docs).drop("moment")):
+        assert got.columns == docs.columns
+        assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in got.collect() for c in CLASHES) and plain
 
 
 @needs_tables
