@@ -34,9 +34,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all rows; doc_id, start, n_tokens and ids_crc32 as read back from them."""
+    """Token files of all rows in the order of training; doc_id, start, n_tokens and ids_crc32 as read back from them.
+
+    A row's place follows from its source's curve (`curriculum.schedule`): ids of rows asked for earlier come first.
+    """
     path = new_folder(spark, "tokens")
-    token_files.write(docs, path, TOKENIZER)
+    token_files.write(curriculum.schedule(docs), path, TOKENIZER, order="moment")
     return token_files.read(spark, path)
 
 
