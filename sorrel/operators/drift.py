@@ -146,8 +146,46 @@ def psi_of_counts(counts: DataFrame, n_bins: int = BINS) -> DataFrame:
     return psi_and_moments(bin_sums(counts, profile(counts), n_bins)).select("feature", "psi")
 
 
+def spans_of(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, lo, hi, ref_n, cur_n) by one wide aggregate a side: a task sends on one row, and one row per column is kept."""
+
+    def wide(df: DataFrame) -> list:
+        values = [F.when(C.present(c), F.col(c).cast("double") + F.lit(0.0)) for c in cols]
+        return list(df.agg(*[F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n")).alias(f"f{i}") for i, v in enumerate(values)]).first())
+
+    rows = []
+    for c, a, b in zip(cols, wide(ref), wide(cur)):
+        ends = [x for s in (a, b) for x in (s.lo, s.hi) if x is not None]
+        rows += [(c, min(ends), max(ends), a.n, b.n)] if ends else []
+    return ref.sparkSession.createDataFrame(rows, "feature string, lo double, hi double, ref_n long, cur_n long")
+
+
+def wide_bins(ref: DataFrame, cur: DataFrame, spans: DataFrame, n_bins: int = BINS) -> DataFrame:
+    """(feature, bin, n_ref, n_cur) for every bin of every feature in `spans`.
+
+    A row turns into its bins where it is read, and these are counted before anything is sent: a task sends on at most
+    one count per feature and bin. No value is shuffled.
+    """
+    ranges = spans.collect()
+
+    def long(df: DataFrame, n_ref: int, n_cur: int) -> DataFrame:
+        at = [F.when(C.present(r.feature), bin_of(F.col(r.feature).cast("double") + F.lit(0.0), F.lit(r.lo), F.lit(r.hi), n_bins)) for r in ranges]
+        pairs = df.select(F.posexplode(F.array(*at) if at else F.array().cast("array<int>")).alias("position", "bin")).where("bin IS NOT NULL")
+        return pairs.select("position", "bin", F.lit(n_ref).cast("bigint").alias("n_ref"), F.lit(n_cur).cast("bigint").alias("n_cur"))
+
+    counts = long(ref, 1, 0).unionByName(long(cur, 0, 1)).groupBy("position", "bin").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    every = ref.sparkSession.createDataFrame([(i, r.feature) for i, r in enumerate(ranges)], "position int, feature string")
+    every = every.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))))
+    return every.join(counts, ["position", "bin"], "left").na.fill(0, ["n_ref", "n_cur"]).drop("position")
+
+
 def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], n_bins: int = BINS) -> DataFrame:
-    return psi_of_counts(value_counts(ref, cur, cols), n_bins)
+    """Population stability index per feature; a constant feature has 0, a feature without values is left out."""
+    spans = spans_of(ref, cur, cols)
+    total = psi_sum(share(F.col("n_ref"), F.col("ref_n")), share(F.col("n_cur"), F.col("cur_n")))
+    # one row per feature
+    got = wide_bins(ref, cur, spans, n_bins).join(F.broadcast(spans), "feature").groupBy("feature", "lo", "hi").agg(total.alias("psi"))
+    return got.select("feature", F.when(F.col("lo") == F.col("hi"), 0.0).otherwise(F.round(F.abs("psi"), 6)).alias("psi"))
 
 
 def ks_of_counts(counts: DataFrame) -> DataFrame:
@@ -182,8 +220,9 @@ def chi2_of_counts(counts: DataFrame, group: str = "feature") -> DataFrame:
     totals = counts.groupBy(group).agg(F.sum("n_ref").alias("ref_n"), F.sum("n_cur").alias("cur_n"))
     expected = F.col("n_ref") * F.col("cur_n") / F.col("ref_n")
     seen = F.col("n_ref") > 0
+    # one row per group beside all their categories
     got = (
-        counts.join(totals, group)
+        counts.join(F.broadcast(totals) if group == "feature" else totals, group)
         .groupBy(group)
         .agg(
             F.sum(F.when(seen, F.try_divide((F.col("n_cur") - expected) * (F.col("n_cur") - expected), expected))).alias("chi2"),

@@ -8,9 +8,9 @@ at which that partition starts, and the running sum is local to it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from sorrel.functions import columns as C
@@ -206,33 +206,74 @@ def rolling_percentile(
     size: int = 1000,
     p: float = 0.99,
     at_least: int = 10,
-    block: int = 8192,
     by: Sequence[str] = (),
+    span: int = 256,
 ) -> DataFrame:
     """Mean and percentile of the last `size` rows at every row, percentile 0 below `at_least` rows.
 
-    Rows are numbered by distributed running counts and cut into blocks; the rows a block needs from
-    the one before it are copied to it, so blocks are independent and the result is exact. A sliding
-    percentile as a SQL window sorts every frame anew, so each block is passed to pandas' rolling
-    quantile, which updates one sorted window.
+    Rows are numbered by distributed running counts and packed into runs of about sqrt(size). A percentile of `size` rows
+    lies among their K extreme values, and lists of K extremes join: the runs that lie wholly in a row's window are
+    joined once per run, and a row adds the parts of the two runs at the window's old end and of its own run. `span` runs
+    are a task's unit; the runs that a unit needs from the one before it are copied to it. Missing values count as rows
+    and not as values; without values the mean and the percentile are NULL.
     """
+    run = max(2, round(size**0.5))
+    back = -(-size // run)
+    high = p >= 0.5
+    # places from the near end of the sorted window to the percentile, at most
+    extremes = size - math.floor(p * (size - 1)) if high else math.ceil(p * (size - 1)) + 1
+    span = max(span, 2 * back + 2)
     one = df.withColumn("one", F.lit(1).cast("bigint"))
-    numbered = running_sums(one, by, order, ["one"]).withColumn("rn", F.col("one_before"))
-    block = max(block, size)
-    own = F.floor(F.col("rn") / block)
-    carries = F.pmod(F.col("rn"), F.lit(block)) > block - size
-    copies = F.when(carries, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = numbered.select(*df.columns, "rn", F.explode(copies).alias("block"))
-    schema = T.StructType(list(spread.schema.fields))
-    schema = schema.add("n_window", T.LongType()).add("mean_latency", T.DoubleType()).add("p_latency", T.DoubleType())
-
-    def slide(rows):
-        rows = rows.sort_values("rn", ignore_index=True)
-        window = rows[value].astype("float64").rolling(size, min_periods=1)
-        rows["n_window"] = np.minimum(np.arange(1, len(rows) + 1), size)
-        rows["mean_latency"] = window.mean()
-        rows["p_latency"] = window.quantile(p, interpolation="linear").where(rows["n_window"] >= at_least, 0.0)
-        return rows[rows["rn"] // block == rows["block"]]
-
-    out = spread.groupBy(*by, "block").applyInPandas(slide, schema)
-    return out.select(*df.columns, "n_window", "mean_latency", "p_latency")
+    numbered = running_sums(one, by, order, ["one"])
+    v = F.col(value).cast("double")
+    packed = numbered.select(
+        *by,
+        F.floor(F.col("one_before") / run).alias("run"),
+        F.struct(F.col("one_before").alias("rn"), F.when(C.present(value), v).alias("v"), F.struct(*df.columns).alias("row")).alias("item"),
+    )
+    packed = packed.groupBy(*by, "run").agg(F.collect_list("item").alias("items"))
+
+    def values(items: Column) -> Column:
+        return F.transform(F.filter(items, lambda x: x["v"].isNotNull()), lambda x: x["v"])
+
+    def ends(xs: Column) -> Column:
+        return F.slice(F.sort_array(xs, asc=not high), 1, extremes)
+
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+
+    own = F.floor(F.col("run") / span)
+    needed_next = F.pmod(F.col("run"), F.lit(span)) >= span - back
+    units = packed.withColumn("unit", F.explode(F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own))))
+    units = units.withColumns({"known": values(F.col("items")), "points": F.transform("items", lambda x: F.struct(x["rn"].alias("rn"), x["v"].alias("v")))})
+    units = units.withColumns({"ends": ends(F.col("known")), "sum": total(F.col("known")), "count": F.size("known")})
+    in_order = W.partitionBy(*by, "unit").orderBy("run")
+    # runs wholly inside the window of every row of this run
+    whole = in_order.rangeBetween(-(back - 2), -1) if back > 2 else None
+    none = F.array().cast("array<struct<rn:bigint,v:double>>")
+    wide = units.withColumns(
+        {
+            "mid": ends(F.flatten(F.collect_list("ends").over(whole))) if whole is not None else F.array().cast("array<double>"),
+            "mid_sum": F.coalesce(F.sum("sum").over(whole), F.lit(0.0)) if whole is not None else F.lit(0.0),
+            "mid_count": F.coalesce(F.sum("count").over(whole), F.lit(0)) if whole is not None else F.lit(0),
+            "old": F.concat(*[F.coalesce(F.lag("points", k).over(in_order), none) for k in sorted({back, max(back - 1, 1)}, reverse=True)]),
+        }
+    ).where(F.col("unit") == own)
+    rows = wide.select("points", "mid", "mid_sum", "mid_count", "old", F.explode("items").alias("item"))
+    rn = F.col("item.rn")
+    here = F.concat(F.filter("points", lambda x: (x["rn"] <= rn) & (x["rn"] > rn - size)), F.filter("old", lambda x: x["rn"] > rn - size))
+    rows = rows.withColumn("near", values(here)).withColumns({"n": F.size("near") + F.col("mid_count"), "far": F.concat("near", "mid")})
+    rows = rows.withColumn("far", F.sort_array("far", asc=not high))
+    at = F.lit(float(p)) * (F.col("n") - 1)
+
+    def place(k: Column) -> Column:
+        return F.get("far", (F.col("n") - 1 - k if high else k).cast("int"))
+
+    low, up = place(F.floor(at)), place(F.ceil(at))
+    n_window = F.least(rn + 1, F.lit(size)).cast("bigint")
+    return rows.select(
+        *[F.col("item.row")[c].alias(c) for c in df.columns],
+        n_window.alias("n_window"),
+        F.try_divide(total(F.col("near")) + F.col("mid_sum"), F.col("n").cast("double")).alias("mean_latency"),
+        F.when(n_window < at_least, 0.0).otherwise(low + (up - low) * (at - F.floor(at))).alias("p_latency"),
+    )

@@ -167,3 +167,18 @@ def test_request_metrics(spark):
     assert got["few"].p99_latency == 0.0
     assert got[None].p99_latency == pytest.approx(58.41)
     assert got[None].per_minute == pytest.approx(60 / 59)
+
+
+def test_psi_shuffles_counts_and_equals_the_psi_of_values(spark):
+    ref = spark.range(500).selectExpr("double(id % 37) a", "int(id % 3) b", "double('nan') c", "CAST(NULL AS double) d", "5 e", "if(id % 4 = 0, NULL, -0.0D + id) f")
+    cur = spark.range(300).selectExpr("double(id % 50) a", "int(id % 2) b", "double(id) c", "CAST(NULL AS double) d", "5 e", "double(id * 3) f")
+    cols = ["a", "b", "e", "f"]
+    got = {r.feature: r.psi for r in dr.psi(ref, cur, [*cols, "d"]).collect()}
+    want = {r.feature: r.psi for r in dr.psi_of_counts(dr.value_counts(ref, cur, cols)).collect()}
+    assert got == want and got["e"] == 0.0 and got["f"] > 0
+    # a side without values has empty bins only
+    assert dr.psi(ref, cur, ["c"]).first().psi > 0
+    spans = dr.spans_of(ref, cur, cols)
+    counts = dr.wide_bins(ref, cur, spans)
+    assert counts.count() == 4 * dr.BINS
+    assert dr.psi(ref.limit(0), cur.limit(0), cols).count() == 0

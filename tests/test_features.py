@@ -118,7 +118,7 @@ def test_rolling_window_over_blocks(spark):
     np = pytest.importorskip("numpy")
     v = np.random.default_rng(2).exponential(100, 700).round(2)
     df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(v)], "i int, v double").repartition(5)
-    got = sorted(od.rolling_percentile(df, ["i"], "v", size=50, block=64).collect(), key=lambda r: r.i)
+    got = sorted(od.rolling_percentile(df, ["i"], "v", size=50, span=16).collect(), key=lambda r: r.i)
     for i in (0, 8, 9, 49, 50, 63, 64, 127, 128, 500, 699):
         w = v[max(0, i - 49) : i + 1]
         assert got[i].n_window == len(w)
@@ -127,6 +127,23 @@ def test_rolling_window_over_blocks(spark):
     assert len(got) == 700
 
 
+@pytest.mark.parametrize("size,p,span", [(1, 0.99, 4), (2, 0.5, 4), (3, 0.01, 4), (7, 0.5, 6), (49, 0.9, 256), (50, 0.25, 9), (64, 1.0, 16), (200, 0.0, 31)])
+def test_rolling_window_of_any_size(spark, size, p, span):
+    np = pytest.importorskip("numpy")
+    rng = np.random.default_rng(size)
+    data = [(g, i, None if rng.random() < 0.1 else float("nan") if rng.random() < 0.1 else float(rng.integers(0, 30))) for g in (None, 1) for i in range(260)]
+    df = spark.createDataFrame(data, "g int, i int, v double").repartition(4)
+    got = {(r.g, r.i): r for r in od.rolling_percentile(df, ["i"], "v", size, p, 1, by=["g"], span=span).collect()}
+    assert len(got) == len(data)
+    for g in (None, 1):
+        v = [np.nan if x is None else x for h, _, x in data if h == g]
+        for i in range(260):
+            w = [x for x in v[max(0, i - size + 1) : i + 1] if x == x]
+            r = got[g, i]
+            assert r.n_window == min(i + 1, size) and (r.p_latency is None) == (not w) == (r.mean_latency is None)
+            assert not w or (r.mean_latency == pytest.approx(np.mean(w)) and r.p_latency == pytest.approx(np.percentile(w, 100 * p)))
+
+
 def test_splits_are_stable_and_balanced(spark):
     df = spark.range(4000).select("id", (F.col("id") % 5 == 0).cast("int").alias("y"))
     a = sp.stratified_split(df, "y", ["id"])
