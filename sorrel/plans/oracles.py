@@ -403,6 +403,26 @@ grid AS (
 
 RANGE_DAYS = "ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'"
 
+GATE_SQL = f"""WITH {SCORED}, {CONFUSION}, a AS ({auc("scored")}),
+      folds AS (WITH {models(RUN_ROWS.split("), ")[0] + ")", FOLDS)}, {CV_HITS} SELECT round(stddev_pop(accuracy), 4) AS cv_std FROM hits),
+      s AS (SELECT split, avg(CAST((score >= 0.5) = (liked = 1) AS DOUBLE)) AS acc FROM scored_all GROUP BY split),
+      v AS (SELECT 'accuracy' AS metric, '>=' AS comparison, 0.6 AS "limit", round((tp + tn) / (tp + tn + fp + fn), 4) AS value FROM cm
+        UNION ALL SELECT 'f1_score', '>=', 0.5, round(2 * tp / (2 * tp + fp + fn), 4) FROM cm
+        UNION ALL SELECT 'roc_auc', '>=', 0.52, round(roc_auc, 4) FROM a
+        UNION ALL SELECT 'cv_std', '<=', 0.05, cv_std FROM folds
+        UNION ALL SELECT 'separation', '>=', 0.005, round(avg(score) FILTER (label = 1) - avg(score) FILTER (label = 0), 6) FROM scored
+        UNION ALL SELECT 'train_test_gap', '<=', 0.2, round(abs(max(acc) - min(acc)), 6) FROM s)
+      SELECT metric, comparison, CAST("limit" AS DOUBLE) AS "limit", value, CASE WHEN comparison = '>=' THEN value >= "limit" ELSE value <= "limit" END AS passed FROM v"""
+
+TRAINING_RUN = f"""WITH g AS ({GATE_SQL}), {PARTS}
+  SELECT 'rule' AS kind, metric AS name, CASE WHEN passed THEN 'passed' ELSE 'failed' END AS status, value FROM g
+  UNION ALL SELECT 'run', 'run', CASE WHEN bool_and(passed) THEN 'promoted' ELSE 'rejected' END, CAST(count(*) FILTER (passed) AS DOUBLE) FROM g
+  UNION ALL SELECT 'stage', name, 'done', CAST(n AS DOUBLE) FROM (
+    SELECT 'prepare' AS name, count(*) AS n FROM parts UNION ALL SELECT 'score', count(*) FROM parts
+    UNION ALL SELECT 'fit', 2 + {len(R.CONTINUOUS) + len(R.TAGS)} UNION ALL SELECT 'cross_validate', count(DISTINCT fold) FROM parts WHERE split = 'train'
+    UNION ALL SELECT 'evaluate', count(*) + len(['precision', 'recall', 'cv_mean']) FROM g UNION ALL SELECT 'judge', count(*) FROM g)"""
+
+
 ORACLES: dict[str, str] = {
     "one_hot_tags": f"WITH {ITEMS} SELECT item_id, {TAG_LIST} FROM things",
     "explode_tokens": f"WITH {ITEMS} SELECT item_id, unnest(string_split(genres, '|')) AS token FROM things",
@@ -451,6 +471,11 @@ ORACLES: dict[str, str] = {
     "first_bad_lines": f"""WITH {INTER} SELECT concat_ws('::', user_id, item_id, 6, CAST(epoch(ts) AS BIGINT)) AS line
       FROM (SELECT * FROM inter WHERE rating = 5 ORDER BY order_id, line_no, item_id LIMIT 5)""",
     "read_delimited": f"""WITH {USERS} SELECT CAST(user_id AS INT) AS "UserID", gender AS "Gender", age AS "Age", CAST(occupation AS INT) AS "Occupation", '00000' AS "Zip" FROM people""",
+    "rejected_lines": f"""WITH {INTER}, l AS (SELECT rating, concat_ws('::', user_id, item_id, CASE WHEN rating = 5 THEN 'five' ELSE CAST(rating AS VARCHAR) END,
+        CASE WHEN rating > 1 THEN CAST(epoch(ts) AS BIGINT) END) AS line FROM inter)
+      SELECT CASE WHEN rating IN (1, 5) THEN 'rejected' ELSE 'row' END AS side, line,
+             CASE rating WHEN 1 THEN '3 fields instead of 4' WHEN 5 THEN 'Rating does not parse' END AS reason FROM l
+      UNION ALL SELECT 'rejected', '', 'blank' FROM l WHERE rating = 2""",
     "load_items": f"""WITH {ITEMS} SELECT CAST(item_id AS INT) AS "MovieID", title AS "Title", genres AS "Genres", year AS "Year", {TAG_LIST} FROM things""",
     "load_users": f"""WITH {USERS} SELECT CAST(user_id AS INT) AS "UserID", gender AS "Gender", age AS "Age", CAST(occupation AS INT) AS "Occupation", gender_enc AS "Gender_enc" FROM people""",
     "load_interactions": f"""WITH {INTER} SELECT CAST(user_id AS INT) AS "UserID", CAST(item_id AS INT) AS "MovieID", rating AS "Rating",
@@ -557,16 +582,8 @@ ORACLES: dict[str, str] = {
     "score_by_class": f"""WITH {SCORED}, c AS (SELECT label, min(score) AS a, avg(score) AS m, max(score) AS z FROM scored GROUP BY label)
       SELECT label, round(a, 6) AS min, round(m, 6) AS mean, round(z, 6) AS max,
              (SELECT round(max(m) FILTER (label = 1) - max(m) FILTER (label = 0), 6) FROM c) AS separation FROM c""",
-    "gate": f"""WITH {SCORED}, {CONFUSION}, a AS ({auc("scored")}),
-      folds AS (WITH {models(RUN_ROWS.split("), ")[0] + ")", FOLDS)}, {CV_HITS} SELECT round(stddev_pop(accuracy), 4) AS cv_std FROM hits),
-      s AS (SELECT split, avg(CAST((score >= 0.5) = (liked = 1) AS DOUBLE)) AS acc FROM scored_all GROUP BY split),
-      v AS (SELECT 'accuracy' AS metric, '>=' AS comparison, 0.6 AS "limit", round((tp + tn) / (tp + tn + fp + fn), 4) AS value FROM cm
-        UNION ALL SELECT 'f1_score', '>=', 0.5, round(2 * tp / (2 * tp + fp + fn), 4) FROM cm
-        UNION ALL SELECT 'roc_auc', '>=', 0.52, round(roc_auc, 4) FROM a
-        UNION ALL SELECT 'cv_std', '<=', 0.05, cv_std FROM folds
-        UNION ALL SELECT 'separation', '>=', 0.005, round(avg(score) FILTER (label = 1) - avg(score) FILTER (label = 0), 6) FROM scored
-        UNION ALL SELECT 'train_test_gap', '<=', 0.2, round(abs(max(acc) - min(acc)), 6) FROM s)
-      SELECT metric, comparison, CAST("limit" AS DOUBLE) AS "limit", value, CASE WHEN comparison = '>=' THEN value >= "limit" ELSE value <= "limit" END AS passed FROM v""",
+    "gate": GATE_SQL,
+    "training_run": TRAINING_RUN,
     "cv": f"""WITH {models(RUN_ROWS.split("), ")[0] + ")", FOLDS)}, {CV_HITS} SELECT CAST(fold AS INT) AS fold, round(accuracy, 6) AS accuracy FROM hits""",
     "grid": f"WITH {GRID} SELECT * FROM grid",
     "best_run": f"WITH {GRID} SELECT run, accuracy FROM grid WHERE accuracy > 0 ORDER BY accuracy DESC, run_order LIMIT 1",

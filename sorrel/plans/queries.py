@@ -262,6 +262,21 @@ def read_delimited(spark, d):
     return D.read_delimited(spark, raw_files(spark, d)["users"], D.USERS)
 
 
+@query
+def rejected_lines(spark, d):
+    """Ratings as lines of which some do not parse: a word for the rating 5, no time for the rating 1, a blank line for each 2."""
+    from sorrel.sources import delimited as D
+
+    path = new_folder(spark, "odd-lines")
+    epoch = F.when(F.col("rating") > 1, F.unix_seconds(F.col("ts").cast("timestamp")))
+    rating = F.when(F.col("rating") == 5, F.lit("five")).otherwise(F.col("rating").cast("string"))
+    line = F.concat_ws("::", "user_id", "item_id", rating, epoch)
+    R.interactions(spark, d).select(F.concat(line, F.when(F.col("rating") == 2, "\n").otherwise("")).alias("value")).write.text(path)
+    rows, bad = D.read_checked(spark, path, D.RATINGS)
+    good = rows.select(F.lit("row").alias("side"), F.concat_ws("::", *rows.columns).alias("line"), F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(bad.select(F.lit("rejected").alias("side"), "line", "reason"))
+
+
 @query
 def load_items(spark, d):
     from sorrel.sources import delimited as D
@@ -638,6 +653,18 @@ def gate(spark, d):
     return R.rounded(me.promotion_gate(found, required=True))
 
 
+@query
+def training_run(spark, d):
+    """A whole run in stages with its manifest: a row per stage, per rule of the gate, and for the run."""
+    from sorrel.plans import runs, training
+
+    split = lambda df: sp.stratified_split(df, "liked", R.ROW_KEY, 0.2, hashed=portable_hash(R.ROW_KEY, 42))
+    stages = training.training_stages(lambda: R.matrix(spark, d), R.CONTINUOUS, R.TAGS, R.ROW_KEY, "liked", split=split, fold=R.with_folds)
+    path = new_folder(spark, "run")
+    done = runs.run_stages(spark, path, stages, {"tables": d})
+    return R.rounded(training.run_report(spark, path, done))
+
+
 @query
 def cv(spark, d):
     train = stage(R.with_folds(R.split_matrix(spark, d).where("split = 'train'")), "train")

@@ -34,17 +34,14 @@ RATINGS = T.StructType(
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = "::", encoding: str = "ISO-8859-1"
 ) -> DataFrame:
-    """Headerless text with a declared schema; unreadable fields become NULL."""
+    """Headerless text with a declared schema; unreadable fields become NULL (`read_checked` keeps such lines apart)."""
     return spark.read.csv(path, schema=schema, sep=sep, encoding=encoding, header=False, mode="PERMISSIVE")
 
 
 def load_items(
-    df: DataFrame, text_col: str = "Title", tags_col: str = "Genres", vocab: Sequence[str] | None = None, sep: str = "|"
+    df: DataFrame, vocab: Sequence[str], text_col: str = "Title", tags_col: str = "Genres", sep: str = "|"
 ) -> DataFrame:
-    """Items with `Year` and one 0/1 column per tag; without a vocabulary it is looked up first."""
-    if vocab is None:
-        # one short string per tag: metadata that becomes column names
-        vocab = [r.token for r in C.vocabulary(df, tags_col, sep).collect()]
+    """Items with `Year` and one 0/1 column per tag of `vocab`, whose names become columns."""
     return df.select("*", C.extract_year(text_col).alias("Year"), *C.one_hot(tags_col, vocab, sep))
 
 
@@ -82,6 +79,40 @@ def raw_file_stats(spark: SparkSession, paths: str | Sequence[str], n_fields: in
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_checked(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, sep: str = "::", encoding: str = "ISO-8859-1"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected lines): every line of the files is on exactly one side.
+
+    Lines go through the CSV parser with a column for corrupt records: a line is rejected where a field does not parse or
+    the number of fields is another one, and where it is blank. Rows are as `read_delimited` gives them; rejected lines
+    carry their file, 1-based line number and the reason.
+    """
+    lines = read_lines(spark, path, encoding)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.withColumn("fields", F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields), options))
+    blank = F.trim("line") == ""
+    bad = blank | F.col("fields").isNull() | F.col("fields")[CORRUPT].isNotNull()
+    n_fields = F.size(F.split("line", sep))
+    reason = F.when(blank, F.lit("blank")).when(n_fields != len(schema), F.format_string(f"%d fields instead of {len(schema)}", n_fields))
+    for i, f in enumerate(schema.fields):
+        if not isinstance(f.dataType, T.StringType):
+            reason = reason.when(F.get(F.split("line", sep), F.lit(i)).try_cast(f.dataType).isNull(), F.lit(f"{f.name} does not parse"))
+    rejected = number_lines(lines, parsed.where(bad).withColumn("reason", reason.otherwise("not a record")))
+    return parsed.where(~bad).select("fields.*").drop(CORRUPT), rejected.select("file", "line_no", "line", "reason")
+
+
+def read_and_reject(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, rejects: str, sep: str = "::", encoding: str = "ISO-8859-1") -> DataFrame:
+    """The rows of `read_checked`; rejected lines are written as JSON under `rejects`, which is there after each read."""
+    rows, rejected = read_checked(spark, path, schema, sep, encoding)
+    rejected.write.mode("overwrite").json(rejects)
+    return rows
+
+
 # A rule is (message, expression that is true for a bad row); the first that holds is reported.
 Rules = Callable[[Mapping[str, Column]], list[tuple[str, Column]]]
 

@@ -14,7 +14,7 @@ def test_prepared_tables(spark, tmp_path):
     movies = write(tmp_path / "movies.dat", "1::Amélie (2001)::Comedy|Romance\n2::No year::Drama\n")
     users = write(tmp_path / "users.dat", "1::M::25::7::33018\n2::F::18::3::52146\n")
     ratings = write(tmp_path / "ratings.dat", "1::1::4::981204417\n2::1::3::981204417\n")
-    m = D.load_items(D.read_delimited(spark, movies, D.MOVIES))
+    m = D.load_items(D.read_delimited(spark, movies, D.MOVIES), ["Comedy", "Drama", "Romance"])
     assert m.columns == ["MovieID", "Title", "Genres", "Year", "Comedy", "Drama", "Romance"]
     first = m.orderBy("MovieID").first()
     assert (first.Title, first.Year, first.Comedy, first.Drama) == ("Amélie (2001)", 2001.0, 1, 0)
@@ -36,6 +36,25 @@ def test_line_statistics_count_every_line(spark, tmp_path):
     assert (got.n_lines, got.n_bad_fields) == (4, 2)
 
 
+def test_every_line_is_a_row_or_rejected(spark, tmp_path):
+    lines = ["1::1::4::981204417", "x::1::4::9", "1::1::4", "", "2::1::5::9::7", "3::1::five::9", '4::1::2::"9"', "  ", "5::7::::3", "é::1::1::1", "6::1::1::99999999999"]
+    path, rejects = write(tmp_path / "r.dat", "\n".join(lines) + "\n"), str(tmp_path / "rejects")
+    rows = sorted(tuple(r) for r in D.read_and_reject(spark, path, D.RATINGS, rejects).collect())
+    bad = spark.read.json(rejects)
+    assert rows == [(1, 1, 4, 981204417), (4, 1, 2, 9), (5, 7, None, 3), (6, 1, 1, 99999999999)]
+    found = {r.line_no: (r.line, r.reason) for r in bad.collect()}
+    assert found == {
+        2: (lines[1], "UserID does not parse"), 3: (lines[2], "3 fields instead of 4"), 4: ("", "blank"), 5: (lines[4], "5 fields instead of 4"),
+        6: (lines[5], "Rating does not parse"), 8: ("  ", "blank"), 10: ("é::1::1::1", "UserID does not parse"),
+    }
+    assert bad.select("file").distinct().count() == 1 and bad.first().file.endswith("r.dat")
+    # rows are those of the plain scan
+    plain = {tuple(r) for r in D.read_delimited(spark, path, D.RATINGS).collect()}
+    assert set(rows) <= plain
+    empty = D.read_checked(spark, write(tmp_path / "e.dat", ""), D.RATINGS)
+    assert [df.count() for df in empty] == [0, 0]
+
+
 def test_validation_reports_numbers_and_first_lines(spark, tmp_path):
     lines = ["1::1::4::981204417", "0::1::4::981204417", "x::1::4::981204417", "1::1::6::9", "1::1::4", "", "1::1::5::9", "1::1::0::9"]
     path = write(tmp_path / "ratings.dat", "\n".join(lines) + "\n")
