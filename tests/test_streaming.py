@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from sorrel.operators import store as st
 from sorrel.session import new_folder
-from sorrel.sources.tables import online_commits, read_online
+from sorrel.sources.tables import bucket_number, online_commits, online_shape, read_online
 from sorrel.streaming import sinks, steps as ss, windows as sw
 
 LOG = T.StructType().add("id", T.LongType()).add("ts", T.TimestampType()).add("target", T.StringType()).add("status", T.IntegerType()).add("latency_ms", T.DoubleType())
@@ -199,3 +199,34 @@ def test_stream_upsert_goes_on_with_fresh_checkpoints_and_repeats(spark, tmp_pat
     assert run("c", [(4, 1.0, START, START)] * 2, checkpoint) == {**want, 4: 1.0}
     versions = [c.version for c in online_commits(spark, table)]
     assert len(versions) == len(set(versions)) and len([c for c in online_commits(spark, table) if c.writer.endswith("/0")]) <= 3
+
+
+def test_buckets_split_as_the_table_grows(spark, tmp_path, rows):
+    """From 4 buckets to 64 between streams, each with its own checkpoint; every key stays readable all the time."""
+    schema = T.StructType().add("user_id", T.LongType()).add("x", T.DoubleType()).add("event_timestamp", T.TimestampType())
+    view = st.FeatureView("v", "user_id", (("x", T.DoubleType()),), timedelta(days=7))
+    table, want, seen = new_folder(spark, "grow"), {}, []
+    for k, n in enumerate((40, 300, 10, 700, 1200, 5, 5, 5)):
+        new = {(i * 13 + k) % 2000: float(k * 10_000 + i) for i in range(n)}
+        want |= new
+        spark.createDataFrame([(i, x, START + timedelta(hours=k)) for i, x in new.items()], schema).coalesce(1).write.parquet(f"{tmp_path}/in{k}/p0")
+        source, checkpoint = sinks.read_stream(spark, f"{tmp_path}/in{k}/p*", schema), new_folder(spark, "ck")
+        sinks.stream_materialize(source, view, table, checkpoint, buckets=4, rows_per_bucket=20).awaitTermination()
+        assert dict(rows(read_online(spark, table, schema), "user_id", "x")) == want
+        n_buckets, n_rows = online_shape(online_commits(spark, table))
+        assert n_rows == len(want)
+        seen.append(n_buckets)
+        if k == 4:
+            # the same batch again, after its commit was lost, splits nothing twice
+            os.unlink(f"{checkpoint.removeprefix('file:')}/commits/0")
+            os.unlink(f"{checkpoint.removeprefix('file:')}/commits/.0.crc")
+            sinks.stream_materialize(source, view, table, checkpoint, buckets=4, rows_per_bucket=20).awaitTermination()
+            assert dict(rows(read_online(spark, table, schema), "user_id", "x")) == want and online_shape(online_commits(spark, table))[0] == n_buckets
+    assert seen == sorted(seen) and seen[0] == 4 and seen[-1] >= 64
+
+
+def test_linear_buckets_only_move_to_new_ones():
+    for n in range(1, 70):
+        for h in range(300):
+            a, b = bucket_number(h, n), bucket_number(h, n + 1)
+            assert a == b or (b == n and a == bucket_number(n, n))
