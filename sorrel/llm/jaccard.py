@@ -22,7 +22,9 @@ from sorrel.llm.arrays import SPACED, U, map_batches, shingles, slices, text_byt
 from sorrel.llm.graph import components
 from sorrel.llm.rows import written
 
-CELLS_BITS, BLOCKS, BITMAP_BITS, FRAGMENT = 23, 64, 512, 1024
+CELLS_BITS, BLOCKS, FRAGMENT = 23, 64, 1024
+#: A set's bitmap has a place per n-gram at least, between these: a narrow one is full and tells large sets apart no more.
+NARROW, WIDE = 512, 4096
 TOP, HELD = (1 << 16) - 1, 1 << 20
 #: Nodes, and n-grams of all their sets, that one block of a group may hold; a pair of blocks meets in one task.
 BLOCK_NODES, BLOCK_GRAMS = 1024, 2_000_000
@@ -96,6 +98,23 @@ def set_hash(grams: np.ndarray) -> list[int]:
     return np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), np.int64).tolist()
 
 
+def bitmap(grams: np.ndarray) -> bytes:
+    """Parity of the n-grams in each place. Half as wide a one is the exclusive or of its halves."""
+    width = NARROW
+    while width < min(len(grams), WIDE):
+        width *= 2
+    odd = np.bincount((grams & U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(bits: bytes, width: int) -> bytes:
+    """The bitmap at half its width, if it is not that narrow already."""
+    if 8 * len(bits) == width:
+        return bits
+    both = np.frombuffer(bits, np.uint64)
+    return (both[: len(both) // 2] ^ both[len(both) // 2 :]).tobytes()
+
+
 def rank(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return counts[(grams >> U(64 - CELLS_BITS)).astype(np.int64)]
 
@@ -114,13 +133,12 @@ def described(docs: DataFrame, text: str, size: int, percent: int, counts: np.nd
             rows = []
             for grams in _sets(batch, len(keep), size):
                 n = len(grams)
-                odd = np.bincount((grams & U(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS) & 1
                 length = n - int(least_overlap(n, percent)) + 1 if n else 0
                 near, ranks = np.arange(n), rank(grams, table)
                 if length < n:
                     near = np.flatnonzero(ranks <= np.partition(ranks, length - 1)[length - 1])
                 near = near[np.lexsort((grams[near], ranks[near]))[:length]]
-                rows.append((n, *set_hash(grams), np.packbits(odd.astype(np.uint8)).tobytes(), grams[near].view(np.int64)))
+                rows.append((n, *set_hash(grams), bitmap(grams), grams[near].view(np.int64)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
             cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *cols], [*batch.schema.names[: len(keep)], "n", "h1", "h2", "bits", "first"])
@@ -176,22 +194,28 @@ def may_link(meeting: DataFrame, percent: int) -> DataFrame:
             seen: dict = {}
             before = np.array([[seen.setdefault(r[2][e] if e < len(r[2]) else (k, e), len(seen)) for e in range(EARLIER)] for k, r in enumerate(rows)])
             block = np.array([r[0] for r in rows])
-            bits = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(m, -1)
             nodes, label = np.array([r[1] for r in rows], np.int64), np.arange(m)
-            step = max(1, (1 << 18) // m)
-            for at in range(0, m, step):
-                part = slice(at, at + step)
-                apart = np.bitwise_count(bits[part, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
-                small, large = np.minimum(n[part, None], n[None, :]), np.maximum(n[part, None], n[None, :])
-                fits = (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large))
-                for e in range(EARLIER * EARLIER):
-                    fits &= before[part, None, e // EARLIER] != before[None, :, e % EARLIER]
-                fits &= np.arange(m)[part, None] != np.arange(m)[None, :]
-                if cell[1] != cell[2]:
-                    fits &= block[part, None] != block[None, :]
-                for k in np.flatnonzero(fits.any(axis=1)):
-                    joined = np.append(label[np.flatnonzero(fits[k])], label[at + k])
-                    label[np.isin(label, joined)] = joined.min()
+            widths = np.array([8 * len(r[4]) for r in rows])
+            # sets that may be linked are of a like size, so their widths are equal or neighbours
+            for width in sorted(set(widths.tolist())):
+                among = np.flatnonzero((widths == width) | (widths == 2 * width))
+                table = np.frombuffer(b"".join(folded(rows[k][4], width) for k in among), np.uint64).reshape(len(among), -1)
+                own = np.flatnonzero(widths[among] == width)
+                step = max(1, (1 << 21) // table.size)
+                for at in range(0, len(own), step):
+                    part = own[at : at + step]
+                    one, two = among[part][:, None], among[None, :]
+                    apart = np.bitwise_count(table[part, None, :] ^ table[None, :, :]).sum(axis=2, dtype=np.int64)
+                    small, large = np.minimum(n[one], n[two]), np.maximum(n[one], n[two])
+                    fits = (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large))
+                    for e in range(EARLIER * EARLIER):
+                        fits &= before[one, e // EARLIER] != before[two, e % EARLIER]
+                    fits &= one != two
+                    if cell[1] != cell[2]:
+                        fits &= block[one] != block[two]
+                    for k in np.flatnonzero(fits.any(axis=1)):
+                        joined = np.append(label[among[np.flatnonzero(fits[k])]], label[one[k, 0]])
+                        label[np.isin(label, joined)] = joined.min()
             # a label is the least place of its component; its node stands for it
             sizes = np.bincount(label, minlength=m)
             made += [(int(nodes[k]), int(nodes[label[k]])) for k in np.flatnonzero(sizes[label] > 1)]
