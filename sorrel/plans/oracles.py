@@ -607,8 +607,12 @@ ORACLES: dict[str, str] = {
       SELECT user_id, {rnd("mean_value")}, n_events, {stamp("known")} AS at FROM s""",
     "materialize_counts": f"""WITH {DAILY} SELECT 'one_day' AS view, count(DISTINCT user_id) AS n FROM daily WHERE known BETWEEN TIMESTAMP '2024-01-19' AND TIMESTAMP '2024-01-20'
       UNION ALL SELECT 'fallback', count(DISTINCT user_id) FROM daily""",
-    "validate_online": """SELECT 'row_count' AS "check", true AS passed, count(*) AS value FROM events
-      UNION ALL SELECT 'columns', false, 1 UNION ALL SELECT 'no_nulls', true, 0""",
+    "validate_online": f"""WITH {DAILY}, {latest_daily("2024-01-19", "2024-01-20", "s")},
+      answer AS (SELECT event_id, user_id, coalesce(mean_value, 0.0) AS mean_value, coalesce(n_events, 0.0) AS n_events FROM events LEFT JOIN s USING (user_id)),
+      absent AS (SELECT count(*) AS n FROM (VALUES ('mean_value'), ('n_events'), ('absent')) e(c) WHERE c NOT IN (SELECT unnest(json_keys(to_json(a))) FROM answer a LIMIT 4))
+      SELECT 'row_count' AS "check", count(*) = (SELECT count(*) FROM events) AS passed, count(*) AS value FROM answer
+      UNION ALL SELECT 'columns', n = 0, n FROM absent
+      UNION ALL SELECT 'no_nulls', coalesce(sum(n), 0) = 0, CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT (mean_value IS NULL)::INT + (n_events IS NULL)::INT AS n FROM answer)""",
     "view_stats": f"""WITH {DAILY} SELECT 'daily' AS view, count(*) AS rows, 'user_id,event_timestamp,mean_value,n_events,created' AS columns FROM daily
       UNION ALL SELECT 'item_features', count(DISTINCT l_partkey), 'item_id,year,item_avg_rating,item_n_ratings' FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "psi": f"WITH {SIDES}, {psi_ctes('vals', 'feature')} SELECT feature, psi FROM psi",
@@ -625,6 +629,9 @@ ORACLES: dict[str, str] = {
     "drift_ranking": f"""WITH {SIDES}, {psi_ctes('vals', 'feature')} SELECT feature, psi,
       CASE WHEN psi < 0.1 THEN 'green' WHEN psi < 0.25 THEN 'orange' ELSE 'red' END AS severity FROM psi""",
     "retrain_decision": f"WITH {SUMMARY} SELECT global_psi AS drift_score, 'drift_report' AS reason, global_psi > 0.3 AS retrain FROM summary",
+    "retrain_without_report": f"""WITH {SIDES}, {psi_ctes('vals', 'feature')}, reports AS (SELECT avg(psi) AS score, TIMESTAMP '2024-02-01' AS written FROM psi),
+      r AS (SELECT max(score) AS score, count(*) AS n FROM reports WHERE written > TIMESTAMP '2024-03-01')
+      SELECT CASE WHEN n = 0 THEN -1.0::DOUBLE ELSE round(score, 6) END AS drift_score, CASE WHEN n = 0 THEN 'no_report' ELSE 'drift_report' END AS reason, n = 0 OR score > 0.3 AS retrain FROM r""",
     "score_stats": f"WITH {SCORES} SELECT {SCORE_STATS} FROM score_log",
     "latency_stats": f"""WITH {LOG} SELECT endpoint, round(quantile_cont(latency_ms, 0.5), 6) AS lat_p50, round(quantile_cont(latency_ms, 0.95), 6) AS lat_p95,
       round(quantile_cont(latency_ms, 0.99), 6) AS lat_p99, round(avg(latency_ms), 6) AS lat_mean FROM log GROUP BY endpoint""",
@@ -663,4 +670,8 @@ ORACLES: dict[str, str] = {
     "stream_silence": SILENCE,
     "stream_materialize": f"""SELECT user_id, value, CAST(event_id AS DOUBLE) AS event_id, {stamp("ts")} AS at FROM events
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_corrections": f"""WITH r AS (SELECT user_id, ts, ts AS created, value, event_id FROM events
+        UNION ALL SELECT user_id, ts, ts + INTERVAL 1 DAY, -value, event_id FROM events WHERE event_type = 'click')
+      SELECT user_id, value, CAST(event_id AS DOUBLE) AS event_id, {stamp("ts")} AS at, {stamp("created")} AS created FROM r
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, created DESC, value DESC, event_id DESC) = 1""",
 }

@@ -812,6 +812,14 @@ def retrain_decision(spark, d):
     return drift.retrain_decision(reports)
 
 
+@query
+def retrain_without_report(spark, d):
+    """The decision on the reports since a day on which none was written."""
+    rows = drift.psi(*R.drift_sides(spark, d), R.DRIFT_COLUMNS).withColumn("drifted", F.lit(False))
+    reports = drift.drift_summary(rows).withColumn("timestamp", at("2024-02-01"))
+    return drift.retrain_decision(reports.where(F.col("timestamp") > at("2024-03-01")))
+
+
 # monitoring -------------------------------------------------------------------------------------
 
 
@@ -962,3 +970,23 @@ def stream_materialize(spark, d):
     view = st.FeatureView("last_event", "user_id", (("value", T.DoubleType()), ("event_id", T.DoubleType())), timedelta(days=7))
     sinks.stream_materialize(rows, view, f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return read_online(spark, f"{path}/table", rows.schema).select("user_id", "value", "event_id", stamp("event_timestamp").alias("at"))
+
+
+@query
+def stream_corrections(spark, d):
+    """A snapshot kept by two streams with checkpoints of their own; the second brings corrections of equal event times."""
+    from pyspark.sql import types as T
+
+    from sorrel.sources.tables import read_online
+
+    path = new_folder(spark, "online")
+    when = F.col("ts").cast("timestamp")
+    rows = R.events(spark, d).select("user_id", when.alias("event_timestamp"), when.alias("created"), "value", F.col("event_id").cast("double").alias("event_id"), "event_type")
+    fixed_later = rows.where("event_type = 'click'").withColumns({"value": -F.col("value"), "created": F.col("created") + F.expr("INTERVAL 1 DAY")})
+    view = st.FeatureView("last_event", "user_id", (("value", T.DoubleType()), ("event_id", T.DoubleType())), timedelta(days=7))
+    for name, part in (("first", rows), ("second", fixed_later)):
+        part.drop("event_type").write.parquet(f"{path}/{name}/in")
+        stream = sinks.read_stream(spark, f"{path}/{name}/i[n]", part.drop("event_type").schema)
+        sinks.stream_materialize(stream, view, f"{path}/table", f"{path}/{name}/checkpoint", buckets=8, rows_per_bucket=100).awaitTermination()
+    got = read_online(spark, f"{path}/table", rows.drop("event_type").schema)
+    return got.select("user_id", "value", "event_id", stamp("event_timestamp").alias("at"), stamp("created").alias("created"))

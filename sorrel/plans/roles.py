@@ -11,6 +11,7 @@ from sorrel.functions import columns as C, fixed
 from sorrel.functions.hashing import portable_hash
 from sorrel.operators import features as ft, split as sp
 from sorrel.operators.store import FeatureView
+from sorrel.session import stage_by_key
 
 TAGS = [
     "anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large",
@@ -79,10 +80,10 @@ def items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def matrix(spark: SparkSession, d: str) -> DataFrame:
-    """One row per rating with all features; the ratings table is joined once per entity."""
-    ratings = interactions(spark, d)
+    """One row per rating with all features; the ratings are made once, in buckets by user, and joined once per entity."""
+    ratings = stage_by_key(interactions(spark, d), "user_id", "ratings")
     people = ft.entity_table(users(spark, d).drop("gender"), ft.user_stats(ratings), "user_id")
-    things = ft.entity_table(items(spark, d).drop("title", "genres"), ft.item_stats(item_ratings(spark, d)), "item_id")
+    things = ft.entity_table(items(spark, d).drop("title", "genres"), ft.item_stats(ratings), "item_id")
     rows = ratings.drop("ts").withColumn("liked", C.label_threshold("rating"))
     wide = ft.build_feature_matrix(rows, people, things)
     return wide.select("user_id", *ROW_KEY, "rating", "liked", *CONTINUOUS[:4], *TAGS, *STATS)

@@ -54,3 +54,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_by_key(df: DataFrame, key: str, label: str = "keyed") -> DataFrame:
+    """`df` written once in buckets of `key`, sorted inside: aggregates and joins by that key then need no exchange of it.
+
+    The table is an unnamed one to its readers: it lies in the shared folder and is known to this session only.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}_{uuid.uuid4().hex}"
+    rows = df.repartition(n, key)
+    rows.write.option("path", new_folder(spark, label)).bucketBy(n, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
