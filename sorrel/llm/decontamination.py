@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sorrel.llm.arrays import map_batches
+from sorrel.llm.rows import plain_names
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -242,15 +243,18 @@ def without_runs(text: str, runs: Sequence[int]) -> str:
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, max_coverage: float = MAX_COVERAGE, **how
+    docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, max_coverage: float = MAX_COVERAGE, item_text: str = "text", **how
 ) -> DataFrame:
     """`docs` without benchmark passages, with the same columns.
 
     Runs of words that match `window` or more words of an item (or a whole shorter item) are cut out of the text. A
-    document with more than `max_coverage` of its words in such runs is dropped. Others stay as they are, null texts too.
+    document with more than `max_coverage` of its words in such runs is dropped. Others stay as they are, null texts too,
+    and so do all other columns, whatever their names.
     """
-    names = docs.columns
-    seen = scan(docs, items, text, window=window, **how)
+    given = docs.columns
+    docs, called = plain_names(docs)
+    names, text = docs.columns, called[text]
+    seen = scan(docs, items, text, item_text, window=window, **how)
 
     def run(batches):
         for batch in batches:
@@ -262,4 +266,4 @@ def decontaminate(
             cols = [pa.array(clean, batch.schema.field(text).type) if n == text else batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(kept))
 
-    return map_batches(seen, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return map_batches(seen, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)).toDF(*given)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sorrel.llm.arrays import SPACED, U, map_batches, shingles, slices, text_bytes, word_hashes
 from sorrel.llm.graph import components
-from sorrel.llm.rows import written
+from sorrel.llm.rows import plain_names, written
 
 CELLS_BITS, BLOCKS, FRAGMENT = 23, 64, 1024
 #: A set's bitmap has a place per n-gram at least, between these: a narrow one is full and tells large sets apart no more.
@@ -396,8 +396,10 @@ def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """`docs` with one row of each component of linked documents, the one with the least key (nulls last), and all rows
-    without words. Columns stay as they were; the texts are shuffled once to meet the decision."""
-    names = docs.columns
+    without words. Columns stay as they were, whatever their names; the texts are shuffled once to meet the decision."""
+    given = docs.columns
+    docs, called = plain_names(docs)
+    names, key, text = docs.columns, called[key], called[text]
     row_id = [F.xxhash64(*names).alias("r1"), F.hash(*names).alias("r2")]
     marked = docs.select("*", *row_id)
     rows = marked.select(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), "r1", "r2").alias("row_key"), F.col(text).alias("text"))
@@ -408,4 +410,4 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", size
     met = marked.join(stay, (F.col("r1") == F.col("k1")) & (F.col("r2") == F.col("k2")))
     # rows that are equal in every column stand in one group, and one of them stays
     again = F.row_number().over(W.partitionBy("r1", "r2").orderBy("r1"))
-    return met.withColumn("again", again).where("again = 1 OR NOT single").select(*names)
+    return met.withColumn("again", again).where("again = 1 OR NOT single").select(*names).toDF(*given)

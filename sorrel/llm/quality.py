@@ -126,8 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """
     drawn = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
     drawn = drawn.orderBy(F.md5(F.col("_key").cast("string")), "_key", "_label").limit(max_rows)
-    rows = docs.join(F.broadcast(drawn), F.col(key) == F.col("_key"))
-    rows = rows.select(F.md5(F.col("_key").cast("string")).alias("o"), "_label", F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = docs.select(F.col(key).alias("doc_key"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(drawn), F.col("doc_key") == F.col("_key"))
+    rows = rows.select(F.md5(F.col("_key").cast("string")).alias("o"), "_label", "t")
 
     def run(batches):
         bags, marks = [], []

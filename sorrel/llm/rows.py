@@ -21,6 +21,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with its columns called in_0, in_1, ..., and what each is called now: what an operator adds beside clashes with none."""
+    names = {c: f"in_{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def shuffled(*keys: str, seed: int) -> Column:
     """A seeded order that any SQL engine can repeat: md5 of the seed and the keys; null reads as empty."""
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]

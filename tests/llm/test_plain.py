@@ -619,6 +619,22 @@ def test_token_files_in_another_order(spark, tmp_path):
     assert got == plain_ids([(i, t) for i, _, t in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0] or 0))], in_order=True)
 
 
+NAMES = ["n_words", "hit_runs", "hit_items", "longest_match", "rank", "place", "weight", "_h", "r1", "k1", "single", "again", "_label", "uid", "drawn", "stratum", "fraction", "in_0", "in_1", "o", "t", "_key"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """One table whose extra columns have the names that operators use inside; their values come out unchanged."""
+    docs = spark.createDataFrame([(i, t, s) for i, t, s in AWKWARD], "doc_id long, text string, source string").repartition(3)
+    docs = docs.select("doc_id", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in NAMES], "text", "source")
+    items = spark.createDataFrame([("a", LONG[:400]), ("b", "same text of six words here")], "item_id string, text string")
+    labels = spark.createDataFrame([(4, 1), (5, 0), (9, 1)], "doc_id long, quality int")
+    assert quality.fit(docs, labels)[0].any()
+    for got in (decontamination.decontaminate(docs, items), jaccard.one_per_group(docs), interleave.interleave(docs, "source", "doc_id", 3).drop("shard", "slot")):
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert rows and all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in rows for c in NAMES)
+
+
 CLASHES = ["uid", "row", "weight", "turn", "drawn", "_h", "moments", "copies", "target", "size", "at", "place", "key"]
 
 
