@@ -245,7 +245,9 @@ def rolling_percentile(
     own = F.floor(F.col("run") / span)
     needed_next = F.pmod(F.col("run"), F.lit(span)) >= span - back
     units = packed.withColumn("unit", F.explode(F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own))))
-    units = units.withColumns({"known": values(F.col("items")), "points": F.transform("items", lambda x: F.struct(x["rn"].alias("rn"), x["v"].alias("v")))})
+    # in row order, so that sums come out the same on every run
+    units = units.withColumn("points", F.sort_array(F.transform("items", lambda x: F.struct(x["rn"].alias("rn"), x["v"].alias("v")))))
+    units = units.withColumn("known", values(F.col("points")))
     units = units.withColumns({"ends": ends(F.col("known")), "sum": total(F.col("known")), "count": F.size("known")})
     in_order = W.partitionBy(*by, "unit").orderBy("run")
     # runs wholly inside the window of every row of this run
@@ -261,7 +263,7 @@ def rolling_percentile(
     ).where(F.col("unit") == own)
     rows = wide.select("points", "mid", "mid_sum", "mid_count", "old", F.explode("items").alias("item"))
     rn = F.col("item.rn")
-    here = F.concat(F.filter("points", lambda x: (x["rn"] <= rn) & (x["rn"] > rn - size)), F.filter("old", lambda x: x["rn"] > rn - size))
+    here = F.concat(F.filter("old", lambda x: x["rn"] > rn - size), F.filter("points", lambda x: (x["rn"] <= rn) & (x["rn"] > rn - size)))
     rows = rows.withColumn("near", values(here)).withColumns({"n": F.size("near") + F.col("mid_count"), "far": F.concat("near", "mid")})
     rows = rows.withColumn("far", F.sort_array("far", asc=not high))
     at = F.lit(float(p)) * (F.col("n") - 1)
@@ -274,6 +276,6 @@ def rolling_percentile(
     return rows.select(
         *[F.col("item.row")[c].alias(c) for c in df.columns],
         n_window.alias("n_window"),
-        F.try_divide(total(F.col("near")) + F.col("mid_sum"), F.col("n").cast("double")).alias("mean_latency"),
+        F.try_divide(F.aggregate("near", F.col("mid_sum"), lambda a, x: a + x), F.col("n").cast("double")).alias("mean_latency"),
         F.when(n_window < at_least, 0.0).otherwise(low + (up - low) * (at - F.floor(at))).alias("p_latency"),
     )

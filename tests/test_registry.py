@@ -22,6 +22,7 @@ QUICK = [
     "one_hot_tags", "quality_checks", "validate_users", "feature_matrix", "point_in_time", "user_stats", "coverage",
     "roc_auc", "exact_split", "top_k", "nb_params", "nb_scores", "recommend_unseen", "materialize_incremental",
     "feature_drift", "score_batches", "request_metrics", "error_rate", "stream_requests",
+    "stream_latency_breach", "rejected_lines", "stream_corrections", "psi",
 ]
 
 
