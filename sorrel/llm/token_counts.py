@@ -139,6 +139,7 @@ class Merges:
         key = left[512:] * self.n + right[512:]
         order = np.argsort(key)
         self.pair_keys, self.pair_made = key[order], order + 512
+        self.mark = xxhash.xxh3_128_hexdigest(key.tobytes() + self.ids.tobytes())
         self.right_spine, self.left_spine = self._spines(right), self._spines(left)
 
         made = np.arange(512, self.n)
@@ -457,8 +458,9 @@ class TokenCounter:
     @classmethod
     def get(cls, sent) -> TokenCounter:
         """One per Python worker, from a broadcast of `compiled`; a task of another operator lets go of it."""
-        if "tokens" not in HELD or HELD["tokens"][0] != sent.value[0].n:
-            HELD["tokens"] = sent.value[0].n, cls(*sent.value)
+        mark = sent.value[0].mark
+        if "tokens" not in HELD or HELD["tokens"][0] != mark:
+            HELD["tokens"] = mark, cls(*sent.value)
         return HELD["tokens"][1]
 
     def _learn(self, code: int) -> None:
