@@ -39,7 +39,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A row's place follows from its source's curve (`curriculum.schedule`): ids of rows asked for earlier come first.
     """
     path = new_folder(spark, "tokens")
-    token_files.write(curriculum.schedule(docs), path, TOKENIZER, order="moment")
+    token_files.write(curriculum.schedule(docs, stored=True), path, TOKENIZER, order="moment")
     return token_files.read(spark, path)
 
 

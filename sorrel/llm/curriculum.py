@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from sorrel.llm.rows import numbered, shuffled, with_row_number
+from sorrel.llm.rows import numbered, shuffled, with_row_number, written
 from sorrel.operators.ordered import running_sums
 
 SEED = 9
@@ -145,22 +145,36 @@ def schedule(
     curves: Sequence[Sequence[tuple[float, float]]] = CURVES,
     seed: int = SEED,
     name: str = "moment",
+    stored: bool = False,
 ) -> DataFrame:
     """`docs`, already mixed, with the moment of training at which each row is asked for, as `name`.
 
     Rows of a source follow its curve: copies of a document lie in passes one after another, each pass in the seeded
     order, and a row's moment is where its source has asked for the tokens before the row's middle. A source without
     tokens starts at once. Null sources, keys and texts are as in `plan`.
+
+    The texts are shuffled once, by a hash of source, key and text that they have in common with their moments: rows that
+    share a hash take its moments one each. `docs` is read twice, so it is written first unless it is `stored`, that is,
+    a table that gives the same rows at every read.
     """
-    rows, narrow = _packed(docs, text, source, key)
+    if not stored:
+        docs = written(docs, "mix-rows")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    at = F.col("row")
+    parts = [at[c].cast("string") for c in (source, key, text)]
+    rows = rows.withColumn("content", F.xxhash64(*[x for p in parts for x in (p.isNull(), p)]))
+    narrow = rows.select("content", at[source].alias("source"), at[key].alias("key"), word_count(parts[2]).alias("size"))
+    narrow = with_row_number(narrow, "mix-sizes").withColumnRenamed("uid", "row_uid")
     # copies are rows of one source, key and size
     copies = numbered(narrow.withColumn("drawn", shuffled("key", seed=seed)), ["source", "drawn", "key", "size"], ["row_uid"], "turn_no").drop("turn_no_of")
     run = running_sums(copies, ["source"], ["turn_no", "drawn", "key", "size", "row_uid"], ["size"])
     sources = narrow.select("source").distinct().withColumn("curve", (F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1) % len(curves))
     placed = run.join(sources.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")))
     share = F.coalesce(F.try_divide(F.col("size_before") + F.col("size") / 2, F.col("size_all").cast("double")), F.lit(0.0))
-    at = moment(share, curves[-1])
+    when = moment(share, curves[-1])
     for k, curve in enumerate(curves[:-1]):
-        at = F.when(F.col("curve") == k, moment(share, curve)).otherwise(at)
-    out = rows.join(placed.select("row_uid", at.alias("at")), F.col("uid") == F.col("row_uid"))
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != name], F.col("at").alias(name))
+        when = F.when(F.col("curve") == k, moment(share, curve)).otherwise(when)
+    moments = written(placed.groupBy(F.col("content").alias("of_content")).agg(F.sort_array(F.collect_list(when)).alias("moments")), "moments")
+    rows = rows.withColumn("copy", F.row_number().over(W.partitionBy("content").orderBy("content")) - 1)
+    out = rows.join(moments, F.col("content") == F.col("of_content"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != name], F.get("moments", F.col("copy")).alias(name))

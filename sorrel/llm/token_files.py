@@ -152,7 +152,7 @@ def write(
             yield pa.RecordBatch.from_pylist([block_of(shard, number, first, held, width)], schema)
 
     ordered = coded.repartitionById(n, F.col("range_no")).sortWithinPartitions(F.col("place").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), "ids")
-    map_batches(ordered, run, BLOCK_SCHEMA).write.parquet(path)
+    map_batches(ordered, run, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -610,6 +610,32 @@ def test_schedules_follow_the_curves(spark):
     assert curriculum.schedule(frame(spark, AWKWARD).limit(0)).count() == 0
 
 
+def test_equal_rows_take_their_moments_one_each(spark, tmp_path):
+    rows = [(1, "a b", "s")] * 3 + [(1, "c d", "s")] * 2 + [(None, "a b", "s")] * 2 + [(None, None, None)] * 2 + [(1, "a b", None), (2, "", "s"), (2, None, "s")]
+    docs = frame(spark, rows)
+    docs.write.parquet(str(tmp_path / "d"))
+    for got in (curriculum.schedule(docs), curriculum.schedule(spark.read.parquet(str(tmp_path / "d")), stored=True)):
+        got = got.collect()
+        assert sorted(map(str, ((r["doc_id"], r["text"], r["source"]) for r in got))) == sorted(map(str, rows))
+        # rows with words lie at moments of their own within a source
+        moments = [r["moment"] for r in got if r["source"] == "s" and r["text"]]
+        assert len(set(moments)) == len(moments) == 7
+
+
+def test_token_stage_stores_no_text_again(spark, tmp_path):
+    import corpus_pipeline
+    from sorrel.session import shared_dir
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.bytes(6).hex() for _ in range(200)) for _ in range(300)]
+    frame(spark, [(i, t, f"s{i % 3}") for i, t in enumerate(texts)]).write.parquet(str(tmp_path / "d"))
+    before = set(os.listdir(shared_dir(spark)))
+    corpus_pipeline.write_tokens(spark, spark.read.parquet(str(tmp_path / "d")), FOLDER)
+    made = [n for n in os.listdir(shared_dir(spark)) if n not in before and not n.startswith("tokens-")]
+    held = sum(os.path.getsize(os.path.join(at, f)) for n in made for at, _, files in os.walk(os.path.join(shared_dir(spark), n)) for f in files)
+    assert made and held < sum(map(len, texts)) / 4
+
+
 def test_token_files_in_another_order(spark, tmp_path):
     rows = [(k, float(p), "ab " * int(p)) for k, p in [(5, 1), (3, 2), (9, 0), (None, 1.5), (5, 4), (4, 3), (8, 3)]] + [(7, None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, at double, text string").repartition(3)
