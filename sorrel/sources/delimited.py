@@ -94,7 +94,8 @@ def read_checked(
     lines = read_lines(spark, path, encoding)
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = lines.withColumn("fields", F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields), options))
+    # as a generated column a line is parsed once, and not anew for every field that is read
+    parsed = lines.withColumn("fields", F.explode(F.array(F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields), options))))
     blank = F.trim("line") == ""
     bad = blank | F.col("fields").isNull() | F.col("fields")[CORRUPT].isNotNull()
     n_fields = F.size(F.split("line", sep))
