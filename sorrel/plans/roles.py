@@ -79,18 +79,24 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     return raw_items(spark, d).select("*", C.extract_year("title").alias("year"), *C.one_hot("genres", TAGS))
 
 
-def matrix(spark: SparkSession, d: str) -> DataFrame:
+def staged_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """The ratings, made once and written in buckets by user."""
+    return stage_by_key(interactions(spark, d), "user_id", "ratings")
+
+
+def matrix(spark: SparkSession, d: str, ratings: DataFrame | None = None) -> DataFrame:
     """One row per rating with all features; the ratings are made once, in buckets by user, and joined once per entity."""
-    ratings = stage_by_key(interactions(spark, d), "user_id", "ratings")
+    ratings = staged_ratings(spark, d) if ratings is None else ratings
     people = ft.entity_table(users(spark, d).drop("gender"), ft.user_stats(ratings), "user_id")
     things = ft.entity_table(items(spark, d).drop("title", "genres"), ft.item_stats(ratings), "item_id")
     rows = ratings.drop("ts").withColumn("liked", C.label_threshold("rating"))
-    wide = ft.build_feature_matrix(rows, people, things)
+    # a task looks its users and items up in a hash table of them; sorting its ratings would take memory for each rating
+    wide = ft.build_feature_matrix(rows, people.hint("shuffle_hash"), things.hint("shuffle_hash"))
     return wide.select("user_id", *ROW_KEY, "rating", "liked", *CONTINUOUS[:4], *TAGS, *STATS)
 
 
-def split_matrix(spark: SparkSession, d: str) -> DataFrame:
-    return sp.stratified_split(matrix(spark, d), "liked", ROW_KEY, 0.2, hashed=portable_hash(ROW_KEY, 42))
+def split_matrix(spark: SparkSession, d: str, ratings: DataFrame | None = None) -> DataFrame:
+    return sp.stratified_split(matrix(spark, d, ratings), "liked", ROW_KEY, 0.2, hashed=portable_hash(ROW_KEY, 42))
 
 
 def with_folds(df: DataFrame, k: int = 5) -> DataFrame:

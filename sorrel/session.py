@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def local_session(cpus: str = "*", partitions: int = 8) -> SparkSession:
     """Session used by the tests and the benchmark; a cluster brings its own."""
@@ -57,7 +60,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def stage_by_key(df: DataFrame, key: str, label: str = "keyed") -> DataFrame:
-    """`df` written once in buckets of `key`, sorted inside: aggregates and joins by that key then need no exchange of it.
+    """`df` written once in buckets of `key`: aggregates and joins by that key then need no exchange of it.
 
     The table is an unnamed one to its readers: it lies in the shared folder and is known to this session only.
     """
@@ -65,5 +68,17 @@ def stage_by_key(df: DataFrame, key: str, label: str = "keyed") -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"{label}_{uuid.uuid4().hex}"
     rows = df.repartition(n, key)
-    rows.write.option("path", new_folder(spark, label)).bucketBy(n, key).sortBy(key).saveAsTable(name)
+    with unsorted_writes(spark):
+        rows.write.option("path", new_folder(spark, label)).bucketBy(n, key).saveAsTable(name)
     return spark.table(name)
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession):
+    """Writes by bucket or part keep a few files open in a task, instead of sorting its rows first in memory that grows with them."""
+    before = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, str(max(int(before), 4)))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)

@@ -8,6 +8,8 @@ from collections.abc import Collection, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
+from sorrel.session import unsorted_writes
+
 
 def read_feature_view(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame | None:
     """The view's table with its declared schema; a view that is not there is warned about."""
@@ -21,8 +23,12 @@ def read_feature_view(spark: SparkSession, path: str, schema: T.StructType, fmt:
 
 
 def write_split(df: DataFrame, path: str) -> None:
-    """Train and test rows as partitions of one table, features and label together."""
-    df.write.mode("overwrite").partitionBy("split").parquet(path)
+    """Train and test rows as partitions of one table, features and label together.
+
+    A task keeps a file open for each part and does not sort its rows by part.
+    """
+    with unsorted_writes(df.sparkSession):
+        df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def write_feature_columns(spark: SparkSession, names: Sequence[str], path: str) -> None:
