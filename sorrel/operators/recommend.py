@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sorrel.functions import columns as C, fixed
 from sorrel.operators import naive_bayes as nb
-from sorrel.operators.features import cold_start_means, exclude_pairs, lookup_default
+from sorrel.operators.features import cold_start_means, lookup_default
 from sorrel.operators.ordered import running_sums, top_k_per_user
 from sorrel.session import stage
 
@@ -81,12 +81,14 @@ def item_blocks(parts: DataFrame, item: str, block: int = BLOCK) -> tuple[DataFr
     return placed, blocks
 
 
-def candidate_blocks(users: DataFrame, placed: DataFrame, blocks: DataFrame, user: str) -> DataFrame:
+def candidate_blocks(users: DataFrame, placed: DataFrame, blocks: DataFrame, user: str, per_block: DataFrame | None = None) -> DataFrame:
     """Each user with the arrays of items that can be among their first `need`; no pairs are built.
 
     All users want the blocks of the best items. So demand is counted, a block is copied once per SHARE users that want
     it, and users are dealt over the copies: no key of the join has more than about SHARE users, and there is one copy
-    per SHARE (user, block) rows besides one of each block.
+    per SHARE (user, block) rows besides one of each block. `per_block` has columns of (user, block) that come beside,
+    before the arrays do. The rows are dealt by a fixed number of partitions, as their scores are work and not bytes, and
+    the arrays are looked up: they are not sorted, and users are never copied to blocks.
     """
     # one row per power of two: at most a few dozen numbers
     levels = (
@@ -106,8 +108,13 @@ def candidate_blocks(users: DataFrame, placed: DataFrame, blocks: DataFrame, use
 
     wanted = F.flatten(F.array(none, *[F.when(wants[r.level], dealt(r)).otherwise(none) for r in levels]))
     spread = users.select("*", F.inline(wanted))
+    if per_block is not None:
+        spread = spread.join(per_block, [user, "block"], "left")
+    n = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = F.coalesce(*[F.when(F.col("level") == level, n - 1) for level, n in copies.items()], F.lit(0))
-    return spread.join(blocks.select("*", F.explode(F.sequence(F.lit(0), last)).alias("copy")), ["block", "copy"])
+    asked = [level for level, n_users in zip(wants, demand) if n_users]
+    held = blocks.where(F.col("level").isin(asked)).select("*", F.explode(F.sequence(F.lit(0), last)).alias("copy"))
+    return spread.repartition(n, "block", "copy").join(held.hint("shuffle_hash"), ["block", "copy"])
 
 
 def recommend(
@@ -141,24 +148,36 @@ def recommend(
         wanted = candidate_blocks(stage(people, "people"), placed, blocks, user).withColumn("here", F.lit(k).cast("bigint"))
     else:
         # of one block, a user can lose at most as many items as they excluded there
-        out = excluded.select(user, item).distinct().join(placed.select(item, "block"), item)
-        per_block = out.groupBy(user, "block").agg(F.count(F.lit(1)).alias("lost"))
+        where = placed.groupBy(item, "block").agg(F.count(F.lit(1)).alias("times"))
+        out = excluded.select(user, item).join(where, item)
+        per_block = out.groupBy(user, "block").agg(F.collect_set(F.struct(F.col(item).alias("item"), "times")).alias("gone"))
+        n_gone = F.aggregate("gone", F.lit(0).cast("bigint"), lambda a, x: a + x["times"])
+        per_block = stage(per_block.select(user, "block", F.transform("gone", lambda x: x["item"]).alias("gone"), n_gone.alias("lost")), "gone")
         per_user = per_block.groupBy(user).agg(F.sum("lost").alias("lost"))
         people = people.repartition(n, user).join(per_user, user, "left").withColumn("need", F.lit(k) + F.coalesce("lost", F.lit(0))).drop("lost")
-        wanted = candidate_blocks(stage(people, "people"), placed, blocks, user)
-        wanted = wanted.join(per_block, [user, "block"], "left").withColumn("here", F.lit(k) + F.coalesce("lost", F.lit(0)))
-
-    def scored(x) -> Column:
-        p = nb.mix(model, F.col("a") + x["b"], F.col("c") + x["d"])
-        # the sort is ascending: negate what has to be largest first
-        return F.struct(
-            (-F.round(p, ORDER_DIGITS)).alias("s"), (-x["b"]).alias("nb"), x["item"].alias("item"), p.alias("score")
-        )
-
-    best = F.slice(F.sort_array(F.transform("items", scored)), F.lit(1), F.col("here").cast("int"))
-    pairs = wanted.select(user, F.inline(best)).withColumnRenamed("item", item)
+        wanted = candidate_blocks(stage(people, "people"), placed, blocks, user, per_block)
+        wanted = wanted.withColumn("here", F.lit(k) + F.coalesce("lost", F.lit(0)))
+
+    # the sorts are ascending: negate what has to be largest first
+    def minus_score(x) -> Column:
+        return -nb.mix(model, F.col("a") + x["b"], F.col("c") + x["d"])
+
+    def scored(i) -> Column:
+        p = -F.get("minus", i)
+        return F.struct((-F.round(p, ORDER_DIGITS)).alias("s"), (-F.get("items", i)["b"]).alias("nb"), F.get("items", i)["item"].alias("item"), p.alias("score"))
+
+    # plain numbers say how far down the first `here` lie, so that few items are rounded and sorted; a null sorts first
+    first = F.lit(float("-inf"))
+    numbers = wanted.withColumn("minus", F.transform("items", minus_score))
+    at = F.least(F.col("here"), F.size("minus")).cast("int") - 1
+    last = F.get(F.sort_array(F.transform("minus", lambda m: F.coalesce(m, first))), at) + 2 * 10.0**-ORDER_DIGITS
+    # `last` is named twice, as a column named once would be worked out anew inside the lambda, at every item
+    near = F.filter(F.sequence(F.lit(0), F.size("minus") - 1), lambda i: F.col("last").isNull() | (F.coalesce(F.get("minus", i), first) <= F.col("last")))
+    near = numbers.withColumn("last", last).withColumn("near", near)
+    best = F.slice(F.sort_array(F.transform("near", scored)), F.lit(1), F.col("here").cast("int"))
     if excluded is not None:
-        pairs = exclude_pairs(pairs, excluded.select(user, item), [user, item])
+        best = F.when(F.col("gone").isNull(), best).otherwise(F.filter(best, lambda x: ~F.array_contains("gone", x["item"])))
+    pairs = near.select(user, F.inline(best)).withColumnRenamed("item", item)
     ranked = top_k_per_user(pairs, user, [F.col("s"), F.col("nb"), F.col(item)], k)
     return ranked.select(user, "rank", item, "score")
 

@@ -684,9 +684,14 @@ def best_run(spark, d):
     return me.best_run(grid(spark, d)).select("run", "accuracy")
 
 
-def sides(spark, d):
+def model_of(spark, d, ratings: DataFrame) -> nb.Model:
+    """The model of the training part, where nothing else reads the matrix: it is not written."""
+    return nb.fit_hybrid(R.split_matrix(spark, d, ratings).where("split = 'train'"), R.CONTINUOUS, R.TAGS)
+
+
+def sides(spark, d, ratings: DataFrame | None = None):
     """User and item sides for recommendation, with served defaults."""
-    inter = R.interactions(spark, d)
+    inter = R.interactions(spark, d) if ratings is None else ratings
     people = R.users(spark, d).drop("gender").join(ft.user_stats(inter), "user_id", "left")
     things = rc.catalogue(R.items(spark, d), ft.item_stats(R.item_ratings(spark, d)), "item_id", "year", R.ITEM_DEFAULTS)
     return people, things.select("item_id", *R.ITEM_SIDE)
@@ -694,17 +699,18 @@ def sides(spark, d):
 
 @query
 def recommend(spark, d):
-    _, model = fitted(spark, d)
-    people, things = sides(spark, d)
+    ratings = R.staged_ratings(spark, d)
+    model = model_of(spark, d, ratings)
+    people, things = sides(spark, d, ratings)
     got = rc.recommend(rc.served_profiles(people), things, model, 10)
     return R.rounded(got)
 
 
 @query
 def recommend_unseen(spark, d):
-    _, model = fitted(spark, d)
-    people, things = sides(spark, d)
-    inter = R.interactions(spark, d)
+    inter = R.staged_ratings(spark, d)
+    model = model_of(spark, d, inter)
+    people, things = sides(spark, d, inter)
     people = rc.model_profiles(people, ft.user_stats(inter), R.STATS[:3])
     return R.rounded(rc.recommend(people, things, model, 5, excluded=inter.select("user_id", "item_id")))
 
@@ -866,8 +872,11 @@ def request_metrics(spark, d):
 
 @query
 def reference_scores(spark, d):
-    parts, model = fitted(spark, d)
-    return mo.score_stats(mo.reference_scores(parts.where("split = 'train'"), model))
+    train = R.split_matrix(spark, d).where("split = 'train'").select(*R.CONTINUOUS, *R.TAGS, "liked")
+    train = stage(train, "train")
+    model = nb.fit_hybrid(train, R.CONTINUOUS, R.TAGS)
+    # moments and quartiles read the scores and not the features again
+    return mo.score_stats(stage(mo.reference_scores(train, model), "scores"))
 
 
 HOLD = {"step": "1 hour", "hold": "3 hours", "n_steps": 3}
